@@ -86,6 +86,7 @@ def _cells(fp: Column) -> Column:
 def _links(key: np.ndarray, fp: np.ndarray, most: int) -> list[np.ndarray]:
     """Verified links within runs of equal keys: all in short runs, a spanning
     forest in dense ones (a cell only has to connect what it links)."""
+    fp = fp.view(np.uint64)  # bitwise_count takes a signed number's absolute value
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     length = np.diff(np.r_[start, len(key)])
     found = []
@@ -110,10 +111,10 @@ def _links(key: np.ndarray, fp: np.ndarray, most: int) -> list[np.ndarray]:
             near = np.bitwise_count(rest ^ x) <= most
             if near.any():
                 y = rest[near]
-                found.append(np.stack([np.full(len(y), x), y]))
+                found.append(np.stack([np.full(len(y), x, np.uint64), y]))
                 queue.extend(y)
                 rest = rest[~near]
-    return found
+    return [x.view(np.int64) for x in found]
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL) -> DataFrame:
