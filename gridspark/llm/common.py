@@ -49,7 +49,7 @@ def forget(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def join_bounded(df: DataFrame, small: DataFrame, on: list[str] | str, how: str = "inner", most: int = 20_000) -> DataFrame:
+def join_bounded(df: DataFrame, small: DataFrame, on, how: str = "inner", most: int = 20_000) -> DataFrame:
     """Join with a table of short rows that is broadcast only if it has at most
     `most` rows; beyond that Spark shuffles both (AQE splits hot keys)."""
     few = small.limit(most + 1).count() <= most

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import simhash
+import public_tokenizers
+
+from gridspark.llm import bpe, chat, mixing, omh, simhash, warc
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +18,89 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return omh.order_minhash(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.plan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    clash = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.element_at(F.array(F.lit("user"), F.lit("assistant")), F.col("id").cast("int") + 1).alias("role"), F.lit(clash).alias("text"))
+    rows = chat.read_back(chat.formatted(turns.unionByName(more)))
+    turn = F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n")))
+    return rows.select(
+        "conv_id",
+        F.size("texts").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turn, ""), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op10_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_chat_format": op7_chat_format,
+    "op9_warc_round_trip": op9_warc_round_trip,
+    "op10_bpe_encode": op10_bpe_encode,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_mix_sources": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, row_number() OVER (ORDER BY (3 * source_size) / w, source NULLS LAST) AS k FROM s),
+l AS (
+  SELECT source, w, source_size,
+         CAST(CAST(sum(source_size) OVER () AS BIGINT) - CAST(coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS DOUBLE)
+           / CAST(sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM o),
+t AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), w * (SELECT max(level) FROM l)) AS target FROM l),
+r AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
+         CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r""",
+    "op7_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, length(regexp_replace(t, '(\\*)(<s>|</s>|\[INST\]|\[/INST\]|\[OUT\]|\[/TURN\]|\[TURN:[^\]\[]*\])', '\\\1\2', 'g'))
+    + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 11 ELSE 16 + length(url_encode(role)) END AS n FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,
+       CAST(coalesce(sum(length(t)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(n) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op9_warc_round_trip": """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to FROM m""",
+}
