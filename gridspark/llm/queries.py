@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from gridspark.llm import bpe, chat, mixing, omh, simhash, warc
+from gridspark.llm import bpe, chat, mixing, omh, quality, simhash, warc
+
+
+def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return quality.resample(docs, labels)
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +57,7 @@ def op10_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_resample": op2_quality_resample,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_mix_sources": op6_mix_sources,
