@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from gridspark.llm import bpe, chat, mixing, omh, quality, simhash, warc
+from gridspark.llm import bpe, chat, mixing, omh, quality, secrets, simhash, warc
 
 
 def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,17 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = secrets.scan(docs, secrets.train(docs))
+    base = tuple(x[0] for x in secrets.BASE)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select("doc_id", *map(count, base), F.sha2(secrets.joined("spans", base), 256).alias("base_sha256"), secrets.joined("spans", (*base, "crf")).alias("spans"))
+
+
 def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -62,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_mix_sources": op6_mix_sources,
     "op7_chat_format": op7_chat_format,
+    "op8_secret_scan": op8_secret_scan,
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_bpe_encode": op10_bpe_encode,
 }
