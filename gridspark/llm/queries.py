@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from gridspark.llm import bpe, chat, mixing, omh, quality, secrets, simhash, warc
+from gridspark.llm import bpe, capfilters, chat, linededup, mixing, omh, quality, secrets, simhash, warc
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +21,12 @@ def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(docs, labels)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = linededup.dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
+    return docs.select("doc_id", "lines_removed", lines.alias("lines_left"), F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     groups = simhash.near_groups(docs)
@@ -68,7 +78,9 @@ def op10_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_quality_resample": op2_quality_resample,
+    "op3_line_dedup": op3_line_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_mix_sources": op6_mix_sources,
