@@ -1,22 +1,58 @@
-"""The corpus pipeline: stages over `documents`, each one a dealt operator."""
+"""The corpus pipeline: stages over `documents`, each one a dealt operator.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridspark.llm import simhash
+from gridspark.llm import bpe, linededup, mixing, quality, simhash
 from gridspark.llm.common import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def choose_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents outside the importance sample go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.select(docs, labels).select(*COLUMNS)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks of lines that an earlier document has are deleted; every document
+    stays, with n_chars counted anew."""
+    out = linededup.dedup_lines(docs)
+    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, that of the smallest doc_id."""
     return simhash.dedup(docs).select(*COLUMNS)
 
 
-STAGES = [("simhash near-dedup", near_dedup)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are dropped or repeated until sources have their targets."""
+    return mixing.mix(docs).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of them and of their decoding."""
+    return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
+STAGES = [
+    ("quality classifier", choose_quality),
+    ("line dedup", dedup_lines),
+    ("SimHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
+]
 
+#: The stages hash with functions that DuckDB lacks and train a classifier.
 ORACLE_SQL = None
 
 

@@ -22,6 +22,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -217,24 +218,31 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: a narrow pass
-    that holds one text's tokens at a time. Null text: as empty, no tokens."""
+def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, and the ids
+    if asked for: a narrow pass that holds one text's tokens at a time. Null
+    text: as empty, no tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         for b in batches:
-            n, ids, back = [], [], []
+            n, ids, back, raws = [], [], [], []
             for x in b.column(1).to_pylist():
                 got = t.parts(x or "")
                 raw = b"".join([a for a, _ in got])
                 n.append(len(raw) // 4)
                 ids.append(hashlib.sha256(raw).hexdigest())
                 back.append(hashlib.sha256(" ".join([s for _, s in got if s]).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                raws.append(raw if with_ids else b"")
+            out = [b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
+            if with_ids:
+                offsets = pa.array(np.cumsum([0, *n]), pa.int32())
+                out.append(pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raws), "<i4"))))
+            yield pa.RecordBatch.from_arrays(out, names=[*names, "ids"] if with_ids else names)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
