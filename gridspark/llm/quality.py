@@ -59,14 +59,23 @@ N_BUCKETS = 2 * (1 << WORDS_LOG2) + (1 << SHAPES_LOG2)
 PARTS = ((0, 1 << WORDS_LOG2), (1 << WORDS_LOG2, 2 << WORDS_LOG2), (2 << WORDS_LOG2, N_BUCKETS))
 
 
+def _labelled(labels: DataFrame, most: int, part: str) -> DataFrame:
+    """At most `most` labelled rows, by a hash of the id, one per doc_id (the
+    lower label where they differ); of these four fifths fit the target model and
+    the others, which it has not seen, set the cut-off."""
+    some = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null")
+    some = some.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    return some.orderBy(F.xxhash64(F.col("doc_id"), F.lit(SEED)), "doc_id").limit(most).where(part)
+
+
+FIT, CUT = (f"pmod(xxhash64(doc_id, {SEED + 1}), 5) {x} 4" for x in ("<", "="))
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", labelled: int = LABELLED) -> np.ndarray:
     """log p_target - log p_raw of each bucket. Counts cover all texts (raw) and
-    those of at most `labelled` rows of labels (doc_id, quality), taken by a hash
-    of the id; only sums per bucket, a fixed number, reach the driver. Labels
+    those of at most `labelled` rows of labels (doc_id, quality); only sums per bucket, a fixed number, reach the driver. Labels
     that are null or of unknown documents are ignored."""
-    order = F.xxhash64(F.col("doc_id"), F.lit(SEED))
-    some = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null")
-    some = some.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(order, "doc_id").limit(labelled)
+    some = _labelled(labels, labelled, FIT)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     rows = rows.join(F.broadcast(some), "doc_id", "left").select("text", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("good"))
 
@@ -119,9 +128,7 @@ def cut_off(scored: DataFrame, labels: DataFrame, labelled: int = LABELLED, slac
     """The least weight that parts labelled good from labelled bad rows with a
     balanced accuracy within `slack` of the best, so that doubtful rows stay;
     from at most `labelled` of them; no bad ones: -infinity."""
-    order = F.xxhash64(F.col("doc_id"), F.lit(SEED))
-    some = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null")
-    some = some.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(order, "doc_id").limit(labelled)
+    some = _labelled(labels, labelled, CUT)
     got = scored.join(F.broadcast(some), "doc_id").groupBy("doc_id", "quality").agg(F.min("log_weight").alias("w")).toPandas().sort_values("w")
     good = (got.quality == 1).to_numpy()
     if good.all() or not good.any():
