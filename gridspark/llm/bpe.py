@@ -70,12 +70,18 @@ class Automaton:
         n = max(vocab.values()) + 1
         self.target = [0] * n  # where an arc of this label leads
         self.base, self.gone, self.made = [0], [-1], [-1]  # of a state: copied from, arc lost, at which merge
-        self.left, self.at = [-1] * n, [1 << 60] * n  # of a token: its left part, the merge that made it
+        self.left, self.right, self.at = [-1] * n, [-1] * n, [-1] * n  # of a token: its parts, the merge that made it
+        self.dead: set[int] = set()  # tokens whose merge found no place, so that no arc has them
         self.table: dict[int, int] = {}
+        order: dict[tuple[int, int], int] = {}
         for k, (a, b) in enumerate(merges):
             u, v, uv = vocab[a], vocab[b], vocab[a + b]
+            self.left[uv], self.right[uv], self.at[uv] = u, v, k
+            if u in self.dead or v in self.dead or self._parted(order, u, v):
+                self.dead.add(uv)
+                continue
+            order[u, v] = k
             q = self.target[u]
-            self.left[uv], self.at[uv] = u, k
             self.target[uv] = self.target[v]
             self.base.append(q)
             self.gone.append(v)
@@ -83,6 +89,22 @@ class Automaton:
             self.target[u] = len(self.base) - 1
         self._own: dict[int, dict[int, int]] = {}
 
+    def _parted(self, order: dict[tuple[int, int], int], u: int, v: int) -> bool:
+        """Whether no state that a u arc leads to has a v arc, seen from the
+        merges so far: of the tokens that end u, with the time up to which their
+        gadgets reached its state, and those that begin v, with the time from
+        which its arc follows theirs no more."""
+        until = 1 << 60
+        while u >= 0:
+            t, since = v, 1 << 60
+            while t >= 0:
+                k = order.get((u, t))
+                if k is not None and k < until and k <= since:
+                    return True
+                since, t = self.at[t], self.left[t]
+            until, u = self.at[u], self.right[u]
+        return False
+
     def _lost(self, state: int) -> dict[int, int]:
         """Arcs that a state's gadgets took away: token to merge."""
         got = self._own.get(state)
@@ -102,7 +124,9 @@ class Automaton:
         key = state << 20 | token
         to = self.table.get(key)
         if to is None:
-            lost, t, since, to = self._lost(state), token, 1 << 61, self.target[token]
+            lost, t, since, to = self._lost(state), token, 1 << 60, self.target[token]
+            if token in self.dead:
+                t, to = -1, -1
             while t >= 0:
                 k = lost.get(t)
                 if k is not None and k <= since:
