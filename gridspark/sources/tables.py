@@ -50,6 +50,10 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str | None
     """Delimited text with a header; without sep, columns parted by spaces."""
     if sep is not None:
         return spark.read.csv(path, schema=schema, sep=sep, header=True)
-    lines = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("c"), F.col("_metadata.row_index").alias("n")).where(F.col("n") > 0)
+    text = spark.read.text(path).where(F.trim("value") != "")
+    header = text.first()
+    if header is None:
+        return spark.createDataFrame([], schema)
+    lines = text.where(F.col("value") != header.value).select(F.split(F.trim("value"), r"\s+").alias("c"))
     fields = StructType.fromDDL(schema).fields
     return lines.select(*[F.get("c", F.lit(k)).cast(f.dataType).alias(f.name) for k, f in enumerate(fields)])
