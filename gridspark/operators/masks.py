@@ -46,8 +46,8 @@ def melt_or_zero(value: Column, most: float = 1e7) -> Column:
 
 
 #: Class codes of two topography sources: which codes make up each fraction.
-BEDMACHINE = {"ocean_frac": (0, 3), "rock_frac": (1,), "grounded_frac": (2, 4), "floating_frac": (3,)}
-BEDMAP = {"grounded_frac": (1,), "floating_frac": (2, 3), "rock_frac": (4,)}
+CODES_A = {"ocean_frac": (0, 3), "rock_frac": (1,), "grounded_frac": (2, 4), "floating_frac": (3,)}
+CODES_B = {"grounded_frac": (1,), "floating_frac": (2, 3), "rock_frac": (4,)}
 
 
 def topography_fractions(mask: Column, codes: dict[str, Sequence[int]], null_is_ocean: bool = False) -> dict[str, Column]:
@@ -79,6 +79,12 @@ def attach_coords(df: DataFrame, horizontal: DataFrame, levels: DataFrame | None
     return out if levels is None else out.join(F.broadcast(levels), level)  # levels: at most a few hundred rows by construction
 
 
+def zone_masks(df: DataFrame, zone: str, bed: str, shelf: float) -> DataFrame:
+    """df with in_zone, and on_shelf: in a zone with the bed above the shelf's depth."""
+    inside = F.col(zone).isNotNull() & (F.col(zone) >= 0)
+    return df.withColumns({"in_zone": inside, "on_shelf": inside & (F.col(bed) > shelf)})
+
+
 TOPOGRAPHY = (
     "bed", "draft", "surface", "thickness", "ice_frac", "ocean_frac", "grounded_frac", "floating_frac", "rock_frac",
     "ocean_masked_bed", "ocean_masked_draft", "ocean_masked_surface", "ocean_masked_thickness",

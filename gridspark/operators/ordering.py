@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.sources.staging import written
+
 
 def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
     """Rows numbered from 1 in the order given: a range sort, numbers within its
     partitions, and one count per partition added up. The order should be total."""
     w = Window.partitionBy("__part").orderBy(*order)
     rows = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    rows = rows.withColumn("__at", F.row_number().over(w)).persist()
+    rows = rows.withColumn("__at", F.row_number().over(w))
+    rows = written(rows, "rank")  # so that a retry can't number them anew
     part = rows.groupBy("__part").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
     part = part.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))

@@ -44,7 +44,7 @@ def p9(spark, d):
 @query("p10_topography_codes", sql("cells", "SELECT i, j, CASE WHEN zone % 5 IN (0, 3) THEN 1.0::DOUBLE ELSE 0 END AS ocean_frac, CASE WHEN zone % 5 = 1 THEN 1.0::DOUBLE ELSE 0 END AS rock_frac, CASE WHEN zone % 5 IN (2, 4) THEN 1.0::DOUBLE ELSE 0 END AS grounded_frac, CASE WHEN zone % 5 = 3 THEN 1.0::DOUBLE ELSE 0 END AS floating_frac, v - i AS draft FROM cells"))
 def p10(spark, d):
     c = cells(spark, d)
-    parts = masks.topography_fractions(F.col("zone") % 5, masks.BEDMACHINE)
+    parts = masks.topography_fractions(F.col("zone") % 5, masks.CODES_A)
     return c.select("i", "j", *[x.alias(n) for n, x in parts.items()], masks.draft(F.col("v"), F.col("i")).alias("draft"))
 
 
@@ -84,6 +84,12 @@ def p17(spark, d):
     return masks.require_columns(cells(spark, d), ["i", "j", "ice_frac"]).agg(F.count("*").alias("n"))
 
 
+@query("b4_zone_masks", sql("cells", "SELECT i, j, zone, zone < 12 AS in_zone, zone < 12 AND v > 1500 AS on_shelf FROM cells"))
+def b4(spark, d):
+    c = cells(spark, d).select("i", "j", "zone", "v", F.when(F.col("zone") < 12, F.col("zone")).otherwise(-1).alias("z"))
+    return masks.zone_masks(c, "z", "v", 1500.0).select("i", "j", "zone", "in_zone", "on_shelf")
+
+
 @query("j4_broadcast_mask", "SELECT l_orderkey, l_linenumber, l_quantity * (CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey")
 def j4(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", F.when(F.col("s_acctbal") > 0, 1).otherwise(0).alias("m"))

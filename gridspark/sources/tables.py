@@ -46,6 +46,15 @@ def pair_files(spark: SparkSession, first: Sequence[str], second: Sequence[str],
     return a.join(b, "years")
 
 
+def collect_pairs(spark: SparkSession, scenarios: dict[str, tuple[Sequence[str], Sequence[str]]], pattern: str = r"_(\d{4}-\d{4})\.") -> DataFrame:
+    """Of each scenario the year ranges for which both variables have a file;
+    those with one alone are left out."""
+    rows = [(name, which, p) for name, both in scenarios.items() for which, paths in zip("ab", both, strict=True) for p in paths]
+    df = spark.createDataFrame(rows, "scenario string, which string, path string").withColumn("years", F.regexp_extract("path", pattern, 1))
+    out = df.groupBy("scenario", "years").agg(*[F.min(F.when(F.col("which") == w, F.col("path"))).alias(w) for w in "ab"])
+    return out.where("a is not null and b is not null")
+
+
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str | None = None) -> DataFrame:
     """Delimited text with a header; without sep, columns parted by spaces."""
     if sep is not None:

@@ -381,6 +381,8 @@ def test_sources(spark, tmp_path):
     assert {(r.a, r.b) for r in pairs.collect()} == {("t_1850-1859.nc", "s_1850-1859.nc"), ("t_1860-1869.nc", "s_1860-1869.nc")}
     with pytest.raises(ValueError, match="1860"):
         tables.pair_files(spark, ["t_1850-1859.nc", "t_1860-1869.nc"], ["s_1850-1859.nc"])
+    kept = tables.collect_pairs(spark, {"historical": (["t_1850-1859.nc"], ["s_1850-1859.nc"]), "ssp": (["t_2015-2020.nc"], [])})
+    assert [(r.scenario, r.years) for r in kept.collect()] == [("historical", "1850-1859")]
     (tmp_path / "d.txt").write_text("basin  melt\n 1   2.5\n 2 -3\n")
     assert [r[:] for r in tables.read_delimited(spark, str(tmp_path / "d.txt"), "basin int, melt double").collect()] == [(1, 2.5), (2, -3.0)]
 
