@@ -34,7 +34,7 @@ _SPLIT = regex.compile(f"[{_SPACES}]+")
 #: str.split() also cuts at these four, which are no white space there.
 _ODD = regex.compile("[\x1c-\x1f]")
 #: Entries kept of words met and of table entries, each then emptied.
-CACHE = 400_000
+CACHE = 250_000
 
 
 @lru_cache(maxsize=1)
@@ -66,7 +66,10 @@ class Automaton:
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str):
         self.vocab, self.suffix = vocab, suffix
         self.label = {i: t for t, i in vocab.items()}
-        self.longest = max(map(len, vocab))
+        self.reach: dict[str, int] = {}  # of the first four symbols, the longest token so beginning
+        for t in vocab:
+            t = t.removesuffix(suffix)
+            self.reach[t[:4]] = max(self.reach.get(t[:4], 0), len(t))
         n = max(vocab.values()) + 1
         self.target = [0] * n  # where an arc of this label leads
         self.base, self.gone, self.made = [0], [-1], [-1]  # of a state: copied from, arc lost, at which merge
@@ -141,11 +144,11 @@ class Automaton:
     def encode(self, word: str) -> list[int]:
         """Tokens of one pre-split word of byte symbols. Each position has one
         state at most, so that a position found dead is never tried again."""
-        n, vocab, step = len(word), self.vocab, self.step
+        n, vocab, step, reach = len(word), self.vocab, self.step, self.reach
         path: list[tuple[int, int, int]] = []  # position, state, length tried
         out: list[int] = []
         dead = set()
-        i, state, length = 0, 0, min(n, self.longest)
+        i, state, length = 0, 0, min(n, reach.get(word[:4], 3))
         while True:
             while length > 0:
                 j = i + length
@@ -166,20 +169,22 @@ class Automaton:
             if j == n:
                 return out
             path.append((i, state, length))
-            i, state, length = j, to, min(n - j, self.longest)
+            i, state, length = j, to, min(n - j, reach.get(word[j : j + 4], 3))
 
 
 class _Words(dict):
-    """Chunks met: ids as little-endian bytes, and labels."""
+    """Chunks met: ids as little-endian bytes, and labels. When CACHE chunks are
+    held, those not met since the last time go."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, chunk: str) -> tuple[bytes, str]:
         if len(self) > CACHE:
+            self.old = dict(self)
             self.clear()
-        got = self[chunk] = self.make(chunk)
+        got = self[chunk] = self.old.pop(chunk, None) or self.make(chunk)
         return got
 
 
@@ -203,14 +208,20 @@ class Tokenizer:
         symbols = byte_symbols()
         self.symbols = {chr(b): s for b, s in symbols.items()}
         self.map = str.maketrans(self.symbols)
-        self.words = _Words(self._word)
+        self.words, self.pieces = _Words(self._chunk), _Words(self._piece)
 
-    def _word(self, chunk: str) -> tuple[bytes, str]:
-        ids: list[int] = []
-        for piece in _pieces().findall(chunk):
-            ids += self.automaton.encode(piece.encode().decode("latin-1").translate(self.map))
+    def _piece(self, piece: str) -> tuple[bytes, str]:
+        word = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.map)
+        ids = self.automaton.encode(word)
         return array("I", ids).tobytes(), " ".join([self.labels[i] for i in ids])
 
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        if chunk.isalpha():
+            return self.pieces[chunk]
+        pieces = [chunk[:-1], chunk[-1]] if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?" else _pieces().findall(chunk)
+        got = [self.pieces[x] for x in pieces]
+        return b"".join([a for a, _ in got]), " ".join([b for _, b in got])
+
     def chunks(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case by character
