@@ -1,88 +1,22 @@
-"""What the operators share: written tables, exact connected components, joins
-of a checked size."""
+"""What the operators share: the pattern of words, joins of a checked size, and
+the written tables and connected components of the library."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.operators.components import connected_components
+from gridspark.sources.staging import new_path, written
+
+__all__ = ["SPACE", "WORD", "connected_components", "join_bounded", "new_path", "written"]
+
 #: ASCII white space, the only separator of words: 0x20 and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-_local: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session.
-
-    Only a session that runs in one process (``local[...]``) and names no such
-    folder gets a temporary one; a cluster without it is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local.setdefault("dir", tempfile.mkdtemp(prefix="gridspark-"))
-    return base.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/gridspark/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage, and a
-    lost executor costs no recomputation."""
-    path = path or new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def forget(spark: SparkSession, path: str) -> None:
-    """Delete a table that no later plan reads."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def join_bounded(df: DataFrame, small: DataFrame, on, how: str = "inner", most: int = 20_000) -> DataFrame:
     """Join with a table of short rows that is broadcast only if it has at most
     `most` rows; beyond that Spark shuffles both (AQE splits hot keys)."""
     few = small.limit(most + 1).count() <= most
     return df.join(F.broadcast(small) if few else small, on, how)
-
-
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Exact components of the links (a, b), both long: one row (node, component)
-    per node of any link, component being the smallest node reachable.
-
-    Alternating large-star and small-star rounds (Kiveris et al. 2014); each
-    round is two aggregations by node with map-side combining and is written to
-    the shared folder, so nothing but counts reaches the driver. Links with a
-    null end or with a = b are dropped; repeated links are harmless.
-    """
-    spark = edges.sparkSession
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    path = new_path(spark, name)
-    e = written(e, path=path)
-    last = None
-    while True:
-        seen = e.agg(F.count("*"), F.sum(F.expr("cast(xxhash64(u, v) as decimal(38, 0))"))).first()
-        if seen == last or not seen[0]:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        last = seen
-        low = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
-        large = e.join(low, F.col("v") == F.col("node"), "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.union(low.select("u", F.col("m").alias("v"))).distinct()
-        to = new_path(spark, name)
-        e = written(small, path=to)
-        forget(spark, path)
-        path = to

@@ -91,6 +91,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+c AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.e, b.e) AS x FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+l AS (SELECT a, b FROM c WHERE isfinite(x) AND x >= 0.9),
+r(id, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id AND r.root < l.b),
+m AS (SELECT id, min(root) AS root FROM r GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links, root AS component_id, vec_id = root AS kept FROM v JOIN m ON id = vec_id""",
     "op6_mix_sources": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
