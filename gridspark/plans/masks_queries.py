@@ -128,11 +128,11 @@ def t6(spark, d):
     return out.toDF("p1", *[f"p2_{k}" for k in range(1, 6)])
 
 
-@query("t8_observation_table", sql("zones", "SELECT zone, y AS year, CASE WHEN y = 2010 THEN zone * 10 * 920.0::DOUBLE / 1000 END AS gt FROM zones, (VALUES (2009), (2010)) AS t(y)"))
+@query("t8_observation_table", "SELECT s_suppkey AS region, y AS year, CASE WHEN y = 2010 THEN s_acctbal * 920.0::DOUBLE / 1000 END AS gt FROM supplier, (VALUES (2009), (2010)) AS t(y)")
 def t8(spark, d):
-    z = zones(spark, d).select("zone")
-    seen = z.select("zone", F.lit(2010).alias("year"), convert.km3_to_gt(F.col("zone") * 10, 920.0).alias("gt"))
-    return seen.unionByName(z.select("zone", F.lit(2009).alias("year"), F.lit(None).cast("double").alias("gt")))
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("region"), "s_acctbal")
+    seen = s.select("region", F.lit(2010).alias("year"), convert.km3_to_gt(F.col("s_acctbal"), 920.0).alias("gt"))
+    return seen.unionByName(s.select("region", F.lit(2009).alias("year"), F.lit(None).cast("double").alias("gt")))
 
 
 @query("f1_wrap_coordinates", sql("cells", "SELECT i, j, round(((v % 360) + 360) % 360, 6) AS lon360, round((((v + 180) % 360) + 360) % 360 - 180, 6) AS lon180, greatest(-85, least(90, v / 50)) AS lat FROM cells"))

@@ -104,11 +104,11 @@ def w10(spark, d):
     return V.shift(profiles(spark, d), ["cell"], "k", "z", "v", F.lit(15.0), 10.0).select("cell", "k", F.round("shifted", 6).alias("v"))
 
 
-@query("w11_cosine_shift", "SELECT n_nationkey AS region, CAST(y AS INT) AS yr, round(n_regionkey * 10 * cos(2 * pi() * (y - 2008) / 16), 6) + 0.0::DOUBLE AS dz FROM nation, range(2000, 2026) r(y)")
+@query("w11_cosine_shift", "SELECT s_suppkey AS region, CAST(y AS INT) AS yr, round(s_nationkey * 10 * cos(2 * pi() * (y - 2008) / 16), 6) + 0.0::DOUBLE AS dz FROM supplier, range(2000, 2026) r(y)")
 def w11(spark, d):
-    years = spark.range(2000, 2026).select(F.col("id").cast("int").alias("yr"))
-    n = table(spark, d, "nation").crossJoin(F.broadcast(years))  # 26 years by construction
-    return n.select(F.col("n_nationkey").alias("region"), "yr", (F.round(V.cosine_shift(F.col("yr"), F.col("n_regionkey") * 10), 6) + F.lit(0.0)).alias("dz"))
+    s = table(spark, d, "supplier").withColumn("yr", F.explode(F.sequence(F.lit(2000), F.lit(2025))))
+    dz = F.round(V.cosine_shift(F.col("yr"), F.col("s_nationkey") * 10), 6) + F.lit(0.0)
+    return s.select(F.col("s_suppkey").alias("region"), "yr", dz.alias("dz"))
 
 
 @query("w12_ramp_before_pivot", sql("series", ", p AS (SELECT cell, flag, mon, v AS pv FROM series WHERE yr = 1998) SELECT cell, flag, yr, mon, CASE WHEN yr < 1998 THEN pv + 0.17 * (1998 - yr) * (cell % 2) ELSE v END AS v FROM series JOIN p USING (cell, flag, mon)"))
