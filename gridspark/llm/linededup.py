@@ -105,6 +105,7 @@ def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare
     rows = written(rows.dropDuplicates(["d"]), "line-hashes")
     held = rows.select("d", F.explode("own").alias("line"))
     first = held.groupBy("line").agg(F.min("d").alias("a"), F.count("*").alias("holders")).where("holders > 1")
+    first = written(first, "line-first")  # a join of two plain shuffles, so that Spark can split a hot line
     held = written(held.join(first, "line"), "line-holders")
     pairs = held.where("d <> a").select("a", F.col("d").alias("b"))
     few = held.where(F.col("holders").between(3, rare)).groupBy("line").agg(F.array_sort(F.collect_list("d")).alias("all"))
@@ -145,9 +146,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rar
     lose all lines but in the first. Rows equal in id and text are one document.
     Order is by doc_id (null first), then by the text's hash.
     """
-    keep = written(kept_lines(docs, doc_id, text, rare, least_chars), "line-masks").withColumnRenamed("d", "__d")
+    keep = written(kept_lines(docs, doc_id, text, rare, least_chars), "line-masks").withColumnsRenamed({"d": "__d", "keep": "__keep"})
     out = docs.withColumn("__key", _key(doc_id, text)).join(keep, F.col("__key") == F.col("__d"), "left")
-    left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: F.get(F.col("keep"), i)), "\n")
-    gone = F.coalesce(F.size(F.filter("keep", lambda x: ~x)), F.lit(0))
-    columns = [F.when(F.col("keep").isNull(), F.col(text)).otherwise(left).alias(c) if c == text else docs[c] for c in docs.columns]
-    return out.select(*columns, F.when(F.col("keep").isNull(), 0).otherwise(gone).alias("lines_removed"))
+    left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: F.get(F.col("__keep"), i)), "\n")
+    gone = F.coalesce(F.size(F.filter("__keep", lambda x: ~x)), F.lit(0))
+    columns = [F.when(F.col("__keep").isNull(), F.col(text)).otherwise(left).alias(c) if c == text else docs[c] for c in docs.columns]
+    return out.select(*columns, F.when(F.col("__keep").isNull(), 0).otherwise(gone).alias("lines_removed"))
