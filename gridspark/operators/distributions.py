@@ -13,15 +13,26 @@ def cell_volume(value: Column, dz: float, dy: float, dx: float) -> Column:
     return F.when(value.isNull(), 0.0).otherwise(dz * dy * dx)
 
 
-def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, weight: str, q: float, out: str = "p") -> DataFrame:
+def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, weight: str, q: float, out: str = "p", buckets: int = 1024) -> DataFrame:
     """Inverted-CDF percentile: the least value whose cumulated weight reaches q
-    of the total. Rows are first summed to distinct values, with map-side
-    combining, so that the ordered pass sees each value once."""
+    of the total.
+
+    Exact in two passes, however large a group is: weights are summed to distinct
+    values (with map-side combining) and to `buckets` equal ranges of each key;
+    the cumulated ranges tell the one that holds the percentile, and only its
+    values are put in order.
+    """
     d = df.where(F.col(value).isNotNull() & (F.col(weight) > 0)).groupBy(*keys, value).agg(F.sum(weight).alias("__w"))
+    lim = d.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), (F.sum("__w") * (q * (1 - 1e-12))).alias("__need"))
+    j = d.join(lim, list(keys)).withColumn("__b", equal_bin(F.col(value), F.col("__lo"), F.col("__hi"), buckets))
+    h = j.groupBy(*keys, "__b").agg(F.sum("__w").alias("__h"), F.first("__need").alias("__need"))
+    upto = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("__c", F.sum("__h").over(upto)).where(F.col("__c") >= F.col("__need"))
+    at = h.groupBy(*keys).agg(F.min(F.struct("__b", (F.col("__c") - F.col("__h")).alias("before"))).alias("__at"))
+    k = j.join(at, list(keys)).where(F.col("__b") == F.col("__at.__b"))
     w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("__w").over(Window.partitionBy(*keys))
-    d = d.withColumns({"__c": F.sum("__w").over(w), "__t": total})
-    return d.where(F.col("__c") >= F.col("__t") * q).groupBy(*keys).agg(F.min(value).alias(out))
+    k = k.withColumn("__c", F.col("__at.before") + F.sum("__w").over(w))
+    return k.where(F.col("__c") >= F.col("__need")).groupBy(*keys).agg(F.min(value).alias(out))
 
 
 def histogram_bin(value: Column, edges: Sequence[float]) -> Column:

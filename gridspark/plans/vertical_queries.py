@@ -75,14 +75,14 @@ def w7(spark, d):
 def w7_profile(spark, d):
     p = V.to_profiles(profiles(spark, d), ["cell"], "k", "v", 7)
     out = p.select("cell", V.profile_resample(F.col("v"), OVERLAP, [b - a for a, b in COARSE], 0.4).alias("v"))
-    return out.select("cell", F.posexplode("v").alias("k", "v")).select("cell", (F.col("k") + 1).alias("k"), F.round("v", 6).alias("v"))
+    return out.select("cell", F.posexplode_outer("v").alias("k", "v")).select("cell", (F.col("k") + 1).alias("k"), F.round("v", 6).alias("v"))
 
 
 @query("w3_profile_fill", sql("profiles", ", g AS (SELECT cell, k::INT AS k FROM (SELECT DISTINCT cell FROM profiles), range(1, 8) r(k)), a AS (SELECT g.cell, g.k, v FROM g LEFT JOIN profiles p ON p.cell = g.cell AND p.k = g.k) SELECT cell, k, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY cell ORDER BY k), first_value(v IGNORE NULLS) OVER (PARTITION BY cell ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS v FROM a"))
 def w3_profile(spark, d):
     p = V.to_profiles(profiles(spark, d), ["cell"], "k", "v", 7)
     out = p.select("cell", V.profile_fill_both(F.col("v")).alias("v"))
-    return out.select("cell", F.posexplode("v").alias("k", "v")).select("cell", (F.col("k") + 1).alias("k"), "v")
+    return out.select("cell", F.posexplode_outer("v").alias("k", "v")).select("cell", (F.col("k") + 1).alias("k"), "v")
 
 
 @query("w8_level_bounds", sql("profiles", ", n AS (SELECT *, lag(z) OVER o AS a, lead(z) OVER o AS b FROM profiles WINDOW o AS (PARTITION BY cell ORDER BY k)) SELECT cell, k, (coalesce(a, 2 * z - b) + z) / 2 AS z_lo, (coalesce(b, 2 * z - a) + z) / 2 AS z_hi FROM n"))
