@@ -28,13 +28,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm.common import in_small_batches
+
 #: White space of the tokenizer's patterns (Unicode White_Space).
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _SPLIT = regex.compile(f"[{_SPACES}]+")
 #: str.split() also cuts at these four, which are no white space there.
 _ODD = regex.compile("[\x1c-\x1f]")
 #: Entries kept of words met and of table entries, each then emptied.
-CACHE = 250_000
+CACHE = 180_000
 
 
 @lru_cache(maxsize=1)
@@ -276,7 +278,7 @@ def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
                 out.append(pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raws), "<i4"))))
             yield pa.RecordBatch.from_arrays(out, names=[*names, "ids"] if with_ids else names)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
@@ -289,7 +291,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             ids = pa.array([t.encode(x or "") for x in b.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["doc_id", "ids"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:

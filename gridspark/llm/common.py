@@ -9,12 +9,26 @@ from pyspark.sql import functions as F
 from gridspark.operators.components import connected_components
 from gridspark.sources.staging import new_path, written
 
-__all__ = ["SPACE", "WORD", "connected_components", "join_bounded", "new_path", "written"]
+__all__ = ["SPACE", "WORD", "connected_components", "in_small_batches", "join_bounded", "new_path", "written"]
 
 #: ASCII white space, the only separator of words: 0x20 and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: Bytes that an Arrow batch of texts holds at most (one row may hold more).
+BATCH_BYTES = 16 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that hands Python at most BATCH_BYTES at once (a lower
+    bound that is set already stays), so that long texts don't add up."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(key).removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def join_bounded(df: DataFrame, small: DataFrame, on, how: str = "inner", most: int = 20_000) -> DataFrame:
     """Join with a table of short rows that is broadcast only if it has at most
     `most` rows; beyond that Spark shuffles both (AQE splits hot keys)."""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm import textops
-from gridspark.llm.common import written
+from gridspark.llm.common import in_small_batches, written
 
 #: Buckets of words and pairs, and of shape pairs.
 WORDS_LOG2, SHAPES_LOG2 = 15, 13
@@ -76,7 +76,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     those of at most `labelled` rows of labels (doc_id, quality); only sums per bucket, a fixed number, reach the driver. Labels
     that are null or of unknown documents are ignored."""
     some = _labelled(labels, labelled, FIT)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     rows = rows.join(F.broadcast(some), "doc_id", "left").select("text", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("good"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +114,7 @@ def weights(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: st
                 out[at : at + len(texts)] = np.bincount(doc, ratio[bucket].astype(np.float64), len(texts))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out)], names=["doc_id", "log_weight"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, log_weight double")
 
 

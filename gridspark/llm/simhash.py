@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import connected_components, new_path, written
+from gridspark.llm.common import connected_components, in_small_batches, new_path, written
 
 #: Cells above this many fingerprints are linked by common midpoints instead.
 HOT_CELL = 20_000
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
             fp = np.fromiter((fingerprint(x or b"", words_per_shingle) for x in b.column(1).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 

@@ -20,7 +20,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import new_path, written
+from gridspark.llm.common import in_small_batches, new_path, written
 
 #: Equal payloads from this many bytes on are written once and revisited.
 LEAST_REVISIT = 1000
@@ -143,7 +143,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     """
     key = F.coalesce(F.col(page_id).cast("long"), F.lit(-(1 << 63)))
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
-    rows = pages.select(key.alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
+    rows = in_small_batches(pages).select(key.alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
     digests = rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes")).where(F.col("bytes") >= least)
     digests = written(digests, "warc-digests")
     first = digests.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")

@@ -19,3 +19,14 @@ def test_stages(spark, data):
 def test_all_ten_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+def test_stages_on_odd_rows(spark, data):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, keep int"
+    rows = [(None, None, None, None, None, 1), (1, "", "en", "a", 0, 1), (1, "", "en", "a", 0, 1), (2, "word " * 3000, None, None, 15000, 1), (3, "\n\n \t", "en", "a", 4, 1), (4, None, "en", "b", None, 1), (2**40, "a b c\nd e f", "en", "b", 11, 1)]
+    for some in (rows, []):
+        docs = spark.createDataFrame(some, schema)
+        for k, (_, stage) in enumerate(P.STAGES):
+            out = stage(spark, docs, data)
+            assert k == len(P.STAGES) - 1 or out.columns == P.COLUMNS
+            assert out.count() <= 3 * len(some)
