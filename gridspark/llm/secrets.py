@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm import textops
+from gridspark.llm.common import in_small_batches
 
 #: Fixed patterns, with the least length of what counts and the group it is of.
 BASE = (
@@ -127,34 +128,34 @@ class Crf:
 
     def train(self, code: np.ndarray, tag: np.ndarray, real: np.ndarray, rounds: int = 100, ridge: float = 1e-4) -> Crf:
         """Conditional likelihood over windows (n, length), by gradient ascent
-        with forward and backward sums; real is False for padding."""
+        with scaled forward and backward sums; real is False for padding, at the end."""
         if not len(code):
             return self
-        x, n, length = _bits(code), *code.shape
+        n, length = code.shape
+        x = _bits(code).reshape(n * length, -1)
         gold = np.eye(3)[tag] * real[..., None]
-        pairs = real[:, 1:] & real[:, :-1]
-        gold_move = np.einsum("nti,ntj,nt->ij", np.eye(3)[tag[:, :-1]], np.eye(3)[tag[:, 1:]], pairs)
+        pairs = (real[:, 1:] & real[:, :-1]).astype(float)
+        gold_move = sum((gold[:, t - 1] * pairs[:, t - 1, None]).T @ gold[:, t] for t in range(1, length))
         theta = [self.unary, self.move]
         m1, m2 = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
         for r in range(1, rounds + 1):
-            u = x @ self.unary
+            u = (x @ self.unary).reshape(n, length, 3)
             u[:, 0, 2] += self.FORBID
-            move = self._moves()
-            alpha, beta = np.zeros((n, length, 3)), np.zeros((n, length, 3))
-            alpha[:, 0] = u[:, 0]
+            e, move = np.exp(u - u.max(2, keepdims=True)), np.exp(self._moves())
+            alpha, beta, scale = np.empty_like(e), np.ones_like(e), np.ones((n, length, 1))
+            alpha[:, 0] = e[:, 0] / e[:, 0].sum(1, keepdims=True)
             for t in range(1, length):
-                step = np.logaddexp.reduce(alpha[:, t - 1, :, None] + move, axis=1) + u[:, t]
-                alpha[:, t] = np.where(real[:, t, None], step, alpha[:, t - 1])
-            for t in range(length - 2, -1, -1):
-                step = np.logaddexp.reduce(move + (u[:, t + 1] + beta[:, t + 1])[:, None, :], axis=2)
-                beta[:, t] = np.where(real[:, t + 1, None], step, beta[:, t + 1])
-            z = np.logaddexp.reduce(alpha[:, -1], axis=1)
-            p = np.exp(alpha + beta - z[:, None, None]) * real[..., None]
-            g1 = np.einsum("ntf,nts->fs", x, gold - p) / n
+                step = (alpha[:, t - 1] @ move) * e[:, t]
+                scale[:, t] = step.sum(1, keepdims=True)
+                alpha[:, t] = np.where(real[:, t, None], step / scale[:, t], alpha[:, t - 1])
             g2 = gold_move.copy()
-            for t in range(1, length):
-                joint = alpha[:, t - 1, :, None] + move + (u[:, t] + beta[:, t])[:, None, :] - z[:, None, None]
-                g2 -= (np.exp(joint) * pairs[:, t - 1, None, None]).sum(0)
+            for t in range(length - 1, 0, -1):
+                after = e[:, t] * beta[:, t] / scale[:, t]
+                g2 -= (alpha[:, t - 1] * pairs[:, t - 1, None]).T @ after * move
+                beta[:, t - 1] = np.where(real[:, t, None], after @ move.T, beta[:, t])
+            p = alpha * beta
+            p = p / p.sum(2, keepdims=True) * real[..., None]
+            g1 = x.T @ (gold - p).reshape(n * length, 3) / n
             for k, g in enumerate((g1, g2 / n)):
                 g = g - ridge * theta[k]
                 m1[k], m2[k] = 0.9 * m1[k] + 0.1 * g, 0.99 * m2[k] + 0.01 * g * g
@@ -195,7 +196,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     total = docs.count()
     share = min(1.0, sample / max(1, total))
     h = F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.lit(SEED)), 11).cast("double") / float(1 << 53)
-    some = docs.where(h < share).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    some = in_small_batches(docs).where(h < share).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -270,7 +271,7 @@ def scan(docs: DataFrame, crf: Crf, doc_id: str = "doc_id", text: str = "text")
                     out.append(spans_of(raw, table[code[w]] if tagged[k] else None, start[w], end[w], keyword[k], run_[k]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], names=["doc_id", "spans"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, spans array<struct<kind: string, start: long, end: long>>")
 
 

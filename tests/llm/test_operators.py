@@ -521,3 +521,41 @@ def test_blocks_of_words():
 
 def test_unicode_form_is_nfc():
     assert unicodedata.normalize("NFC", "é") == "é"
+
+
+def test_crf_gradient_is_that_of_the_likelihood():
+    """One step from zero follows the sign of a numeric gradient."""
+    rng = np.random.default_rng(4)
+    code = rng.integers(0, 1 << secrets.BITS, (6, 5))
+    tag = rng.integers(0, 2, (6, 5))
+    real = np.arange(5) < rng.integers(2, 6, (6, 1))
+    start = secrets.Crf()
+    start.unary = rng.standard_normal(start.unary.shape)
+    start.move = rng.standard_normal((3, 3))
+
+    def likelihood(unary, move):
+        c = secrets.Crf()
+        c.unary, c.move = unary, move
+        u, m, out = secrets._bits(code) @ unary, c._moves(), 0.0
+        for k in range(len(code)):
+            n = real[k].sum()
+            v = u[k, :n].copy()
+            v[0, 2] += c.FORBID
+            a = v[0]
+            for t in range(1, n):
+                a = np.logaddexp.reduce(a[:, None] + m, axis=0) + v[t]
+            out += v[np.arange(n), tag[k, :n]].sum() + m[tag[k, : n - 1], tag[k, 1:n]].sum() - np.logaddexp.reduce(a)
+        return out
+
+    got = secrets.Crf()
+    got.unary, got.move = start.unary.copy(), start.move.copy()
+    got.train(code, tag, real, rounds=1, ridge=0.0)
+    for name in ("unary", "move"):
+        for k in np.ndindex(getattr(start, name).shape):
+            up = {n: getattr(start, n).copy() for n in ("unary", "move")}
+            down = {n: getattr(start, n).copy() for n in ("unary", "move")}
+            up[name][k] += 1e-5
+            down[name][k] -= 1e-5
+            slope = (likelihood(**up) - likelihood(**down)) / 2e-5
+            if abs(slope) > 1e-3 and not (name == "move" and k == (0, 2)):
+                assert np.sign(getattr(got, name)[k] - getattr(start, name)[k]) == np.sign(slope), (name, k)
