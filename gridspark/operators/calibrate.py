@@ -24,9 +24,9 @@ def sweep(df: DataFrame, name: str, first: float, step: float, n: int) -> DataFr
 
 def optimal_offset(sums: DataFrame, targets: DataFrame, keys: Sequence[str], zone: str, offset: str, value: str, target: str) -> DataFrame:
     """Per keys and zone the offset whose sum is nearest to the target (ties: the
-    smallest), and what is left."""
+    smallest; sums are compared to nine decimals), and what is left."""
     d = F.abs(F.col(value) - F.col(target))
-    best = sums.join(targets, zone).groupBy(*keys, zone).agg(F.min(F.struct(d.alias("residual"), F.col(offset).alias("offset"))).alias("s"))
+    best = sums.join(targets, zone).groupBy(*keys, zone).agg(F.min(F.struct(F.round(d, 9).alias("r"), F.col(offset).alias("offset"), d.alias("residual"))).alias("s"))
     return best.select(*keys, zone, F.col("s.offset").alias("offset"), F.col("s.residual").alias("residual"))
 
 
