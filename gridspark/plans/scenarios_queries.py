@@ -53,7 +53,7 @@ def b11(spark, d):
     return out.select("i", "j", "k", "value")
 
 
-@query("s6_incremental_append", "SELECT CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+@query("s6_incremental_append", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def s6(spark, d):
     """Two overlapping batches of days; the second adds only what is new."""
     e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
@@ -61,7 +61,7 @@ def s6(spark, d):
     incremental.append_new(e.where("day < date'2024-01-20'"), path, ["day"])
     incremental.append_new(e.where("day >= date'2024-01-10'"), path, ["day"])
     out = spark.read.parquet(path)
-    return out.groupBy("day").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return out.groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("s2_files_by_year", "SELECT CAST(year(o_orderdate) AS INT) AS yr, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE year(o_orderdate) >= 1996 GROUP BY 1")
