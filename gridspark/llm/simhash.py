@@ -196,7 +196,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """docs without the near-duplicates: of each group the row with the smallest
-    doc_id stays (of repeated rows of that doc_id, one per distinct id)."""
+    doc_id stays; rows that share that doc_id all stay."""
     groups = near_groups(docs, doc_id, text, max_bits)
     keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(keep, docs[doc_id].eqNullSafe(F.col("__kept")), "left_semi")
