@@ -4,7 +4,8 @@ Documents that share lines are paired through line hashes: the holders of a
 rare line all with one another, those of a common one with its first holder
 alone, so that pairs grow with the lines and no line is left out. Each pair is
 aligned by patience diff, and the aligned common blocks are deleted from the
-later document. A line's first holder has nobody before it, so one copy of
+later document; so are the common blocks that such an alignment leaves, as the
+later document repeats a passage or has two in another order. A line's first holder has nobody before it, so one copy of
 every line stays.
 """
 
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm import textops
 from gridspark.llm.common import written
 
 #: Holders of a line in at most so many documents are paired all with all.
@@ -42,10 +44,29 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
+class Alignment(list):
+    """Matched positions (in a, in b), and the two sides they are of."""
+
+    def __init__(self, matched: list[tuple[int, int]], a: Sequence[int], b: Sequence[int]):
+        super().__init__(matched)
+        self.a, self.b = a, b
+
+
+def _numbered(x: Sequence[int], start: int, stop: int) -> dict[tuple[int, int], int]:
+    """Positions by line and by which of its occurrences in the range it is."""
+    seen: Counter = Counter()
+    out = {}
+    for k in range(start, stop):
+        out[x[k], seen[x[k]]] = k
+        seen[x[k]] += 1
+    return out
+
+
+def patience(a: Sequence[int], b: Sequence[int]) -> Alignment:
     """Matched positions (in a, in b), increasing in both: equal lines at the
     ends of a range match; within, lines that occur once in either are anchors,
-    the longest increasing run of which parts the range, and so on."""
+    the longest increasing run of which parts the range, and so on. Where no
+    line occurs once, the n-th occurrences of a line are anchors."""
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -61,18 +82,52 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[i:m]), Counter(b[j:n])
         where = {x: k for k, x in enumerate(a[i:m], i) if in_a[x] == 1 and in_b.get(x) == 1}
         anchors = _increasing([(k, where[x]) for k, x in enumerate(b[j:n], j) if x in where])
+        if not anchors:
+            where = _numbered(a, i, m)
+            anchors = _increasing([(k, where[x]) for x, k in _numbered(b, j, n).items() if x in where])
         if not anchors:
             continue
         out += [(x, y) for y, x in anchors]
         for (y, x), (v, u) in zip([(j - 1, i - 1), *anchors], [*anchors, (n, m)], strict=True):
             if x + 1 < u and y + 1 < v:
                 todo.append((x + 1, u, y + 1, v))
-    return sorted(out)
-
-
-def blocks(matched: list[tuple[int, int]], chars: Sequence[int], least: int) -> list[int]:
+    return Alignment(sorted(out), a, b)
+
+
+def windows(size: np.ndarray, low: np.ndarray | int, high: np.ndarray | int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the shortest runs of lines with `least` characters,
+    from each line on and up to each line, that lie in its document (from low to
+    high). Any run of so many characters is covered by those within it."""
+    c, k = np.r_[0, np.cumsum(size)], np.arange(len(size))
+    end = np.maximum(np.searchsorted(c, c[:-1] + least), k + 1)
+    start = np.minimum(np.searchsorted(c, c[1:] - least, "right") - 1, k)
+    on, up = end <= high, start >= low
+    return np.r_[k[on], start[up]], np.r_[end[on], k[up] + 1]
+
+
+def _shared(a: Sequence[int], b: Sequence[int], chars: Sequence[int], least: int) -> np.ndarray:
+    """Of each line of b, whether it is in a run of `least` characters that a
+    has as well, wherever in either and however often."""
+    number = {x: k for k, x in enumerate(dict.fromkeys(b))}
+    size = dict(zip(b, chars, strict=True))
+    found = []
+    for x in (a, b):
+        start, end = windows(np.array([size.get(y, least) for y in x], np.int64), 0, len(x), least)
+        lines = textops.mixed(np.array([number.get(y, -1) + 2 for y in x], np.uint64))
+        found.append((start, end, textops.hashes(lines, start, end)))
+    start, end, h = found[1]
+    hit = np.isin(h, found[0][2])
+    edge = np.zeros(len(b) + 1, np.int64)
+    np.add.at(edge, start[hit], 1)
+    np.add.at(edge, end[hit], -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def blocks(matched: Alignment, chars: Sequence[int], least: int) -> list[int]:
     """Positions in b of the matched blocks, runs without a gap on either side,
-    that have `least` characters or more."""
+    that have `least` characters or more; then, if lines of a are left in b, of
+    all other such runs: a passage that b repeats or has in another order has
+    no place in one increasing alignment."""
     out: list[int] = []
     k = 0
     while k < len(matched):
@@ -83,7 +138,10 @@ def blocks(matched: list[tuple[int, int]], chars: Sequence[int], least: int) ->
         if sum(chars[y] for y in run) >= least:
             out += run
         k = m
-    return out
+    gone, in_a = set(out), set(matched.a)
+    if any(x in in_a and y not in gone for y, x in enumerate(matched.b)):
+        out += [y for y in np.flatnonzero(_shared(matched.a, matched.b, chars, least)).tolist() if y not in gone]
+    return sorted(out)
 
 
 def _key(doc_id: str, text: str) -> Column:
