@@ -1,30 +1,36 @@
 """Line dedup by pairwise alignment (operator 3).
 
-Documents that share lines are paired through line hashes: the holders of a
-rare line all with one another, those of a common one with its first holder
-alone, so that pairs grow with the lines and no line is left out. Each pair is
-aligned by patience diff, and the aligned common blocks are deleted from the
-later document; so are the common blocks that such an alignment leaves, as the
-later document repeats a passage or has two in another order. A line's first holder has nobody before it, so one copy of
-every line stays.
+Documents are paired through hashes of short runs of lines, the shortest with
+LEAST_CHARS characters from each line on and up to each line: every holder of a
+run with the run's first holder. Each pair is aligned by patience diff, and the
+aligned common blocks are deleted from the later document; so are the common
+blocks that such an alignment leaves, as the later document repeats a passage or
+has two in another order.
+
+That gives what pairing all holders of every line would, with pairs that grow
+with the lines: a block consists of such runs, whoever else has it, and of each
+the first holder has it too. A run's first holder has nobody before it, so one
+copy of every block stays.
 """
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm import textops
-from gridspark.llm.common import written
+from gridspark.llm.common import in_small_batches, written
 
-#: Holders of a line in at most so many documents are paired all with all.
-RARE = 3
+#: Up to so many holders of a line count as compared all with all: no limit.
+RARE = sys.maxsize
 #: An aligned block of fewer characters stays.
 LEAST_CHARS = 20
 
@@ -150,7 +156,7 @@ def _key(doc_id: str, text: str) -> Column:
     return F.struct(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("t"))
 
 
-def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE, least_chars: int = LEAST_CHARS) -> DataFrame:
+def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
     """(d, keep) of each document that loses lines: keep is an array of boolean,
     one for each line."""
     lines = F.split(F.col(text), "\n", -1)
@@ -158,17 +164,32 @@ def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare
         _key(doc_id, text).alias("d"),
         F.transform(lines, lambda x: F.xxhash64(x)).alias("h"),
         F.transform(lines, lambda x: F.char_length(x)).alias("n"),
-        F.array_distinct(F.transform(F.filter(lines, lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x))).alias("own"),
+        F.transform(lines, lambda x: F.trim(x) != "").alias("full"),
     )
     rows = written(rows.dropDuplicates(["d"]), "line-hashes")
-    held = rows.select("d", F.explode("own").alias("line"))
-    first = held.groupBy("line").agg(F.min("d").alias("a"), F.count("*").alias("holders")).where("holders > 1")
-    first = written(first, "line-first")  # a join of two plain shuffles, so that Spark can split a hot line
-    held = written(held.join(first, "line"), "line-holders")
-    pairs = held.where("d <> a").select("a", F.col("d").alias("b"))
-    few = held.where(F.col("holders").between(3, rare)).groupBy("line").agg(F.array_sort(F.collect_list("d")).alias("all"))
-    few = few.select(F.posexplode("all").alias("at", "b"), "all").where("at > 1").select(F.explode(F.slice("all", 2, F.col("at") - 1)).alias("a"), "b")
-    pairs = pairs.union(few).distinct()
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            if not t.num_rows:
+                continue
+            count = pc.list_value_length(t.column(1)).to_numpy()
+            last = np.cumsum(count)
+            doc = np.repeat(np.arange(t.num_rows), count)
+            h, n, full = (c.flatten().to_numpy(zero_copy_only=False) for c in t.columns[1:])
+            start, end = windows(n, (last - count)[doc], last[doc], least_chars)
+            some = np.r_[0, np.cumsum(full)]
+            start, end = (x[some[end] > some[start]] for x in (start, end))
+            line, doc = textops.hashes(textops.mixed(h.astype(np.uint64)), start, end).astype(np.int64), doc[start]
+            order = np.lexsort((line, doc))
+            line, doc = line[order], doc[order]
+            new = np.r_[True, (line[1:] != line[:-1]) | (doc[1:] != doc[:-1])][: len(line)]
+            yield pa.RecordBatch.from_arrays([t.column(0).take(pa.array(doc[new])), pa.array(line[new])], names=["d", "line"])
+
+    kind = "d struct<id: long, t: long>"
+    held = written(in_small_batches(rows).select("d", "h", "n", "full").mapInArrow(runs, f"{kind}, line long"), "line-runs")
+    first = held.groupBy("line").agg(F.min("d").alias("a"), F.count("*").alias("holders")).where("holders > 1").select("line", "a")
+    first = written(first, "line-first")  # a join of two plain shuffles, so that Spark can split a hot run
+    pairs = held.join(first, "line").where("d <> a").select("a", F.col("d").alias("b")).distinct()
     pairs = pairs.join(rows.select(F.col("d").alias("a"), F.col("h").alias("ha")), "a")
     pairs = pairs.join(rows.select(F.col("d").alias("b"), F.col("h").alias("hb"), "n"), "b").select("b", "ha", "hb", "n")
 
@@ -189,22 +210,22 @@ def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare
                 out.append(keep)
             yield pa.RecordBatch.from_arrays([t.column(0), pa.array(out, pa.list_(pa.bool_()))], names=["d", "keep"])
 
-    kind = "d struct<id: long, t: long>"
     found = pairs.mapInArrow(align, f"{kind}, size int, gone array<int>").where(F.size("gone") > 0)
     found = found.groupBy("d", "size").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
     return found.mapInArrow(masks, f"{kind}, keep array<boolean>")
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
     """docs with the aligned blocks deleted from text, and the column
     lines_removed; all rows and other columns stay.
 
-    Lines end at a line feed. Blank lines pair no documents but go with a block.
+    Lines end at a line feed. Blank lines alone pair no documents but go with a
+    block.
     Null text stays null; a text of which nothing is left is empty. Exact copies
     lose all lines but in the first. Rows equal in id and text are one document.
     Order is by doc_id (null first), then by the text's hash.
     """
-    keep = written(kept_lines(docs, doc_id, text, rare, least_chars), "line-masks").withColumnsRenamed({"d": "__d", "keep": "__keep"})
+    keep = written(kept_lines(docs, doc_id, text, least_chars), "line-masks").withColumnsRenamed({"d": "__d", "keep": "__keep"})
     out = docs.withColumn("__key", _key(doc_id, text)).join(keep, F.col("__key") == F.col("__d"), "left")
     left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: F.get(F.col("__keep"), i)), "\n")
     gone = F.coalesce(F.size(F.filter("__keep", lambda x: ~x)), F.lit(0))

@@ -36,3 +36,17 @@ def test_blocks_against_search():
     for _ in range(400):
         a, b = ([rng.choice(pool) for _ in range(rng.randint(0, 9))] for _ in "ab")
         assert gone(a, b) == by_search(a, b), (a, b)
+
+
+def test_all_pairs_of_holders(spark):
+    """Four and more holders, whose first one has only single short lines of a block."""
+    rng = random.Random(11)
+    pool = ["", "abc", "seven ch", "ten chars.", "eleven char", "nineteen characters", "a line of more than twenty", "and another one, long enough"]
+    texts = {i: [rng.choice(pool) if rng.random() < 0.7 else f"own {i} {k} {rng.random()}" for k in range(rng.randint(1, 7))] for i in range(10, 60)}
+    texts |= {0: ["ten chars."], 1: ["eleven char", "x"], **{i: [f"{i}", "ten chars.", "eleven char", f"-{i}"] for i in range(2, 8)}}
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()}
+    for b, lines in texts.items():
+        lost = {k for a in texts if a < b for k in by_search(texts[a], lines)}
+        assert got[b] == "\n".join(x for k, x in enumerate(lines) if k not in lost), b
+    assert got[2] == "2\nten chars.\neleven char\n-2" and got[7] == "7\n-7"
