@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -9,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.sources.staging import written
+
 #: Weights of a Gaussian of 24 km on 8 km cells at the six distances below.
 WEIGHTS = (0.946, 0.801, 0.895, 0.757, 0.641, 0.606)
 RINGS = ((1, 0), (2, 0), (1, 1), (2, 1), (2, 2), (3, 0))
@@ -128,14 +131,18 @@ def fill_bins(deltas: DataFrame, key: str, s_bin: str, t_bin: str, value: str, n
     return deltas.groupBy(key).applyInPandas(one, schema)
 
 
-def fill_nearest(df: DataFrame, value: str, inside: str, reach: int = 64, i: str = "i", j: str = "j") -> DataFrame:
+def fill_nearest(df: DataFrame, value: str, inside: str, i: str = "i", j: str = "j") -> DataFrame:
     """Missing cells inside a mask take the value of the nearest cell that has
     one (ties: lowest j, then i). Searched in tiles of growing size: a cell
     looks at its own and the eight around, which is exact within one tile's
-    width; those with none so near go on with tiles twice as wide."""
+    width; those with none so near go on with tiles four times as wide, until none
+    is left or a tile is wider than the grid. Cells still asking are written
+    each time."""
     have = df.where(F.col(value).isNotNull()).select(F.col(j).alias("__j"), F.col(i).alias("__i"), F.col(value).alias("__v"))
     want = df.where(F.col(value).isNull() & F.col(inside))
     found = None
+    ends = df.agg(*[f(c).alias(f"{n}{c}") for c in (i, j) for n, f in (("a", F.min), ("b", F.max))]).first()
+    across = math.hypot(*[(ends[f"b{c}"] or 0) - (ends[f"a{c}"] or 0) for c in (i, j)])
     width = 4
     left = want.select(i, j)
     while True:
@@ -148,9 +155,11 @@ def fill_nearest(df: DataFrame, value: str, inside: str, reach: int = 64, i: str
         got = ask.join(source, ["__a", "__b"]).groupBy(i, j).agg(F.min(F.struct(d2.alias("d"), "__j", "__i", "__v")).alias("s"))
         got = got.where(F.col("s.d") <= width * width).select(i, j, F.col("s.__v").alias("__v"))
         found = got if found is None else found.unionByName(got)
-        if width >= reach:
+        if width >= across:
+            break
+        left = written(left.join(got.select(i, j), [i, j], "left_anti"), "fill-left")
+        if left.isEmpty():
             break
-        left = left.join(got.select(i, j), [i, j], "left_anti")
         width *= 4
     return df.join(found, [i, j], "left").withColumn(value, F.coalesce(F.col(value), F.col("__v"))).drop("__v")
 

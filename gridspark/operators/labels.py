@@ -97,10 +97,10 @@ def make_contiguous(df: DataFrame, label: str, rounds: int = 8, **how) -> DataFr
     return cells.select("i", "j", F.coalesce(label, F.lit(-1)).alias(label))
 
 
-def extend_nearest(df: DataFrame, label: str, reach: int = 64) -> DataFrame:
+def extend_nearest(df: DataFrame, label: str) -> DataFrame:
     """Unlabelled cells (negative) take the label of the nearest labelled one."""
     cells = df.select("i", "j", F.when(F.col(label) >= 0, F.col(label)).alias(label)).withColumn("__in", F.lit(True))
-    out = fill_nearest(cells, label, "__in", reach)
+    out = fill_nearest(cells, label, "__in")
     return out.select("i", "j", F.coalesce(label, F.lit(-1)).alias(label))
 
 
@@ -124,10 +124,10 @@ def shelf_break(shelf: DataFrame, deep: DataFrame) -> DataFrame:
     return shelf.join(ring, ["i", "j"], "left_semi").select("i", "j")
 
 
-def extrude_labels(cells: DataFrame, sources: DataFrame, label: str, reach: int = 64) -> DataFrame:
+def extrude_labels(cells: DataFrame, sources: DataFrame, label: str) -> DataFrame:
     """Cells without a label take that of the nearest source cell."""
     both = cells.select("i", "j").join(sources.select("i", "j", label), ["i", "j"], "left").withColumn("__in", F.lit(True))
-    return fill_nearest(both, label, "__in", reach).select("i", "j", label)
+    return fill_nearest(both, label, "__in").select("i", "j", label)
 
 
 def fill_bounded(df: DataFrame, label: str, wall: str) -> DataFrame:

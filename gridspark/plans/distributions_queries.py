@@ -122,7 +122,7 @@ def i2(spark, d):
 @query("i11_nearest_fill", sql("cells", ", h AS (SELECT i, j, v_holes AS x FROM cells WHERE v_holes IS NOT NULL), r AS (SELECT c.i, c.j, h.x, row_number() OVER (PARTITION BY c.i, c.j ORDER BY pow(c.i - h.i, 2) + pow(c.j - h.j, 2), h.j, h.i) AS n FROM cells c, h WHERE c.v_holes IS NULL AND c.ice_frac < 0.5 AND abs(c.i - h.i) < 12 AND abs(c.j - h.j) < 12) SELECT c.i, c.j, coalesce(c.v_holes, r.x) AS v FROM cells c LEFT JOIN r ON r.i = c.i AND r.j = c.j AND r.n = 1"))
 def i11(spark, d):
     c = cells(spark, d).select("i", "j", F.col("v_holes").alias("v"), (F.col("ice_frac") < 0.5).alias("inside"))
-    return fill.fill_nearest(c, "v", "inside", reach=16).select("i", "j", "v")
+    return fill.fill_nearest(c, "v", "inside").select("i", "j", "v")
 
 
 @query("i12_linear_fill", sql("cells", """, w AS (SELECT *, last_value(CASE WHEN v_holes IS NOT NULL THEN {'v': v_holes, 'a': i} END IGNORE NULLS) OVER (PARTITION BY j ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
