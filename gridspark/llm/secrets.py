@@ -168,10 +168,11 @@ class Crf:
 
     def may_tag(self, table: np.ndarray) -> np.ndarray:
         """Of each code, whether a text of such words could leave "outside": a
-        span gains at most its words' lead over outside, plus a transition's."""
+        span gains at most its words' lead over outside, plus a transition's; a
+        text's first word has none before it."""
         move = self._moves() - self.move[0, 0]
         lead = table[:, 1:].max(1) - table[:, 0]
-        return lead + max(move[0, 1], move[1, 2], move[2, 2], move[1, 1], move[2, 1]) + max(0.0, move[1, 0], move[2, 0]) > 0
+        return lead + max(0.0, move[0, 1], move[1, 2], move[2, 2], move[1, 1], move[2, 1]) + max(0.0, move[1, 0], move[2, 0]) > 0
 
     def viterbi(self, u: np.ndarray) -> np.ndarray:
         """Best tags of one text; on a tie the lower state."""
