@@ -23,39 +23,71 @@ from pyspark.sql import functions as F
 from gridspark.llm.common import connected_components, join_bounded, written
 
 COSINE = 0.9
-#: Directions that a vector exceeds on average, vectors that meet at one, and
-#: codes with a rotation of their own.
-FILTERS, MEET, CODES = 40, 64, 16
-#: Vectors that one task compares all with all.
-UNIT = 2048
+#: Share of isolated pairs at the cosine asked for that no direction may bring
+#: together, vectors that meet at one direction on average, and codes with a
+#: rotation of their own.
+MISS, MEET, CODES = 1e-5, 512, 16
+#: Vectors that one task compares all with all, at most; those of a component
+#: are cut finer, as long as that gives at most PARTS parts.
+UNIT, LEAST_UNIT, PARTS = 2048, 128, 512
 SEED = 7
 
 
 class ProductCode:
     """Directions for dimension d, as many as n vectors call for: `codes` codes,
-    each of a rotation of its own, so that no vector depends on one code's luck."""
-
-    def __init__(self, d: int, n: int, filters: int = FILTERS, meet: int = MEET, codes: int = CODES, seed: int = SEED):
-        rng = np.random.default_rng([seed, d])
-        total = max(256.0, n * filters / meet / codes)
-        self.parts = min(d, max(2, int(np.ceil(np.log(total) / np.log(4096)))))
-        self.words = max(2, int(np.ceil(total ** (1 / self.parts))))
-        self.cuts = np.linspace(0, d, self.parts + 1).astype(int)
-        self.codes = []
-        for _ in range(codes):
-            rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
-            blocks = []
-            for a, b in zip(self.cuts[:-1], self.cuts[1:], strict=True):
-                c = rng.standard_normal((self.words, b - a))
-                blocks.append(c / np.linalg.norm(c, axis=1, keepdims=True) / np.sqrt(self.parts))
-            self.codes.append((rotation, blocks))
-        # the bound that random vectors exceed `filters` times on average
-        x = _unit(rng.standard_normal((256, d)))
-        low, high = 0.0, 1.0
-        for _ in range(20):
-            self.bound = (low + high) / 2
-            many = sum(len(self.decode(x, k)[0]) for k in range(min(2, codes))) / min(2, codes)
-            low, high = (self.bound, high) if many > filters / codes * len(x) else (low, self.bound)
+    each of a rotation of its own, so that no vector depends on one code's luck.
+
+    As the rotations are random, a pair at `cosine` meets in each code with the
+    same chance on its own, and all codes miss it with chance (1 - p) ** codes.
+    The bound is set on planted pairs to the p that makes this `miss`, whatever
+    n is; what grows with n is how many directions a vector exceeds (`filters`).
+    """
+
+    def __init__(self, d: int, n: int, miss: float = MISS, meet: int = MEET, codes: int = CODES, cosine: float = COSINE, seed: int = SEED):
+        self.filters = 40.0
+        for _ in range(2):  # the number of directions and that of a vector's filters follow each other
+            rng = np.random.default_rng([seed, d])
+            total = max(256.0, n * self.filters / meet / codes)
+            # blocks of four dimensions or more, as codewords of fewer are all alike
+            self.parts = min(max(1, d // 4), max(2, int(np.ceil(np.log(total) / np.log(4096)))))
+            self.words = min(4096, max(2, int(np.ceil(total ** (1 / self.parts)))))
+            self.cuts = np.linspace(0, d, self.parts + 1).astype(int)
+            self.codes = []
+            for _ in range(codes):
+                rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
+                blocks = []
+                for a, b in zip(self.cuts[:-1], self.cuts[1:], strict=True):
+                    c = rng.standard_normal((self.words, b - a))
+                    blocks.append(c / np.linalg.norm(c, axis=1, keepdims=True) / np.sqrt(self.parts))
+                self.codes.append((rotation, blocks))
+            x, y = planted_pairs(rng, 512, d, cosine)
+            self._set_bound(x, y, 1 - miss ** (1 / codes))
+            some = range(min(4, codes))
+            self.filters = max(1.0, sum(len(self.decode(x, k)[0]) for k in some) / len(some) / len(x) * codes)
+
+    def _set_bound(self, x: np.ndarray, y: np.ndarray, chance: float) -> None:
+        """The highest bound at which planted pairs meet in a code with `chance`."""
+        some = range(min(4, len(self.codes)))
+
+        def enough(bound: float) -> bool:
+            self.bound = bound
+            return sum(self.meet(x, y, k).sum() for k in some) >= chance * len(some) * len(x)
+
+        high, low = 1.0, 0.96
+        while low > 1e-3 and not enough(low):  # downwards, as low bounds list many directions
+            high, low = low, low * 0.96
+        for _ in range(5):
+            mid = (low + high) / 2
+            low, high = (mid, high) if enough(mid) else (low, mid)
+        self.bound = low
+
+    def meet(self, x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
+        """Of pairs of unit rows, which share a direction of code k."""
+        a, b = (np.stack(self.decode(z, k)) for z in (x, y))
+        size = self.words**self.parts * (k + 1)
+        hit = np.zeros(len(x), bool)
+        hit[np.intersect1d(*(r * size + i for r, i in (a, b))) // size] = True
+        return hit
 
     def decode(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, direction) of all directions of code k that unit rows exceed."""
@@ -73,11 +105,23 @@ class ProductCode:
 
 
 @lru_cache(maxsize=8)
-def product_code(d: int, n: int, filters: int, meet: int) -> ProductCode:
-    return ProductCode(d, n, filters, meet)
+def product_code(d: int, n: int, miss: float = MISS, meet: int = MEET, cosine: float = COSINE) -> ProductCode:
+    return ProductCode(d, n, miss, meet, cosine=cosine)
+
+
+def planted_pairs(rng: np.random.Generator, n: int, d: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """n pairs of random unit rows with the cosine given (in one dimension: of +-1)."""
+    x, u = _unit(rng.standard_normal((n, d))), rng.standard_normal((n, d))
+    if d == 1:
+        return x, x
+    u = _unit(u - (u * x).sum(1, keepdims=True) * x)
+    return x, cosine * x + np.sqrt(1 - cosine * cosine) * u
 
 
 def _unit(block: np.ndarray) -> np.ndarray:
+    """Rows of length one; by their largest part first, so that squares of huge
+    or tiny numbers stay in range."""
+    block = block / np.abs(block).max(1, keepdims=True)
     return block / np.linalg.norm(block, axis=1, keepdims=True)
 
 
@@ -86,21 +130,22 @@ def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1).astype(np.float64)
 
 
-def _units(rows: DataFrame, key: str, unit: int) -> DataFrame:
+def _units(rows: DataFrame, key: str, least: int) -> DataFrame:
     """rows with the columns x and y of the unit of work they take part in. A
-    key of up to `unit` rows is one unit; a larger one is cut into parts by a
-    hash of vec_id, and each pair of parts is a unit, so that all pairs of rows
-    meet and no task gets more than two parts."""
-    large = written(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > unit), "cap-large")
-    out = join_bounded(rows, large, key, "left").withColumn("parts", F.coalesce(F.ceil(F.col("n") / unit), F.lit(1)).cast("int"))
+    key of up to `least` rows is one unit; a larger one is cut into parts by a
+    hash of vec_id, of UNIT rows at most, and each pair of parts is a unit, so
+    that all pairs of rows meet and no task gets more than two parts."""
+    large = written(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > min(least, UNIT)), "cap-large")
+    size = F.least(F.lit(UNIT), F.greatest(F.lit(least), F.col("n") / PARTS))
+    out = join_bounded(rows, large, key, "left").withColumn("parts", F.coalesce(F.ceil(F.col("n") / size), F.lit(1)).cast("int"))
     part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
     out = out.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return out.withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other")).drop("n", "parts", "other")
 
 
 def _by_unit(rows: DataFrame, key: str, kind: str, work: Callable[..., list[np.ndarray]], schema: str, names: list[str]) -> DataFrame:
-    """work(ids, unit vectors, copies, parts, whether of one part) for each unit,
-    units being consecutive rows of sorted partitions."""
+    """work(ids, unit vectors, copies, parts, whether of one part) for each unit
+    and length of vectors, these being consecutive rows of sorted partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -109,8 +154,8 @@ def _by_unit(rows: DataFrame, key: str, kind: str, work: Callable[..., list[np.n
             if held:
                 t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 if t.num_rows > 1:
-                    same = t.column(1)[0].as_py() == t.column(2)[0].as_py()
-                    out = work(t.column(3).to_numpy(), _unit(_matrix(t.column(4), kind)), t.column(6).to_numpy(), t.column(5).to_numpy(), same)
+                    same = t.column(2)[0].as_py() == t.column(3)[0].as_py()
+                    out = work(t.column(4).to_numpy(), _unit(_matrix(t.column(5), kind)), t.column(7).to_numpy(), t.column(6).to_numpy(), same)
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
                 held.clear()
 
@@ -118,7 +163,7 @@ def _by_unit(rows: DataFrame, key: str, kind: str, work: Callable[..., list[np.n
         for b in batches:
             if not b.num_rows:
                 continue
-            k = np.stack([b.column(j).to_numpy() for j in range(3)])
+            k = np.stack([b.column(j).to_numpy() for j in range(4)])
             edge = np.r_[0, np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1, b.num_rows]
             for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                 now = tuple(k[:, s].tolist())
@@ -128,8 +173,9 @@ def _by_unit(rows: DataFrame, key: str, kind: str, work: Callable[..., list[np.n
                 held.append(b.slice(s, e - s))
         yield from flush()
 
-    rows = rows.select(F.col(key).alias("key"), "x", "y", "vec_id", "vector", "part", "copies")
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema)
+    unit = ["key", "size", "x", "y"]
+    rows = rows.select(F.col(key).alias("key"), F.octet_length("vector").cast("long").alias("size"), "x", "y", "vec_id", "vector", "part", "copies")
+    return rows.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, schema)
 
 
 def _pairs_of(v: np.ndarray, part: np.ndarray, same: bool, cosine: float) -> np.ndarray:
@@ -151,7 +197,7 @@ def vectors(embeddings: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     return rows.groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
 
 
-def links(distinct: DataFrame, kind: str = "<f8", cosine: float = COSINE, filters: int = FILTERS, meet: int = MEET) -> DataFrame:
+def links(distinct: DataFrame, kind: str = "<f8", cosine: float = COSINE, miss: float = MISS, meet: int = MEET) -> DataFrame:
     """Links (a, b) that connect all vectors which the filters bring together
     and whose cosine is `cosine` or more: within each unit of a direction a
     spanning forest of its exact links."""
@@ -163,13 +209,13 @@ def links(distinct: DataFrame, kind: str = "<f8", cosine: float = COSINE, filter
             for size in sorted({len(x) for x in v}):
                 own = np.array([k for k, x in enumerate(v) if len(x) == size])
                 d = size // np.dtype(kind).itemsize
-                code = product_code(d, total, filters, meet)
+                code = product_code(d, total, miss, meet, cosine)
                 for at in range(0, len(own), 512):
                     some = own[at : at + 512]
                     x = _unit(_matrix(b.column(1).take(pa.array(some)), kind))
                     rows, ids = (np.concatenate(c) for c in zip(*[code.decode(x, k) for k in range(len(code.codes))], strict=True))
                     pick = pa.array(some[rows])
-                    yield pa.RecordBatch.from_arrays([pa.array(ids * 8192 + d % 8192), b.column(0).take(pick), b.column(1).take(pick)], names=["key", "vec_id", "vector"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), b.column(0).take(pick), b.column(1).take(pick)], names=["key", "vec_id", "vector"])
 
     def forest(ids: np.ndarray, v: np.ndarray, copies: np.ndarray, part: np.ndarray, same: bool) -> list[np.ndarray]:
         near = _pairs_of(v, part, same, cosine)
@@ -203,25 +249,27 @@ def _bytes(rows: DataFrame, kind: str) -> DataFrame:
     return rows.select("vec_id", "v", "copies").mapInArrow(run, "vec_id long, vector binary, copies long")
 
 
-def near_dedup(embeddings: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE, filters: int = FILTERS, meet: int = MEET) -> DataFrame:
+def near_dedup(embeddings: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE, miss: float = MISS, meet: int = MEET) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     Vectors that are null, zero or hold a null or non-finite component link with
     nothing; so do vectors of different dimensions. Exact copies are compared
     once and counted each. A null vec_id is a row without links. Rows that
-    repeat a vec_id count as vectors of their own.
+    repeat a vec_id count as vectors of their own: each counts in the others'
+    links, and the id's smallest component is that of its vector. An empty table
+    gives no rows; other columns are ignored whatever their names.
     """
     all_rows = embeddings.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
     whole = written(vectors(all_rows.where("vec_id is not null")), "cap-distinct")
     kind = "<f4" if dict(embeddings.dtypes)[embedding] == "array<float>" else "<f8"
     distinct = written(_bytes(whole, kind), "cap-vectors")
-    found = written(links(distinct, kind, cosine, filters, meet), "cap-links")
+    found = written(links(distinct, kind, cosine, miss, meet), "cap-links")
     comp = written(connected_components(found, "cap-components").withColumnRenamed("node", "vec_id"), "cap-members")
 
     def count(ids: np.ndarray, v: np.ndarray, copies: np.ndarray, part: np.ndarray, same: bool) -> list[np.ndarray]:
         return [ids, np.rint(_pairs_of(v, part, same, cosine) @ copies.astype(np.float64)).astype(np.int64)]
 
-    members = _units(distinct.join(comp, "vec_id"), "component", UNIT)
+    members = _units(distinct.join(comp, "vec_id"), "component", LEAST_UNIT)
     mates = _by_unit(members, "component", kind, count, "vec_id long, n long", ["vec_id", "n"])
     degree = mates.groupBy("vec_id").agg(F.sum("n").alias("n"))
     own = distinct.select("vec_id", "copies").join(degree, "vec_id", "left").join(comp, "vec_id", "left")
