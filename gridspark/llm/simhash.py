@@ -8,6 +8,10 @@ the two halves of 16 counts, so that a grid point within one step of both
 exists there. Each fingerprint is put into the cells within one step of its
 own in either half (about 50), the cells are joined, and each candidate is
 verified on the exact bits. No link is lost, and none is made up.
+
+A crowded cell is cut along the other half in the same way: of two fingerprints
+that differ there in at most four bits, one of its two quarters is within
+Manhattan distance two, so that they meet in a cell of that quarter's grid.
 """
 
 from __future__ import annotations
@@ -20,10 +24,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import connected_components, in_small_batches, new_path, written
+from gridspark.llm.common import connected_components, in_small_batches, join_bounded, written
 
-#: Cells above this many fingerprints are linked by common midpoints instead.
-HOT_CELL = 20_000
+#: Cells of more fingerprints than this are cut along the other half.
+HOT_CELL = 4_096
 #: Cells above this many are searched breadth first, one against the rest.
 DENSE_RUN = 48
 MAX_BITS = 4
@@ -65,22 +69,47 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
+def _counts(bits: Column) -> Column:
+    """The bit counts of two-bit segments, two bits each."""
+    return bits.bitwiseAND(F.lit(0x55555555)) + F.shiftright(bits, 1).bitwiseAND(F.lit(0x55555555))
+
+
+def _half(fp: Column, half: int) -> Column:
+    return _counts(F.shiftrightunsigned(fp, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def _near(point: Column, segments: int, tag: int) -> list[Column]:
+    """The cells within one step of a grid point, null where a step leads off
+    the grid; tag tells grids apart, above the point's 32 bits."""
+    out = [point + F.lit(tag << 32)]
+    for seg in range(segments):
+        count = F.shiftright(point, 2 * seg).bitwiseAND(F.lit(3))
+        out.append(F.when(count < 2, point + F.lit((1 << 2 * seg) + (tag << 32))))
+        out.append(F.when(count > 0, point + F.lit((tag << 32) - (1 << 2 * seg))))
+    return out
+
+
 def _cells(fp: Column) -> Column:
     """The cells within one step of fp's grid point, in either half."""
-    keys = []
-    for half in (0, 1):
-        bits = F.shiftrightunsigned(fp, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
-        point = bits.bitwiseAND(F.lit(0x55555555)) + F.shiftright(bits, 1).bitwiseAND(F.lit(0x55555555))
-        keys.append((half, point))
-    out = []
-    for half, point in keys:
-        tag = F.lit(half << 32)
-        out.append(point + tag)
-        for seg in range(16):
-            count = F.shiftright(point, 2 * seg).bitwiseAND(F.lit(3))
-            out.append(F.when(count < 2, point + F.lit((1 << 2 * seg) + (half << 32))))
-            out.append(F.when(count > 0, point - F.lit(1 << 2 * seg) + tag))
-    return F.array_compact(F.array(*out))
+    return F.array_compact(F.array(*[c for half in (0, 1) for c in _near(_half(fp, half), 16, half)]))
+
+
+def _parts(fp: Column, key: Column) -> Column:
+    """The cells within one step in either quarter of the half that key is not of."""
+    other = F.when(F.shiftright(key, 32) == 0, _half(fp, 1)).otherwise(_half(fp, 0))
+    quarters = [F.shiftright(other, 16 * q).bitwiseAND(F.lit(0xFFFF)) for q in (0, 1)]
+    return F.array_compact(F.array(*[c for q in (0, 1) for c in _near(quarters[q], 8, q + 1)]))
+
+
+def _crowded(fps: DataFrame, most: int) -> DataFrame:
+    """(key) of the cells that more than `most` fingerprints go to, counted from
+    the numbers of fingerprints at each grid point."""
+    points = F.array(*[_half(F.col("fp"), half) + F.lit(half << 32) for half in (0, 1)])
+    points = fps.select(F.explode(points).alias("point")).groupBy("point").agg(F.count("*").alias("n"))
+    low, half = F.col("point").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright("point", 32)
+    cells = F.array_compact(F.array(*_near(low, 16, 0)))
+    cells = points.select(F.explode(cells).alias("key"), half.alias("half"), "n").withColumn("key", F.col("key") + F.col("half") * (1 << 32))
+    return cells.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > most).select("key")
 
 
 def _links(key: np.ndarray, fp: np.ndarray, most: int) -> list[np.ndarray]:
@@ -120,59 +149,46 @@ def _links(key: np.ndarray, fp: np.ndarray, most: int) -> list[np.ndarray]:
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp, long) that connect
     all pairs at `max_bits` (4 at most) or fewer differing bits; every link is
-    one such pair. Cells of more than `hot_cell` fingerprints leave the cell
-    join: each of their fingerprints goes to all words within two bits of it,
-    and those that meet there, four bits apart at most, are linked by a star."""
+    one such pair. A cell of more than `hot_cell` fingerprints is joined by the
+    finer cells of its other half, so that a task meets those alone."""
     if not 0 <= max_bits <= 4:
         raise ValueError("the grid join is exact up to 4 bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "hot"]
-
-        def out(found: list[np.ndarray], hot: np.ndarray | None = None) -> pa.RecordBatch:
+        def out(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            found = _links(key, fp, max_bits)
             x = np.concatenate(found, 1) if found else np.zeros((2, 0), np.int64)
             x = np.unique(np.sort(x, 0), axis=1) if x.shape[1] else x
-            if hot is not None:
-                return pa.RecordBatch.from_arrays([pa.array(hot), pa.nulls(len(hot), pa.int64()), pa.array(np.ones(len(hot), bool))], names=names)
-            return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1]), pa.array(np.zeros(x.shape[1], bool))], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], names=["a", "b"])
 
-        key, fp, hot_key = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        last, number = None, 0
+        key, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for b in batches:
-            k, f = b.column(0).to_numpy(), b.column(1).to_numpy()
-            if hot_key is not None:
-                more = k == hot_key
-                if more.any():
-                    yield out([], f[more])
-                    k, f = k[~more], f[~more]
-            key, fp = np.r_[key, k], np.r_[fp, f]
-            if not len(key):
+            if not b.num_rows:
                 continue
-            last = int(np.searchsorted(key, key[-1]))
-            if last:
-                yield out(_links(key[:last], fp[:last], max_bits))
-                key, fp = key[last:], fp[last:]
-            if len(key) > hot_cell:
-                hot_key = key[0]
-                yield out([], fp)
-                key, fp = key[:0], fp[:0]
+            k, f = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]), b.column(2).to_numpy()
+            first = np.array([[k[0, 0]], [k[1, 0]]]) if last is None else last
+            new = (np.c_[first, k][:, 1:] != np.c_[first, k][:, :-1]).any(0)
+            runs = number + np.cumsum(new)  # cells numbered in the order they come
+            last, number = k[:, -1:], int(runs[-1])
+            key, fp = np.r_[key, runs], np.r_[fp, f]
+            done = int(np.searchsorted(key, key[-1]))
+            if done:
+                yield out(key[:done], fp[:done])
+                key, fp = key[done:], fp[done:]
         if len(key):
-            yield out(_links(key, fp, max_bits))
-
-    cells = fps.select(F.explode(_cells(F.col("fp"))).alias("key"), "fp").repartition("key").sortWithinPartitions("key")
-    found = written(cells.mapInArrow(run, "a long, b long, hot boolean"), "simhash-links")
-    links = found.where("not hot").select("a", "b").distinct()
-    hot = found.where("hot").select(F.col("a").alias("fp"))
-    if hot.isEmpty():
-        return links
-    masks = [0] + [1 << i for i in range(64)] + [1 << i | 1 << j for i in range(64) for j in range(i)]
-    masks = [m - (1 << 64) if m >> 63 else m for m in masks if m.bit_count() <= max_bits // 2 + max_bits % 2]
-    near = hot.distinct().select("fp", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
-    met = near.select(F.col("fp").bitwiseXOR(F.col("mask")).alias("mid"), "fp")
-    least = met.groupBy("mid").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-    star = met.join(least, "mid").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
-    if max_bits % 2:
-        star = star.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return links.union(star).distinct()
+            yield out(key, fp)
+
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = fps.repartition(tasks).select(F.explode(_cells(F.col("fp"))).alias("key"), "fp")
+    crowded = written(_crowded(fps, hot_cell), "simhash-crowded")
+    if crowded.isEmpty():
+        cells = cells.withColumn("part", F.lit(0).cast("long"))
+    else:
+        cells = join_bounded(cells, crowded.withColumn("cut", F.lit(True)), "key", "left")
+        cells = cells.select("key", "fp", F.explode(F.when(F.col("cut"), _parts(F.col("fp"), F.col("key"))).otherwise(F.array(F.lit(0).cast("long")))).alias("part"))
+    cells = cells.select("key", "part", "fp").repartition("key", "part").sortWithinPartitions("key", "part")
+    return written(cells.mapInArrow(run, "a long, b long"), "simhash-links").distinct()
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, words_per_shingle: int = 4) -> DataFrame:
