@@ -5,9 +5,10 @@ turn         := "[INST] " text " [/INST]"                    user
               | "[OUT] " text " </s>"                        assistant
               | "[TURN:" role "] " text " [/TURN]"           any other role
 
-A rendered conversation is parsed again and the turns found are compared with
-the source; the first turn that differs is rendered with its control strings
-escaped, until both are identical. An escape is one more backslash before a
+Every turn is rendered and parsed again; where the turn found differs from the
+source, it is rendered with its control strings escaped. The conversation as a
+whole is then parsed and compared, and whatever still differs is escaped too,
+until both are identical. An escape is one more backslash before a
 control string (after those that stand there already), and the parser takes
 one away, so that any text survives. Roles are percent-encoded.
 """
@@ -76,19 +77,16 @@ def parse(s: str) -> tuple[list[tuple[str, str]], list[tuple[int, int]], bool]:
 
 def format_turns(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
     """The formatted conversation and the spans (code points, end exclusive) of
-    the assistant's texts in it, the loss mask."""
-    escaped: set[int] = set()
+    the assistant's texts in it, the loss mask. Work grows with the text."""
+    escaped = {k for k, t in enumerate(turns) if (alone := parse(render([t])))[0] != [t] or not alone[2]}
     while True:
         s = render(turns, escaped)
         got, spans, fits = parse(s)
         if fits and got == turns:
             return s, [p for p, (role, _) in zip(spans, turns, strict=True) if role == "assistant"]
-        first = next((k for k, t in enumerate(turns) if k >= len(got) or got[k] != t), None)
-        # a turn that is escaped always parses back, so the misfit is an earlier bare one
-        bare = [k for k in range(len(turns)) if k not in escaped]
-        if not bare:
+        if len(escaped) == len(turns):
             raise ValueError("the grammar does not round-trip")
-        escaped.add(next((k for k in bare if first is None or k >= first), bare[-1]))
+        escaped = set(range(len(turns)))
 
 
 def formatted(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -98,6 +96,8 @@ def formatted(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", ro
     repeated rows have one order. Null text and null role: empty. Null conv_id is
     a conversation of its own. A conversation's turns meet in one row because
     its output is one string; different conversations, however alike, do not.
+    Texts of any length are taken whole; an empty table gives no rows, and other
+    columns are ignored whatever their names.
     """
     s = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = turns.groupBy(F.col(conv_id).cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(s)).alias("turns"))
