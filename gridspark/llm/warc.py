@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import in_small_batches, new_path, written
@@ -147,6 +147,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     digests = rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes")).where(F.col("bytes") >= least)
     digests = written(digests, "warc-digests")
     first = digests.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    first = written(first, "warc-first")  # a join of two plain shuffles, so that Spark can split a hot digest
     moved = digests.join(first, ["digest", "bytes"]).where("page_id <> refers_to").select("page_id", F.col("digest").alias("of"), "refers_to").distinct()
     same = rows.join(moved, "page_id", "left") if not moved.isEmpty() else rows.withColumn("of", F.lit(None).cast("string")).withColumn("refers_to", F.lit(None).cast("long"))
 
@@ -205,9 +206,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    # one archive a task: paths are dealt evenly by their number
-    n = archives.count()
-    each = archives.select("path").withColumn("at", F.row_number().over(Window.orderBy("path"))).repartitionByRange(max(1, n), "at").select("path") if n else archives.select("path")
+    # one archive a task: as many ranges of paths as there are paths
+    each = archives.select("path").repartitionByRange(max(1, archives.count()), "path")
     out = each.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
     return out.withColumn("page_id", F.nullif("page_id", F.lit(-(1 << 63))))
 
