@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from gridspark.llm.common import in_small_batches
 
 #: White space of the tokenizer's patterns (Unicode White_Space).
-_SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPLIT = regex.compile(f"[{_SPACES}]+")
 #: str.split() also cuts at these four, which are no white space there.
 _ODD = regex.compile("[\x1c-\x1f]")
@@ -215,7 +215,7 @@ class Tokenizer:
     def _piece(self, piece: str) -> tuple[bytes, str]:
         word = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.map)
         ids = self.automaton.encode(word)
-        return array("I", ids).tobytes(), " ".join([self.labels[i] for i in ids])
+        return array("I", ids).tobytes(), self.decode(ids)
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         if chunk.isalpha():
@@ -257,8 +257,10 @@ def tokenizer(path: str) -> Tokenizer:
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, and the ids
-    if asked for: a narrow pass that holds one text's tokens at a time. Null
-    text: as empty, no tokens."""
+    if asked for: a narrow pass over whole texts that holds one text's tokens at
+    a time, however long it is. Null text: as empty, no tokens. Repeated rows and
+    ids give a row each; an empty table gives none; other columns are ignored
+    whatever their names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)

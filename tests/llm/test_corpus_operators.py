@@ -84,20 +84,33 @@ def test_cap_filters_split_units(spark, monkeypatch):
     assert {r.component_id for r in got} == {0}
 
 
-def test_filter_recall_at_the_threshold():
-    rng = np.random.default_rng(1)
-    x = rng.standard_normal((400, 64))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    u = rng.standard_normal((400, 64))
-    u -= (u * x).sum(1, keepdims=True) * x
-    u /= np.linalg.norm(u, axis=1, keepdims=True)
-    y = 0.9 * x + np.sqrt(1 - 0.81) * u
-    code = capfilters.product_code(64, 50_000, capfilters.FILTERS, capfilters.MEET)
-    hit = np.zeros(400, bool)
-    for k in range(len(code.codes)):
-        a, b = (set(zip(*code.decode(z, k), strict=True)) for z in (x, y))
-        hit[[r for r, _ in a & b]] = True
-    assert hit.mean() >= 0.99
+@pytest.mark.parametrize(("d", "n"), [(64, 10**5), (64, 10**7), (64, 10**9), (768, 10**7), (2, 10**5)])
+def test_filter_recall_at_the_threshold(d, n):
+    """Isolated pairs at the cosine asked for meet, however many vectors there are."""
+    code = capfilters.product_code(d, n)
+    x, y = capfilters.planted_pairs(np.random.default_rng(1), 300, d, 0.9)
+    assert np.allclose((x * y).sum(1), 0.9)
+    hit = np.array([code.meet(x, y, k) for k in range(len(code.codes))])
+    assert (~hit.any(0)).sum() <= 1
+    assert np.prod(1 - hit.mean(1)) < 1e-4
+
+
+def test_cap_filters_repeats_and_empty(spark):
+    schema = "vec_id long, embedding array<double>"
+    v, w = [1.0, 2.0, 3.0], [-3.0, 0.0, 1.0]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in capfilters.near_dedup(spark.createDataFrame([(5, v), (5, v), (5, w), (2, w), (9, v)], schema)).collect())
+    assert got == [(2, 1, 2), (5, 1, 2), (5, 2, 5), (5, 2, 5), (9, 2, 5)]
+    none = capfilters.near_dedup(spark.createDataFrame([], schema))
+    assert none.count() == 0 and none.columns == ["vec_id", "n_links", "component_id", "kept"]
+
+
+def test_cap_filters_huge_and_tiny(spark):
+    """Squares of these leave the range of doubles."""
+    v, w = np.random.default_rng(8).standard_normal((2, 12))
+    rows = [(1, (v * 1e200).tolist()), (2, (v * 1e-200).tolist()), (3, v.tolist()), (4, w.tolist())]
+    rows += [(5, [1.0] * 40), (6, [1.0] * 8)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in capfilters.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5), 6: (0, 6)}
 
 
 # 2 -------------------------------------------------------------------------
@@ -216,17 +229,17 @@ def test_simhash(spark):
         assert (got[k].fp & (1 << 64) - 1, got[k].component_id) == (fps[k], root[k])
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
-def test_simhash_links_connect_all(spark, hot):
-    rng = np.random.default_rng(hot)
+@pytest.mark.parametrize(("hot", "most"), [(20_000, 4), (3, 4), (3, 3), (3, 1), (20_000, 1), (0, 2)])
+def test_simhash_links_connect_all(spark, hot, most):
+    rng = np.random.default_rng(hot + 5 * (4 - most))
     fp = rng.integers(0, 1 << 63, 150, np.uint64) * 2 + rng.integers(0, 2, 150, np.uint64)
     flips = [int(x) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 7), replace=False)) for x in np.repeat(fp[:20], 15)]
     fps = sorted({int(x) for x in fp} | set(flips))
     df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
-    links = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in simhash.fingerprint_links(df, hot_cell=hot).collect()]
+    links = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in simhash.fingerprint_links(df, most, hot_cell=hot).collect()]
     at = {x: k for k, x in enumerate(fps)}
-    assert all(0 < (a ^ b).bit_count() <= 4 for a, b in links)
-    want = union_find(len(fps), [(a, b) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4])
+    assert all(0 < (a ^ b).bit_count() <= most for a, b in links)
+    want = union_find(len(fps), [(a, b) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= most])
     assert union_find(len(fps), [(at[a], at[b]) for a, b in links]) == want
 
 
@@ -370,6 +383,15 @@ def test_chat_escapes_only_conflicts():
     assert not chat.parse("<s>[INST] a </s>")[2] and not chat.parse("x")[2]
 
 
+def test_chat_many_conflicts_long_texts_and_repeated_rows(spark):
+    turns = [("user" if k % 2 else "assistant", f"{k} </s>[INST] ok [/INST]" + "x" * (100_000 if k == 7 else 0)) for k in range(2000)]
+    s, mask = chat.format_turns(turns)
+    assert chat.parse(s)[0] == turns and len(mask) == 1000
+    df = spark.createDataFrame([(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 0, "user", "again")], "conv_id long, turn long, role string, text string")
+    (r,) = chat.read_back(chat.formatted(df)).collect()
+    assert list(r.texts) == ["again", "hi", "hi"]
+
+
 # 8 -------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -441,6 +463,16 @@ def test_warc(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_ties_and_repeated_ids(spark):
+    at, below = "y" * 1000, "y" * 999
+    rows = [(1, at), (4, at), (4, at), (2, below), (3, below), (5, at + "z"), (5, at)]
+    df = spark.createDataFrame([(p, "u", h, "c", 3) for p, h in rows], "page_id long, url string, html string, of string, refers_to int")
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(df).collect()), key=str)
+    again = [(1, 1000, "revisit", 5), (4, 1000, "revisit", 5), (4, 1000, "revisit", 5)]
+    first = [(2, 999, "response", None), (3, 999, "response", None), (5, 1001, "response", None), (5, 1000, "response", None)]
+    assert got == sorted(again + first, key=str)
+
+
 def test_warc_reader_checks():
     good = b"".join(warc.record("response", f"urn:page:{k}", [("X-Page-ID", str(k))], b"p" * k) for k in range(5))
     assert [h["x-page-id"] for h, _ in warc.read_records(io.BytesIO(good))] == list("01234")
@@ -477,6 +509,7 @@ def test_bpe_equals_the_library(spark):
         assert got[k].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert got[k].decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert got[None].n_tokens == 0
+    assert bpe.digests(df.limit(0), path).count() == 0 and bpe.digests(df.union(df), path).count() == 2 * len(got)
     back = bpe.decode(bpe.encode(df, path), path)
     assert {r.doc_id: r.text for r in back.collect()}[2] == own.decode(own.encode(texts[2]))
 
