@@ -1,10 +1,12 @@
 """Order MinHash fingerprints (operator 5), in DataFrame functions only.
 
 A text's word k-mers are numbered by occurrence, so that the j-th occurrence of
-a k-mer is an item of its own. One hash of each item deals the items into bins
-(one permutation in place of one hash function per entry) and orders them; in
-each bin the two smallest are selected, put back into the order they have in
-the text and hashed as a tuple. Two texts agree in a bin only if they have the
+a k-mer is an item of its own. One hash of each item orders the items on a ring
+(one permutation in place of one hash function per entry), which 64 marks cut
+into equal arcs; for each mark the two items that come next are selected, put
+back into the order they have in the text and hashed as a tuple. Where a text
+has few items, marks borrow from the arcs that follow, so that every entry has
+two items and thus an order. Two texts agree in an entry only if they have the
 same items in the same order there, which edits of any kind disturb. All of it
 is array work within a row: no explode, no shuffle.
 """
@@ -22,9 +24,12 @@ MIN_ID = -(1 << 63)
 
 
 def with_signature(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame:
-    """df and a column `name`: sorted array of int, bin << 24 | tuple hash, one
-    for each bin that has an item. Equal texts have equal arrays; a text without
-    words has none; one of fewer than k words has one item, all its words."""
+    """df and a column `name`: array of int, mark << 24 | tuple hash, one for each
+    of the marks in turn. Equal texts have equal arrays; a text without words
+    has none; one of fewer than k words has one item, all its words.
+
+    Places in the text are kept modulo 2 ** 24: beyond so many words (16.7
+    million) two items' order is that of the remainders."""
     low = F.lit((1 << POS) - 1)
     high = F.lit(-(1 << POS))
     hashes, items, last = f"__h_{name}", f"__i_{name}", f"__l_{name}"
@@ -45,16 +50,22 @@ def with_signature(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame
         number = F.when((i > 0) & same(x, F.greatest(i - 1, F.lit(0))), run).otherwise(0)
         return packed(F.xxhash64(F.shiftright(x, POS), number), x.bitwiseAND(low))
 
-    def bin_of(x: Column) -> Column:
-        return F.shiftrightunsigned(x, 64 - BINS_LOG2)
+    def arc(x: Column) -> Column:
+        return F.shiftright(x, 64 - BINS_LOG2) + F.lit(1 << BINS_LOG2 - 1)
 
-    def entry(x: Column, i: Column) -> Column:
-        y = F.get(F.col(last), i + 1)
+    def tuple_of(x: Column, y: Column) -> Column:
         a, b = F.shiftright(x, POS), F.shiftright(y, POS)
-        pair = F.when(y.isNull() | (bin_of(y) != bin_of(x)), F.xxhash64(a))
-        pair = pair.when(x.bitwiseAND(low) < y.bitwiseAND(low), F.xxhash64(a, b)).otherwise(F.xxhash64(b, a))
-        value = F.shiftleft(bin_of(x), 24).bitwiseOR(pair.bitwiseAND(F.lit((1 << 24) - 1))).cast("int")
-        return F.when((i == 0) | (bin_of(F.get(F.col(last), F.greatest(i - 1, F.lit(0)))) != bin_of(x)), value)
+        pair = F.when(x.bitwiseAND(low) < y.bitwiseAND(low), F.xxhash64(a, b)).otherwise(F.xxhash64(b, a))
+        return F.when(F.size(last) == 1, F.xxhash64(a)).otherwise(pair).bitwiseAND(F.lit((1 << 24) - 1))
+
+    def entries(marks: Column, value: Column) -> Column:
+        return F.transform(marks, lambda m: F.shiftleft(m, 24).bitwiseOR(value).cast("int"))
+
+    def entry(x: Column, i: Column) -> Column:
+        # the marks after the item before x, up to x
+        y = F.get(F.col(last), F.when(i + 1 < F.size(last), i + 1).otherwise(0))
+        before = F.when(i == 0, F.lit(-1)).otherwise(arc(F.get(F.col(last), F.greatest(i - 1, F.lit(0)))))
+        return F.when(before < arc(x), entries(F.sequence(before + 1, F.greatest(arc(x), before + 1)), tuple_of(x, y)))
 
     n = F.size(hashes)
     df = df.withColumn(hashes, F.transform(F.array_remove(F.split(F.col(text), SPACE), ""), lambda w: F.xxhash64(w)))
@@ -63,7 +74,11 @@ def with_signature(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame
     kmers = kmers.when(n > 0, whole).otherwise(F.array().cast("array<bigint>"))
     df = df.withColumn(items, F.sort_array(kmers))
     df = df.withColumn(last, F.sort_array(F.transform(F.col(items), item)))
-    df = df.withColumn(name, F.sort_array(F.array_compact(F.transform(F.col(last), entry))))
+    top, first = F.lit((1 << BINS_LOG2) - 1), F.get(F.col(last), F.lit(0))
+    end = arc(F.element_at(F.col(last), -1))
+    around = F.when(end < top, entries(F.sequence(F.least(end + 1, top), top), tuple_of(first, F.coalesce(F.get(F.col(last), F.lit(1)), first))))
+    found = F.flatten(F.array_compact(F.concat(F.transform(F.col(last), entry), F.array(around))))
+    df = df.withColumn(name, F.when(F.size(last) > 0, found).otherwise(F.array().cast("array<int>")))
     return df.drop(hashes, items, last)
 
 
@@ -73,9 +88,9 @@ def fingerprint(signature: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Bins whose tuples agree, of those that either has; 1 if neither has any."""
-    bins = F.size(F.array_union(*[F.transform(x, lambda v: F.shiftright(v, 24)) for x in (a, b)]))
-    return F.when(bins == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / bins)
+    """Share of the entries that agree; 1 if neither text has any, 0 if one has none."""
+    most = F.greatest(F.size(a), F.size(b))
+    return F.when(most == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / most)
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
@@ -103,7 +118,9 @@ def order_minhash(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k
     following the last. Null text: empty. Null doc_id: the last in order. Where
     rows share a doc_id, each is edited on its own, and the next document's text
     is the least of those that the cut leaves. Words, and so k-mers, are cut at
-    ASCII white space.
+    ASCII white space. Texts of any length are taken whole (see with_signature);
+    an empty table gives no rows; other columns are ignored whatever their names.
+    The id -2 ** 63 stands for null here and comes back as null.
     """
     spark: SparkSession = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(MIN_ID)).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))

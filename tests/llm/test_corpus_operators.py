@@ -262,12 +262,10 @@ def test_order_minhash(spark):
     order = [*sorted(texts, reverse=True), None]
     texts[None] = ""
     sig = {r.doc_id: r.s for r in omh.with_signature(df.withColumn("text", F.coalesce("text", F.lit(""))), "text", "s").select("doc_id", "s").collect()}
-    assert {i: sorted(signature_by_hand(t)) for i, t in texts.items()} == {i: list(s) for i, s in sig.items()}
+    assert {i: signature_by_hand(t) for i, t in texts.items()} == {i: list(s) for i, s in sig.items()}
 
     def likeness(a, b):
-        a, b = set(a), set(b)
-        bins = {x >> 24 for x in a | b}
-        return len(a & b) / len(bins) if bins else 1.0
+        return len(set(a) & set(b)) / max(len(a), len(b)) if len(a) or len(b) else 1.0
 
     for k, i in enumerate(order):
         after = texts[order[(k + 1) % len(order)]]
@@ -303,18 +301,55 @@ def signature_by_hand(text, k=3):
         kmer = signed(g) >> 24
         items.append((xx((kmer, 8), (seen[kmer], 4)) >> 24, pos))
         seen[kmer] += 1
-    bins = defaultdict(list)
-    for it in items:
-        bins[it[0] >> 34].append(it)
+    ring = sorted((signed(x << 24), x, pos) for x, pos in items)
     out = []
-    for b, own in bins.items():
-        two = sorted(sorted(own)[:2], key=lambda x: x[1])
-        ids = [(signed(v << 24) >> 24, 8) for v, _ in two]
-        value = b << 24 | xx(*ids) & (1 << 24) - 1
-        out.append(value - (1 << 32) if value >> 31 else value)
+    for mark in range(64):
+        at = next((k for k, it in enumerate(ring) if (it[0] >> 58) + 32 >= mark), 0)
+        two = [ring[at], ring[(at + 1) % len(ring)]][: len(ring)]
+        ids = [(signed(v << 24) >> 24, 8) for _, v, _ in sorted(two, key=lambda x: x[2])]
+        value = mark << 24 | xx(*ids) & (1 << 24) - 1
+        out.append(value)
     return out
 
 
+def textbook(a, b, entries=600, k=3):
+    """Order MinHash with a hash function per entry: the two least items of each."""
+    def items(words):
+        seen = defaultdict(int)
+        for p in range(len(words) - k + 1):
+            g = tuple(words[p : p + k])
+            yield (g, seen[g]), p
+            seen[g] += 1
+
+    def sketch(words, e):
+        return [i for i, _ in sorted(sorted(items(words), key=lambda x: xxhash.xxh64_intdigest(repr((e, x[0]))))[:2], key=lambda x: x[1])]
+
+    return sum(sketch(a, e) == sketch(b, e) for e in range(entries)) / entries
+
+
+def test_order_is_kept_on_short_texts(spark):
+    """Texts whose halves are swapped are as unlike as with a hash function per entry."""
+    rng = random.Random(21)
+    for n in (20, 40, 80):
+        pairs = []
+        for _ in range(80):
+            w = prose(rng, n).split()
+            pairs.append((w, w[n // 2 :] + w[: n // 2]))
+        df = spark.createDataFrame([(" ".join(a), " ".join(b)) for a, b in pairs], "a string, b string")
+        rows = omh.with_signature(omh.with_signature(df, "a", "s"), "b", "t").select(omh.likeness(F.col("s"), F.col("t")).alias("x")).collect()
+        own, book = np.mean([r.x for r in rows]), np.mean([textbook(a, b, 12) for a, b in pairs])
+        assert abs(own - book) < 0.12 and own < 0.5, (n, own, book)
+
+
+def test_order_minhash_long_text_and_sentinel(spark):
+    long = " ".join(f"w{k % 977}" for k in range(200_000))
+    df = docs_of(spark, [(1, long), (2, long + " end"), (-(1 << 63), "a b c"), (None, "d")])
+    got = {r.n_chars: r for r in omh.order_minhash(df).collect()}
+    assert got[len(long)].fingerprint[:2] == "00" and len(got[len(long)].fingerprint) == 64 * 8
+    assert got[len(long) + 4].near_next > 0.9
+    assert got[5].doc_id is None and got[1].doc_id is None and len(got) == 4
+
+
 def test_order_minhash_one_row_and_none(spark):
     df = docs_of(spark, [(1, "a b c d")])  # followed by itself: "a b " and "a b"
     (r,) = omh.order_minhash(df).collect()
