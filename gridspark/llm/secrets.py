@@ -2,8 +2,11 @@
 
 Three base patterns always count. Beyond them, words are tagged as secret
 begin, inside or outside by a CRF over the word's shape, the words beside it
-and what the whole file looks like, decoded by Viterbi. It is trained here,
-on a bounded sample whose labels are the base patterns' own spans.
+and what the whole file looks like, decoded by Viterbi. It is trained here, on a
+bounded sample of the texts, so that it finds more than the patterns know:
+generated secrets of public formats, and strings that only look like some, are
+set into the texts, and the patterns' own spans are shown with and without the
+features that tell of a keyword.
 
 Scores depend on a word only through the bits below, so they are looked up in
 a table for all words of a block at once. A text can hold a tagged span only
@@ -14,8 +17,9 @@ throughout, as Viterbi would find.
 
 from __future__ import annotations
 
+import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +39,86 @@ BASE = (
 _HEX = re.compile(rb"[0-9a-f]{32,}")
 KEYWORD = re.compile(rb"passw|secret|token|api_?key", re.I)
 
-#: Texts that train the CRF, at most, and words of a training window.
-SAMPLE, WINDOW = 2_000, 24
+#: Texts that train the CRF, at most; windows of one text, and of all; words of a window.
+SAMPLE, PER_TEXT, WINDOWS, WINDOW = 2_000, 20, 6_000, 24
 SEED = 29
 FEATURES = (
-    "length >= 8", "length >= 16", "length >= 32", "digit", "a quarter digits or more", "lower", "upper",
+    "length >= 8", "length >= 16", "length >= 24", "length >= 32", "digit", "a quarter digits or more", "lower", "upper",
     "= or : inside", "other mark", "hex digits but for marks", "follows a keyword", "follows = or :", "holds a keyword",
-    "letters and digits alternate", "text holds digits in 1 % of its bytes", "text holds = or :",
+    "letters and digits alternate", "upper and lower alternate", "@ or :// inside", "beyond ASCII",
+    "text holds digits in 1 % of its bytes", "text holds = or :",
 )
 BITS = len(FEATURES)
+#: Features that tell of a keyword; masked views lack them.
+_TELLING = 1 << FEATURES.index("follows a keyword") | 1 << FEATURES.index("follows = or :") | 1 << FEATURES.index("holds a keyword")
+#: Marks around a word that are no part of a secret.
+_EDGES = b"\"'`,;:!?()[]{}<>|"
+
+_DIGIT, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+_ALNUM = _DIGIT + _LOWER + _LOWER.upper()
+
+
+def _drawn(rng: random.Random, chars: str, n: int) -> str:
+    return "".join(rng.choices(chars, k=n))
+
+
+#: Formats of secrets that vendors document: the fixed part and what follows.
+SECRETS = {
+    "github": lambda r: "ghp_" + _drawn(r, _ALNUM, 36),
+    "gitlab": lambda r: "glpat-" + _drawn(r, _ALNUM + "-_", 20),
+    "sk": lambda r: "sk-" + _drawn(r, _ALNUM, 48),
+    "stripe": lambda r: "sk_live_" + _drawn(r, _ALNUM, 24),
+    "aws": lambda r: _drawn(r, _ALNUM + "+/", 40),
+    "slack": lambda r: "-".join(["xoxb", _drawn(r, _DIGIT, 12), _drawn(r, _DIGIT, 12), _drawn(r, _ALNUM, 24)]),
+    "google": lambda r: "AIza" + _drawn(r, _ALNUM + "-_", 35),
+    "npm": lambda r: "npm_" + _drawn(r, _ALNUM, 36),
+    "mail": lambda r: "SG." + _drawn(r, _ALNUM + "-_", 22) + "." + _drawn(r, _ALNUM + "-_", 43),
+    "jwt": lambda r: "eyJ" + ".".join(_drawn(r, _ALNUM + "-_", n) for n in (33, 60, 43)),
+    "base64": lambda r: _drawn(r, _ALNUM + "+/", 43) + "=",
+    "hex": lambda r: _drawn(r, _DIGIT + "abcdef", r.choice((32, 40, 64))),
+}
+#: Strings that are long or odd, and no secrets.
+HARMLESS = (
+    lambda r: f"{_drawn(r, _LOWER, 8)}.{r.randint(1, 99)}@{_drawn(r, _LOWER, 6)}{r.randint(0, 9)}.example.com",
+    lambda r: f"https://www.{_drawn(r, _LOWER, 9)}.org/{_drawn(r, _LOWER, 7)}/{r.randint(1990, 2030)}/{_drawn(r, _LOWER, 8)}-{_drawn(r, _LOWER, 5)}.html",
+    lambda r: _drawn(r, _DIGIT, r.choice((7, 10, 12, 16, 20))),
+    lambda r: f"{r.randint(1990, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)}T{r.randint(10, 23)}:{r.randint(10, 59)}:{r.randint(10, 59)}Z",
+    lambda r: ".".join(str(r.randint(0, 255)) for _ in range(4)),
+    lambda r: "_".join(_drawn(r, _LOWER, r.randint(3, 9)) for _ in range(r.randint(2, 6))),
+    lambda r: "".join(_drawn(r, _LOWER, r.randint(3, 9)).capitalize() for _ in range(r.randint(2, 6))),
+    lambda r: "-".join(_drawn(r, _LOWER, r.randint(3, 9)) for _ in range(r.randint(2, 6))),
+    lambda r: "/" + "/".join(_drawn(r, _LOWER, r.randint(2, 9)) for _ in range(r.randint(2, 6))) + ".txt",
+    lambda r: _drawn(r, _LOWER, r.randint(16, 45)),
+    lambda r: _drawn(r, _LOWER.upper(), r.randint(8, 30)),
+    lambda r: f"{_drawn(r, _LOWER.upper(), 3)}-{r.randint(1990, 2030)}-{_drawn(r, _DIGIT, 6)}",
+    lambda r: f"+{r.randint(1, 99)}-{_drawn(r, _DIGIT, 3)}-{_drawn(r, _DIGIT, 7)}",
+    lambda r: _drawn(r, _DIGIT + "abcdef", 7),
+    lambda r: f"v{r.randint(0, 9)}.{r.randint(0, 30)}.{r.randint(0, 99)}-rc{r.randint(1, 9)}",
+    lambda r: f'href="/{_drawn(r, _LOWER, 8)}"',
+    lambda r: f"{r.randint(0, 99)}.{r.randint(0, 99)}",
+    lambda r: str(r.randint(0, 2100)),
+    lambda r: f"{_drawn(r, _LOWER.upper(), 2)} {_drawn(r, _LOWER.upper(), 2)}-{_drawn(r, _LOWER.upper(), 2)} {r.randint(0, 9)}.{r.randint(0, 9)}",
+)
+
+
+def planted(raw: bytes, rng: random.Random, kinds: Sequence[str], most: int = 3) -> tuple[bytes, list[tuple[int, int]], list[int]]:
+    """A text with up to `most` generated secrets and as many harmless strings
+    set between its words; the spans of the secrets in bytes (without quotes and
+    marks around), and where something was set in."""
+    gaps = [m.end() for m in re.finditer(rb"[\x20\n]", raw)] or [0]
+    put = [(rng.choice(gaps), True) for _ in range(rng.randint(1, most))] + [(rng.choice(gaps), False) for _ in range(rng.randint(1, most))]
+    out, spans, places, size, at = [], [], [], 0, 0
+    for gap, secret in sorted(put):
+        value = SECRETS[rng.choice(kinds)](rng) if secret else rng.choice(HARMLESS)(rng)
+        before, after = rng.choice((("", ""), ("", ""), ("", "."), ("", ","), ('"', '"'), ("(", ")"), ("key: ", ""), ("Bearer ", ""), ("id = ", "")))
+        piece = f"{before}{value}{after} ".encode()
+        out += [raw[at:gap], piece]
+        size += gap - at
+        if secret:
+            spans.append((size + len(before), size + len(before) + len(value)))
+        places.append(size)
+        size, at = size + len(piece), gap
+    return b"".join([*out, raw[at:]]), spans, places
 
 
 def base_spans(raw: bytes, keyword: bool = True, hex_run: bool = True) -> list[tuple[int, int, int]]:
@@ -78,7 +153,10 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     joint = count((buf == 0x3D) | (buf == 0x3A))
     hexes = count((kind == 2) | ((buf >= 97) & (buf <= 102)))
     marks = n - digit - lower - upper
-    turns = count(np.r_[False, (kind[1:] == 2) != (kind[:-1] == 2)])
+    step = np.r_[np.uint8(0), np.where(np.maximum(kind[1:], kind[:-1]) <= 2, kind[1:] ^ kind[:-1], 0)]  # between letters and digits
+    turns, cases = count(step >= 2), count(step == 1)
+    colon = (buf == 0x3A) & np.r_[buf[1:] == 0x2F, False] & np.r_[buf[2:] == 0x2F, False, False]
+    address = count((buf == 0x40) | colon)
     whole = b"\n".join(texts)
     has_key = np.zeros(len(n), bool)
     at = [m.start() for m in KEYWORD.finditer(whole)] if re.search(rb"(?i)passw|secret|token|api_?key", whole) else []
@@ -98,8 +176,9 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     digits_of = np.bincount(doc, digit, len(texts)) * 100 >= size
     joint_of = np.bincount(doc, joint, len(texts)) > 0
     flags = (
-        n >= 8, n >= 16, n >= 32, digit > 0, digit * 4 >= n, lower > 0, upper > 0, joint > 0, marks - joint > 0,
-        hexes + marks == n, near, after(ends_joint), has_key, turns >= 4, digits_of[doc], joint_of[doc],
+        n >= 8, n >= 16, n >= 24, n >= 32, digit > 0, digit * 4 >= n, lower > 0, upper > 0, joint > 0, marks - joint > 0,
+        hexes + marks == n, near, after(ends_joint), has_key, turns >= 4, cases >= 4, address > 0, count(buf >= 128) > 0,
+        digits_of[doc], joint_of[doc],
     )
     code = np.zeros(len(n), np.int32)
     for k, flag in enumerate(flags):
@@ -164,7 +243,10 @@ class Crf:
 
     def table(self) -> np.ndarray:
         """Scores of all codes, (2 ** BITS, 3)."""
-        return _bits(np.arange(1 << BITS)) @ self.unary
+        out = self.unary[-1:]
+        for weights in self.unary[:-1]:
+            out = np.concatenate([out, out + weights])
+        return out
 
     def may_tag(self, table: np.ndarray) -> np.ndarray:
         """Of each code, whether a text of such words could leave "outside": a
@@ -191,9 +273,36 @@ class Crf:
         return tags
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Crf:
-    """A CRF from at most `sample` texts, drawn by a hash of the id: windows
-    around the words of base spans, and the first window of each other text."""
+def _windows(raw: bytes, spans: list[tuple[int, int]], places: list[int], masked: bool, rng: random.Random, most: int) -> Iterator[tuple[list[int], list[int]]]:
+    """(codes, tags) of up to `most` windows of a text, drawn from those around
+    places (bytes) and spans; its first window where there are none. Words of a
+    span are begin and inside; where the features that tell of a keyword are
+    masked, only its last word is one."""
+    code, start, end, *_ = describe([raw])
+    if not len(code):
+        return
+    tag = np.zeros(len(code), np.int64)
+    for s, e in spans:
+        w = np.arange(np.searchsorted(end, s, "right"), np.searchsorted(start, e))[-1 if masked else 0 :]
+        tag[w[1:]] = np.where(tag[w[1:]] == 0, 2, tag[w[1:]])
+        tag[w[:1]] = np.maximum(tag[w[:1]], 1)
+    if masked:
+        code = code & ~_TELLING
+    half = WINDOW // 2
+    near = np.unique(np.r_[np.flatnonzero(tag), np.searchsorted(end, places, "right")].astype(np.int64))
+    at = sorted({max(0, k // half - 1) * half for k in near.tolist()} or {0})
+    for k in rng.sample(at, min(most, len(at))):
+        yield code[k : k + WINDOW].tolist(), tag[k : k + WINDOW].tolist()
+
+
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, per_text: int = PER_TEXT, kinds: Sequence[str] = tuple(SECRETS), base: Sequence[str] = ("assign", "access", "hex")) -> Crf:
+    """A CRF from about `sample` texts (2 x `sample` at most) drawn by a hash of
+    the id, WINDOWS windows at most and `per_text` of a view of a text at most. Views: the
+    text itself, where spans of the `base` patterns are the secrets, with all
+    features or, for half of the texts, without those that tell of a keyword; and
+    texts without such spans once more, with generated secrets of the `kinds`
+    set in. Leaving out kinds, or patterns of `base` and the texts they match,
+    is for testing on them."""
     total = docs.count()
     share = min(1.0, sample / max(1, total))
     h = F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.lit(SEED)), 11).cast("double") / float(1 << 53)
@@ -203,24 +312,20 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
         for b in batches:
             ids, codes, tags = [], [], []
             for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                code, start, end, *_ = describe([raw or b""])
-                if not len(code):
-                    continue
-                tag = np.zeros(len(code), np.int64)
-                for s, _, e in base_spans(raw):
-                    w = np.flatnonzero((start < e) & (end > s))
-                    tag[w[1:]] = np.where(tag[w[1:]] == 0, 2, tag[w[1:]])
-                    tag[w[0]] = max(tag[w[0]], 1)
-                hit = np.flatnonzero(tag)
-                at = {max(0, int(k) // (WINDOW // 2) - 1) * (WINDOW // 2) for k in hit[:200]} or {0}
-                for k in sorted(at):
+                rng, raw = random.Random(f"{SEED}:{i}"), raw or b""
+                own = [(s, e) for s, k, e in base_spans(raw) if BASE[k][0] in base]
+                left = [(s, e) for s, k, e in base_spans(raw) if BASE[k][0] not in base]
+                views = [] if left else [_windows(raw, own, [], rng.random() < 0.5, rng, per_text)]
+                if not own and not left:
+                    views.append(_windows(*planted(raw, rng, kinds), False, rng, per_text))
+                for code, tag in (x for v in views for x in v):
                     ids.append(i)
-                    codes.append(code[k : k + WINDOW].tolist())
-                    tags.append(tag[k : k + WINDOW].tolist())
+                    codes.append(code)
+                    tags.append(tag)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(codes, pa.list_(pa.int32())), pa.array(tags, pa.list_(pa.int64()))], names=["doc_id", "code", "tag"])
 
     rows = some.mapInArrow(run, "doc_id long, code array<int>, tag array<long>")
-    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "code", "tag").limit(sample).toPandas()
+    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "code", "tag").limit(WINDOWS).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     code, tag, real = (np.zeros((len(rows), WINDOW), t) for t in (np.int64, np.int64, bool))
     for k, (c, t) in enumerate(zip(rows.code, rows.tag, strict=True)):
@@ -228,35 +333,59 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     return Crf().train(code, tag, real)
 
 
+def _trimmed(raw: bytes, s: int, e: int) -> tuple[int, int]:
+    """A span without the marks around it."""
+    while s < e and raw[s] in _EDGES:
+        s += 1
+    while s < e and raw[e - 1] in _EDGES + b".":
+        e -= 1
+    return s, e
+
+
+def _beyond_base(raw: bytes, base: list[tuple[int, int, int]], tags: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int, int]]:
+    """Spans of the tags that overlap none of the base spans (sorted by start)."""
+    begins, reach = np.array([s for s, _, _ in base]), np.maximum.accumulate([e for _, _, e in base] or [0])
+    out = []
+    for k in np.flatnonzero(tags == 1).tolist():
+        last = k
+        while last + 1 < len(tags) and tags[last + 1] == 2:
+            last += 1
+        s, e = _trimmed(raw, int(start[k]), int(end[last]))
+        before = int(np.searchsorted(begins, e))
+        if s < e and not (before and reach[before - 1] > s):
+            out.append((s, len(BASE), e))
+    return out
+
+
 def scan(docs: DataFrame, crf: Crf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, spans): spans as array of (kind, start, end) in code points, end
     exclusive, by start and then kind; kind "crf" for those of the CRF that
-    overlap none of the base ones. A narrow pass over whole texts. Null text:
-    empty; every row of docs gives a row, whatever its id."""
-    table = crf.table()
-    may = crf.may_tag(table)
+    overlap none of the base ones, without quotes and marks around them.
+
+    A narrow pass over whole texts, however long; work grows with the text. Null
+    text: empty. Every row of docs gives a row, whatever its id and however often
+    it is repeated; an empty table gives none; other columns are ignored.
+    """
+    unary, move = crf.unary, crf.move
 
-    def spans_of(raw: bytes, u: np.ndarray | None, start: np.ndarray, end: np.ndarray, keyword: bool, run: bool) -> list[dict]:
+    def spans_of(raw: bytes, tags: np.ndarray | None, start: np.ndarray, end: np.ndarray, keyword: bool, run: bool) -> list[dict]:
         found = base_spans(raw, keyword, run)
-        if u is not None:
-            tags = crf.viterbi(u)
-            first = np.flatnonzero(tags == 1)
-            for k in first.tolist():
-                last = k
-                while last + 1 < len(tags) and tags[last + 1] == 2:
-                    last += 1
-                s, e = int(start[k]), int(end[last])
-                if not any(s < y and x < e for x, _, y in found if x >= 0):
-                    found.append((s, len(BASE), e))
+        if tags is not None:
+            found = sorted(found + _beyond_base(raw, found, tags, start, end))
         if not found:
             return []
         names = [x[0] for x in BASE] + ["crf"]
-        if not raw.isascii():
-            found = [(len(raw[:s].decode()), k, len(raw[:e].decode())) for s, k, e in found]
-        return [{"kind": names[k], "start": s, "end": e} for s, k, e in sorted(found)]
+        if not raw.isascii():  # bytes that go on with a character before them don't count
+            place = np.r_[0, np.cumsum(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)]
+            found = [(int(place[s]), k, int(place[e])) for s, k, e in found]
+        return [{"kind": names[k], "start": s, "end": e} for s, k, e in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+        own = Crf()
+        own.unary, own.move = unary, move
+        table = own.table()
+        may = own.may_tag(table)
         for b in batches:
             out: list[list[dict]] = []
             for _, texts in textops.blocks([x or b"" for x in b.column(1).to_pylist()]):
@@ -269,7 +398,7 @@ def scan(docs: DataFrame, crf: Crf, doc_id: str = "doc_id", text: str = "text")
                     if not (tagged[k] or keyword[k] or run_[k] or b"AKIA" in raw):
                         out.append([])
                         continue
-                    out.append(spans_of(raw, table[code[w]] if tagged[k] else None, start[w], end[w], keyword[k], run_[k]))
+                    out.append(spans_of(raw, own.viterbi(table[code[w]]) if tagged[k] else None, start[w], end[w], keyword[k], run_[k]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], names=["doc_id", "spans"])
 
     rows = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
@@ -280,5 +409,3 @@ def joined(spans, kinds: tuple[str, ...]):
     """Spans of the kinds as kind:start:end, comma-joined."""
     some = F.filter(spans, lambda x: x["kind"].isin(*kinds))
     return F.array_join(F.transform(some, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
-
-
