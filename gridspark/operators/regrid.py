@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark.sources.staging import written
+
 
 def apply_weights(df: DataFrame, weights: DataFrame, src: Sequence[str], dst: Sequence[str], value: str, keys: Sequence[str] = (), renormalize: float | None = None) -> DataFrame:
     """Sum of weight * value by destination; nulls add nothing. renormalize:
@@ -43,17 +45,33 @@ def bilinear_weights(target: DataFrame, x: str, y: str, x0: float, y0: float, dx
     return inside.select(*dst, F.explode(F.array(*corners)).alias("c")).select(*dst, "c.i", "c.j", "c.w")
 
 
-def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon: str, label: str, order: Sequence[str]) -> DataFrame:
-    """For each of a few points (a literal list of places; broadcast below a
-    checked number, else refused) the label of the cell that is nearest by
-    abs(dlat) + abs(dlon); ties by cell order. Cells are only scanned."""
-    most = 10_000
-    if points.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} points: lay them out on the grid instead")
-    p = points.select(point, F.col(lat).alias("__lat"), F.col(lon).alias("__lon"))
+def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon: str, label: str, order: Sequence[str], width: float = 4.0) -> DataFrame:
+    """For each point the label of the cell that is nearest by abs(dlat) +
+    abs(dlon); ties by cell order. Points look into the tile they are in and the
+    eight around, which is exact within one tile's width; those without a cell
+    so near go on with tiles four times as wide, until none is left or a tile is
+    wider than all there is."""
+    p = points.select(point, F.col(lat).cast("double").alias("__lat"), F.col(lon).cast("double").alias("__lon"))
+    c = cells.select(F.col(lat).cast("double").alias(lat), F.col(lon).cast("double").alias(lon), *order, label)
+    places = c.select(lat, lon).union(p.select("__lat", "__lon"))
+    ends = places.agg(*[f(x).alias(f"{n}{x}") for x in (lat, lon) for n, f in (("a", F.min), ("b", F.max))]).first()
+    across = sum((ends[f"b{x}"] or 0.0) - (ends[f"a{x}"] or 0.0) for x in (lat, lon))
+    around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
     d = F.abs(F.col(lat) - F.col("__lat")) + F.abs(F.col(lon) - F.col("__lon"))
-    j = cells.join(F.broadcast(p))
-    return j.groupBy(point).agg(F.min(F.struct(d.alias("d"), *order, label)).getField(label).alias(label))
+    found, left = None, p
+    while True:
+        ask = left.withColumn("__n", around)
+        ask = ask.withColumns({f"__{n}": F.floor(F.col(x) / width) + F.col(f"__n.{n}") for n, x in (("a", "__lat"), ("b", "__lon"))})
+        source = c.withColumns({f"__{n}": F.floor(F.col(x) / width) for n, x in (("a", lat), ("b", lon))})
+        got = ask.join(source, ["__a", "__b"]).groupBy(point).agg(F.min(F.struct(d.alias("d"), *order, label)).alias("s"))
+        got = got.where(F.col("s.d") <= width).select(point, F.col(f"s.{label}").alias(label))
+        found = got if found is None else found.unionByName(got)
+        if width >= across:
+            return found
+        left = written(left.join(got.select(point), point, "left_anti"), "nearest-left")
+        if left.isEmpty():
+            return found
+        width *= 4
 
 
 def point_in_polygon(points: DataFrame, x: str, y: str, key: Sequence[str], polygons: Sequence[tuple[int, Sequence[tuple[float, float]]]]) -> DataFrame:

@@ -16,15 +16,54 @@ def uniform_offsets(df: DataFrame, value: str, offsets: Sequence[float] = (0.5,
     return out.withColumn(value, F.col(value) + F.col("scenario"))
 
 
-def contemporary(clim: DataFrame, value: str, factor: Column, mask: Column, first: int = 1950, last: int = 2025, pivot: int = 2008) -> DataFrame:
-    """A constant climatology by year under main, cold (-0.17 a decade before the
-    pivot), warm (+0.17) and vary (a cosine of the years), where a mask holds."""
+#: Fixed values of the contemporary pathways: the offset of temperatures, the
+#: trend a year before RAMP_TO in the ramped regions, and the amplitude in
+#: metres of the thermocline's shift.
+OFFSET = {"main": 0.0, "cold": -0.17, "warm": 0.17, "vary": 0.0}
+TREND = {"main": -0.00140, "cold": -0.00620, "warm": 0.00190, "vary": 0.0}
+AMPLITUDE = {9: 120.0, 8: 100.0, 4: 100.0}
+RAMP_SHARE = {8: 0.5, 9: 1.0}
+BLENDED, COLDEST, RAMP_TO, BLEND_TO, TOP_LEVELS = 4, -1.9, 1995, 2015, 13
+
+
+def contemporary(clim: DataFrame, t: str, s: str, zone: str, first: int = 1950, last: int = 2025, step: float = 60.0) -> DataFrame:
+    """A climatology by year under the pathways main, cold, warm and vary.
+
+    clim is in profile form: arrays t and s over levels `step` metres apart,
+    downwards, and a zone. Cold and warm shift temperatures by a constant. All
+    but vary have a linear trend up to RAMP_TO in some zones. Cold blends one
+    zone from the coldest temperature, and its salinity from the mean of the
+    upper levels, to the climatology in BLEND_TO. Vary moves profiles of some
+    zones up and down by a cosine of the years, interpolated onto the levels,
+    the ends held. All is array work in the row, after one explode.
+    """
+    z, year, scenario = F.col(zone), F.col("year"), F.col("scenario")
+
+    def chosen(table: dict) -> Column:
+        return F.coalesce(*[F.when(scenario == k, v) for k, v in table.items()])
+
+    def by_zone(table: dict) -> Column:
+        return F.coalesce(*[F.when(z == k, v) for k, v in table.items()], F.lit(0.0))
+
     years = F.explode(F.sequence(F.lit(first), F.lit(last)))
-    out = clim.withColumn("year", years).withColumn("scenario", F.explode(F.array(*map(F.lit, ("main", "cold", "warm", "vary")))))
-    before = F.greatest(F.lit(pivot) - F.col("year"), F.lit(0)) / 10.0
-    step = F.when(F.col("scenario") == "cold", -0.17 * before).when(F.col("scenario") == "warm", 0.17 * before)
-    step = step.when(F.col("scenario") == "vary", vertical.cosine_shift(F.col("year"), factor)).otherwise(0.0)
-    return out.withColumn(value, F.col(value) + step * mask)
+    out = clim.withColumn("year", years).withColumn("scenario", F.explode(F.array(*map(F.lit, OFFSET))))
+    ramp = vertical.ramp_before(year, F.lit(0.0), chosen(TREND), by_zone(RAMP_SHARE), RAMP_TO)
+    base = chosen(OFFSET) + F.when(year < RAMP_TO, ramp).otherwise(0.0)
+    dz = vertical.cosine_shift(year, by_zone(AMPLITUDE))
+    blended = (scenario == "cold") & (z == BLENDED) & (year < BLEND_TO)
+    upper = F.slice(F.col(s), 1, TOP_LEVELS)
+    mean = F.aggregate(upper, F.lit(0.0), lambda x, y: x + y) / F.size(upper)
+
+    def blend(start: Column, x: Column) -> Column:
+        return vertical.blend_to_pivot(year, start, x, first, BLEND_TO)
+
+    def moved(values: str) -> Column:
+        return vertical.profile_shift(F.col(values), dz, step)
+
+    warm = F.transform(F.col(t), lambda x: x + base)
+    new_t = F.when(scenario == "vary", moved(t)).when(blended, F.transform(warm, lambda x: blend(F.lit(COLDEST), x))).otherwise(warm)
+    new_s = F.when(scenario == "vary", moved(s)).when(blended, F.transform(F.col(s), lambda x: blend(mean, x))).otherwise(F.col(s))
+    return out.withColumns({t: new_t, s: new_s})
 
 
 def replace_region(field: DataFrame, observed: DataFrame, keys: Sequence[str], region: str, value: str) -> DataFrame:

@@ -206,6 +206,20 @@ def profile_fill_both(value: Column) -> Column:
     return F.transform(value, near)
 
 
+def profile_shift(value: Column, dz: Column, step: float) -> Column:
+    """shift on an array, in the row: the profile moved up by dz, interpolated
+    onto its levels (`step` apart, downwards), the ends held."""
+    n = F.size(value)
+
+    def at(_: Column, i: Column) -> Column:
+        p = F.least(F.greatest(i + dz / step, F.lit(0.0)), (n - 1).cast("double"))
+        low = F.floor(p).cast("int")
+        a, b = F.get(value, low), F.get(value, F.least(low + 1, n - 1))
+        return F.when(p == low, a).otherwise(a + (b - a) * (p - low))
+
+    return F.transform(value, at)
+
+
 def profile_resample(value: Column, weights: Sequence[tuple[int, int, float]], thickness: Sequence[float], threshold: float = 0.0) -> Column:
     """resample on an array, in the row: the weights are literals of the plan."""
     out = []

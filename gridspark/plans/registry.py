@@ -21,5 +21,5 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
-for _name in ("time", "masks", "zonal", "vertical", "distributions", "regridding", "labels", "calibration", "scenarios"):
+for _name in ("time", "masks", "zonal", "vertical", "distributions", "regridding", "labels", "calibration", "scenarios", "sources"):
     importlib.import_module(f"gridspark.plans.{_name}_queries")

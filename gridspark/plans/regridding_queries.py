@@ -50,9 +50,9 @@ def j10(spark, d):
     return out.select("vec_id", F.when(F.round("ice_frac", 9) > 0.5, 1).otherwise(0).alias("m"))
 
 
-@query("j11_nearest_cell", sql("cells", ", s AS (SELECT s_suppkey, (s_acctbal % 37)::DOUBLE AS lat, (s_suppkey * 7 % 40)::DOUBLE AS lon FROM supplier WHERE s_suppkey < 200) SELECT s_suppkey, zone FROM (SELECT s_suppkey, zone, row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(j - lat) + abs(i - lon), j, i) AS n FROM s, cells) WHERE n = 1"))
+@query("j11_nearest_cell", sql("cells", ", s AS (SELECT s_suppkey, (s_acctbal % 37)::DOUBLE AS lat, (s_suppkey * 7 % 40)::DOUBLE AS lon FROM supplier) SELECT s_suppkey, zone FROM (SELECT s_suppkey, zone, row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(j - lat) + abs(i - lon), j, i) AS n FROM s, cells) WHERE n = 1"))
 def j11(spark, d):
-    s = table(spark, d, "supplier").where("s_suppkey < 200").select("s_suppkey", (F.col("s_acctbal") % 37).alias("lat"), (F.col("s_suppkey") * 7 % 40).cast("double").alias("lon"))
+    s = table(spark, d, "supplier").select("s_suppkey", (F.col("s_acctbal") % 37).alias("lat"), (F.col("s_suppkey") * 7 % 40).cast("double").alias("lon"))
     c = cells(spark, d).select(F.col("j").alias("lat"), F.col("i").alias("lon"), "i", "j", "zone")
     c = c.withColumns({"la": F.col("lat"), "lo": F.col("lon")}).select("i", "j", "zone", "la", "lo")
     points = s.withColumnsRenamed({"lat": "la", "lon": "lo"})

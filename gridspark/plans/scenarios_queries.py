@@ -16,11 +16,29 @@ def b5(spark, d):
     return scenarios.uniform_offsets(cells(spark, d).select("i", "j", F.col("v_holes").alias("v")), "v")
 
 
-@query("b6_contemporary_scenarios", sql("cells", ", y AS (SELECT CAST(x AS INT) AS year FROM range(2000, 2016) t(x)) SELECT i, j, year, s AS scenario, round(v + (CASE s WHEN 'cold' THEN -0.17 * (greatest(2008 - year, 0) / 10.0::DOUBLE) WHEN 'warm' THEN 0.17 * (greatest(2008 - year, 0) / 10.0::DOUBLE) WHEN 'vary' THEN i * cos(2 * pi() * (year - 2008) / 16) ELSE 0 END) * (zone % 2), 5) AS v FROM cells, y, (VALUES ('main'), ('cold'), ('warm'), ('vary')) q(s) WHERE zone < 4"))
+#: A climatology of a few levels by supplier, and the pathways over 1950 to 2025.
+CONTEMPORARY = """WITH c AS (SELECT l_suppkey AS cell, l_suppkey % 16 AS zone, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) - 1 AS k, count(*) OVER (PARTITION BY l_suppkey) AS n,
+  avg(l_quantity) / 10 - 2 AS t, 33 + 20 * avg(l_discount) AS s FROM lineitem GROUP BY l_suppkey, l_linenumber),
+y AS (SELECT CAST(x AS INT) AS year FROM range(1950, 2026) t(x)),
+p AS (SELECT * FROM (VALUES ('main', 0.0::DOUBLE, -0.0014::DOUBLE), ('cold', -0.17, -0.0062), ('warm', 0.17, 0.0019), ('vary', 0.0, 0.0)) q(scenario, o, fac)),
+top AS (SELECT cell, avg(s) AS mean FROM c WHERE k < 13 GROUP BY 1),
+g AS (SELECT c.*, y.year, p.scenario, top.mean, t + o + CASE WHEN year < 1995 THEN fac * (1995 - year) * (CASE zone WHEN 9 THEN 1.0 WHEN 8 THEN 0.5 ELSE 0 END) ELSE 0 END AS warm,
+  least(greatest(k + (CASE zone WHEN 9 THEN 120.0::DOUBLE WHEN 8 THEN 100 WHEN 4 THEN 100 ELSE 0 END) * cos(2 * pi() * (year - 2008) / 16) / 60, 0), n - 1) AS pos FROM c JOIN top USING (cell), y, p)
+SELECT g.cell, g.year, g.scenario, CAST(g.k AS INT) AS k,
+  round(CASE WHEN scenario = 'vary' THEN a.t + (b.t - a.t) * (pos - floor(pos)) WHEN scenario = 'cold' AND g.zone = 4 AND year < 2015 THEN -1.9 + (warm + 1.9) * (year - 1950) / 65 ELSE warm END, 6) AS t,
+  round(CASE WHEN scenario = 'vary' THEN a.s + (b.s - a.s) * (pos - floor(pos)) WHEN scenario = 'cold' AND g.zone = 4 AND year < 2015 THEN mean + (g.s - mean) * (year - 1950) / 65 ELSE g.s END, 6) AS s
+FROM g JOIN c a ON a.cell = g.cell AND a.k = floor(pos) JOIN c b ON b.cell = g.cell AND b.k = least(floor(pos) + 1, g.n - 1)"""
+
+
+@query("b6_contemporary_scenarios", CONTEMPORARY)
 def b6(spark, d):
-    c = cells(spark, d).where("zone < 4").select("i", "j", "zone", "v")
-    out = scenarios.contemporary(c, "v", F.col("i"), F.col("zone") % 2, 2000, 2015)
-    return out.select("i", "j", "year", "scenario", F.round("v", 5).alias("v"))
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("cell"), "l_linenumber")
+    rows = rows.agg((F.avg("l_quantity") / 10 - 2).alias("t"), (33 + 20 * F.avg("l_discount")).alias("s"))
+    p = rows.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "t", "s"))).alias("a"))
+    p = p.select("cell", (F.col("cell") % 16).alias("zone"), F.col("a.t").alias("t"), F.col("a.s").alias("s"))
+    out = scenarios.contemporary(p, "t", "s", "zone")
+    out = out.select("cell", "year", "scenario", F.posexplode(F.arrays_zip("t", "s")).alias("k", "x"))
+    return out.select("cell", "year", "scenario", "k", F.round("x.t", 6).alias("t"), F.round("x.s", 6).alias("s"))
 
 
 @query("b7_observed_profiles", sql("profiles", ", o AS (SELECT cell % 5 AS region, k, avg(v) AS obs FROM profiles WHERE cell % 5 < 2 GROUP BY 1, 2) SELECT p.cell, p.k, round(coalesce(obs, v), 6) AS v FROM profiles p LEFT JOIN o ON o.region = p.cell % 5 AND o.k = p.k"))

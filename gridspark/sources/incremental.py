@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark.sources.staging import forget
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -37,14 +40,21 @@ def publish(df: DataFrame, path: str) -> bool:
     spark = df.sparkSession
     if exists(spark, path):
         return False
-    staging = f"{path}.staging"
-    df.write.mode("overwrite").parquet(staging)
+    staging = f"{path}.staging-{uuid.uuid4().hex}"  # writers at the same time don't meet
+    df.write.parquet(staging)
     jvm = spark._jvm
     src, dst = (jvm.org.apache.hadoop.fs.Path(p) for p in (staging, path))
     fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(dst.getParent())
+    if exists(spark, path):  # another writer was first
+        forget(spark, staging)
+        return False
     if not fs.rename(src, dst):
         raise OSError(f"{staging} can't be renamed")
+    nested = f"{path}/{src.getName()}"
+    if exists(spark, nested):  # it came between: a rename onto a folder goes inside it
+        forget(spark, nested)
+        return False
     return True
 
 

@@ -36,6 +36,12 @@ def written(df: DataFrame, name: str = "table", path: str | None = None) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all tables written so far under the session's shared folder: for
+    between jobs, as results that are not yet computed may read them."""
+    forget(spark, f"{shared_dir(spark)}/gridspark")
+
+
 def forget(spark: SparkSession, path: str) -> None:
     """Delete a table that no later plan reads."""
     jvm = spark._jvm

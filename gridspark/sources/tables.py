@@ -56,13 +56,12 @@ def collect_pairs(spark: SparkSession, scenarios: dict[str, tuple[Sequence[str],
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str | None = None) -> DataFrame:
-    """Delimited text with a header; without sep, columns parted by spaces."""
+    """Delimited text; the first line of each file is its header. Without sep,
+    columns are parted by spaces."""
     if sep is not None:
         return spark.read.csv(path, schema=schema, sep=sep, header=True)
-    text = spark.read.text(path).where(F.trim("value") != "")
-    header = text.first()
-    if header is None:
-        return spark.createDataFrame([], schema)
-    lines = text.where(F.col("value") != header.value).select(F.split(F.trim("value"), r"\s+").alias("c"))
+    # a file of one column, parted by what no line holds, so that only headers are cut off
+    text = spark.read.csv(path, schema="value string", sep="\x01", quote="", escape="", header=True)
+    lines = text.where(F.trim("value") != "").select(F.split(F.trim("value"), r"\s+").alias("c"))
     fields = StructType.fromDDL(schema).fields
     return lines.select(*[F.get("c", F.lit(k)).cast(f.dataType).alias(f.name) for k, f in enumerate(fields)])
