@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.operators.distributions import percentiles
+from gridspark.sources.bounded import join_bounded
+
 
 def quadratic_melt(k: Column, forcing: Column, salinity_factor: Column | float = 1.0, slope: Column | float = 1.0) -> Column:
     """Quadratic in the thermal forcing."""
@@ -56,47 +59,75 @@ def mean_absolute_error(predicted: Column, observed: Column, weight: Column | No
     return F.avg(d) if skipna else F.when(F.count(d) == F.count("*"), F.avg(d))
 
 
-def draws(df: DataFrame, samples: int, mean: str, sigma: str, seed: str = "draw") -> DataFrame:
-    """df times samples 1..n, each with a weight in (0, 1) and a value drawn from
-    N(mean, sigma): Box-Muller on hashes of the key, so that reruns and retried
-    tasks agree. key: a string column."""
+def uniform(seed: str, name: str) -> Column:
+    """A number in (0, 1) hashed from the columns sample and key: reruns and
+    retried tasks agree."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit(name), F.col("sample").cast("string"), F.col("key"))), 1, 13), 16, 10)
+    return (h.cast("double") + 0.5) / float(1 << 52)
 
-    def uniform(name: str) -> Column:
-        h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit(name), F.col("sample").cast("string"), F.col("key"))), 1, 13), 16, 10)
-        return (h.cast("double") + 0.5) / float(1 << 52)
 
+def draws(df: DataFrame, samples: int, mean: str, sigma: str, seed: str = "draw") -> DataFrame:
+    """df times samples 1..n, each with a weight in (0, 1) and a value drawn from
+    N(mean, sigma) by Box-Muller. key: a string column."""
     out = df.withColumn("sample", F.explode(F.sequence(F.lit(1), F.lit(samples))))
-    normal = F.sqrt(-2 * F.log(uniform("a"))) * F.cos(uniform("b") * 6.283185307179586)
-    return out.withColumns({"weight": uniform("w"), "drawn": F.col(mean) + F.col(sigma) * normal})
-
-
-def term_errors(predicted: DataFrame, drawn: DataFrame, params: Sequence[str], value: str) -> DataFrame:
-    """Per sample and parameters the weighted mean absolute error of one term,
-    normalised by the sample's median over the parameters plus 1e-6."""
-    j = drawn.join(predicted, "key")
-    e = j.groupBy("sample", *params).agg(mean_absolute_error(F.col(value), F.col("drawn"), F.col("weight")).alias("error"))
-    med = F.percentile("error", F.lit(0.5)).over(Window.partitionBy("sample"))
-    return e.withColumn("error", F.col("error") / (med + 1e-6))
-
-
-def best_parameters(terms: Sequence[DataFrame], params: Sequence[str]) -> DataFrame:
-    """Per sample the parameters of the least summed error (ties: the smallest)."""
-    total = None
-    for k, t in enumerate(terms):
-        t = t.withColumnRenamed("error", f"e{k}")
-        total = t if total is None else total.join(t, ["sample", *params])
-    s = sum((F.col(f"e{k}") for k in range(1, len(terms))), F.col("e0"))
-    best = total.groupBy("sample").agg(F.min(F.struct(s.alias("objective"), *params)).alias("s"))
+    normal = F.sqrt(-2 * F.log(uniform(seed, "a"))) * F.cos(uniform(seed, "b") * 6.283185307179586)
+    return out.withColumns({"weight": uniform(seed, "w"), "drawn": F.col(mean) + F.col(sigma) * normal})
+
+
+def objective(predicted: DataFrame, drawn: DataFrame, params: Sequence[str], strict: Sequence[int] = (1, 2), seed: str = "draw") -> DataFrame:
+    """Per sample and parameters the sum over terms of the weighted mean absolute
+    errors, each normalised by its median over the parameters plus 1e-6 and
+    times a share in (0, 1) drawn for the sample.
+
+    predicted: (term, key, params, x); drawn: (term, key, sample, weight, drawn),
+    keys being unique over terms. A missing prediction voids a strict term and
+    is passed over in the others; parameters that lack a term are left out.
+    """
+    j = join_bounded(predicted, drawn.select("term", "key", "sample", "weight", "drawn"), ["term", "key"])
+    skip = mean_absolute_error(F.col("x"), F.col("drawn"), F.col("weight"))
+    whole = mean_absolute_error(F.col("x"), F.col("drawn"), F.col("weight"), skipna=False)
+    e = j.groupBy("sample", "term", *params).agg(F.when(F.col("term").isin(*strict), whole).otherwise(skip).alias("e"))
+    median = F.percentile("e", F.lit(0.5)).over(Window.partitionBy("sample", "term"))
+    e = e.withColumn("key", F.col("term").cast("string")).withColumn("e", uniform(seed, "t") * F.col("e") / (median + 1e-6))
+    terms = predicted.select("term").distinct().count()
+    out = e.groupBy("sample", *params).agg(F.sum("e").alias("objective"), F.count("e").alias("__n"))
+    return out.where(F.col("__n") == terms).drop("__n")
+
+
+def best_parameters(objectives: DataFrame, params: Sequence[str]) -> DataFrame:
+    """Per sample the parameters of the least objective, to nine decimals (ties:
+    the smallest)."""
+    best = objectives.groupBy("sample").agg(F.min(F.struct(F.round("objective", 9).alias("objective"), *params)).alias("s"))
     return best.select("sample", *[F.col(f"s.{p}").alias(p) for p in params], "s.objective")
 
 
 def summary(chosen: DataFrame, name: str) -> DataFrame:
     """Percentiles 5, 50 and 95 and the mode (ties: the smallest) of a parameter."""
-    p = chosen.agg(*[F.percentile(name, F.lit(q / 100)).alias(f"p{q}") for q in (5, 50, 95)])
+    p = percentiles(chosen, name, [0.05, 0.5, 0.95]).select(*[F.get("p", F.lit(k)).alias(f"p{q}") for k, q in enumerate((5, 50, 95))])
     mode = chosen.groupBy(name).count().agg(F.max_by(name, F.struct("count", -F.col(name))).alias("mode"))
     return p.crossJoin(mode)  # one row each
 
 
+def edge_histogram(chosen: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """How often each value of a parameter's axis was chosen: bins end 1e-7 above
+    the values, the first one begins at half the least. values has one row per
+    value of the axis."""
+    w = Window.orderBy(name)  # the axis of one parameter
+    bins = values.select(name, F.coalesce(F.lag(name).over(w) + 1e-7, F.col(name) * 0.5).alias("low"), (F.col(name) + 1e-7).alias("high"))
+    n = chosen.groupBy(F.col(name).alias("__x")).agg(F.count("*").alias("__n"))
+    j = bins.join(n, (F.col("__x") >= F.col("low")) & (F.col("__x") < F.col("high")), "left")
+    return j.groupBy("low", "high").agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"))
+
+
+def slice_percentile(chosen: DataFrame, given: str, name: str, q: float) -> DataFrame:
+    """For each value of one parameter the least value of another at which the
+    counts of its slice add up to the share q."""
+    n = chosen.groupBy(given, name).agg(F.count("*").alias("n"))
+    w = Window.partitionBy(given)
+    n = n.withColumns({"upto": F.sum("n").over(w.orderBy(name)), "all": F.sum("n").over(w)})
+    return n.where(F.col("upto") >= F.col("all") * q).groupBy(given).agg(F.min(name).alias(name))
+
+
 def incomplete_members(optima: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Whether a member lacks an optimum in any zone."""
     return optima.groupBy(*keys).agg(F.bool_or(F.col(value).isNull()).alias("invalid"))
@@ -104,5 +135,10 @@ def incomplete_members(optima: DataFrame, keys: Sequence[str], value: str) -> Da
 
 def member_weights(df: DataFrame, key: str, value: str) -> DataFrame:
     """Weights by key: the median over the median of all."""
-    whole = df.agg(F.median(value).alias("__m"))
+    whole = percentiles(df, value, [0.5]).select(F.get("p", F.lit(0)).alias("__m"))
     return df.groupBy(key).agg(F.median(value).alias("median")).crossJoin(F.broadcast(whole)).select(key, (F.col("median") / F.col("__m")).alias("weight"))  # one row by construction
+
+
+def region_weights(df: DataFrame, keys: Sequence[str], counts: Column) -> DataFrame:
+    """1 for the regions that count, 0 for all others, by key."""
+    return df.select(*keys, F.when(counts, 1.0).otherwise(0.0).alias("weight")).groupBy(*keys).agg(F.max("weight").alias("weight"))

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.operators.ordering import global_cumsum
+from gridspark.sources.bounded import join_bounded
+
 
 def cell_volume(value: Column, dz: float, dy: float, dx: float) -> Column:
     """Volume of a cell, 0 where the value is missing."""
@@ -35,6 +38,23 @@ def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, weight:
     return k.where(F.col("__c") >= F.col("__need")).groupBy(*keys).agg(F.min(value).alias(out))
 
 
+def percentiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
+    """One row with a column p: the exact percentiles of a whole table, linear
+    between neighbours in order; null without rows. Values are counted first
+    (with map-side combining) and put in order by a range sort, so that no task
+    and no aggregation holds them all."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    upto = global_cumsum(counts, ["v"], "n")
+    total = upto.agg(F.max("upto")).first()[0] or 0
+
+    def at(rank: int) -> Column:
+        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("v")))
+
+    places = [max(0, total - 1) * q for q in qs]
+    ends = [(at(int(x)), at(min(int(x) + 1, max(0, total - 1)))) for x in places]
+    return upto.agg(F.array(*[a + (b - a) * (x - int(x)) for x, (a, b) in zip(places, ends, strict=True)]).alias("p"))
+
+
 def histogram_bin(value: Column, edges: Sequence[float]) -> Column:
     """Number from 0 of the bin on given edges: half-open, the last one closed;
     null outside. The edges are literals of the plan."""
@@ -68,33 +88,51 @@ def lookup_bin(value: Column, low: Column, high: Column, n: int) -> Column:
 
 def histogram_2d(df: DataFrame, key: str, s: str, t: str, weight: str, n: int) -> DataFrame:
     """Weighted counts in n x n equal bins between each key's extremes."""
-    r = ranges(df, [key], [s, t])
-    j = df.join(r, key)
+    j = join_bounded(df, ranges(df, [key], [s, t]), key)
     cols = [equal_bin(F.col(v), F.col(f"{v}_lo"), F.col(f"{v}_hi"), n).alias(f"{v}_bin") for v in (s, t)]
     return j.select(key, *cols, F.col(weight).alias("__w")).groupBy(key, f"{s}_bin", f"{t}_bin").agg(F.sum("__w").alias("weight"))
 
 
+def histogram_edges(df: DataFrame, key: str, s: str, t: str, n: int) -> DataFrame:
+    """The n + 1 edges of histogram_2d, by key and number k."""
+    r = ranges(df, [key], [s, t]).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n))))
+    return r.select(key, "k", *[(F.col(f"{v}_lo") + (F.col(f"{v}_hi") - F.col(f"{v}_lo")) * F.col("k") / n).alias(f"{v}_edge") for v in (s, t)])
+
+
 def state_delta(df: DataFrame, key: str, s: str, t: str, volume: str, delta: str, n: int) -> DataFrame:
     """Volume-weighted mean change of each bin of the reference state; a missing
     change makes its bin missing."""
-    r = ranges(df, [key], [s, t])
-    j = df.join(r, key)
+    j = join_bounded(df, ranges(df, [key], [s, t]), key)
     cols = [equal_bin(F.col(v), F.col(f"{v}_lo"), F.col(f"{v}_hi"), n).alias(f"{v}_bin") for v in (s, t)]
     g = j.select(key, *cols, F.col(volume).alias("__w"), F.col(delta).alias("__d")).groupBy(key, f"{s}_bin", f"{t}_bin")
     out = g.agg(F.sum(F.col("__w") * F.col("__d")).alias("__x"), F.sum("__w").alias("__t"), F.count_if(F.col("__d").isNull()).alias("__m"))
     return out.select(key, f"{s}_bin", f"{t}_bin", F.when(F.col("__m") == 0, F.col("__x") / F.nullif("__t", F.lit(0.0))).alias("delta"))
 
 
-def apply_delta(df: DataFrame, deltas: DataFrame, key: str, s: str, t: str, n: int, out: str = "changed") -> DataFrame:
-    """Add to t the delta of the bin that (s, t) looks up, by key."""
-    r = ranges(df, [key], [s, t])
-    j = df.join(r, key)
+def apply_delta(df: DataFrame, deltas: DataFrame, key: str, s: str, t: str, n: int, out: str = "changed", bounds: DataFrame | None = None) -> DataFrame:
+    """Add to t the delta of the bin that (s, t) looks up, by key; bins lie
+    between the extremes of df, or those of a table of bounds."""
+    j = join_bounded(df, ranges(df, [key], [s, t]) if bounds is None else bounds, key)
     for v in (s, t):
         j = j.withColumn(f"{v}_bin", lookup_bin(F.col(v), F.col(f"{v}_lo"), F.col(f"{v}_hi"), n))
     j = j.join(deltas, [key, f"{s}_bin", f"{t}_bin"], "left")
     return j.withColumn(out, F.col(t) + F.col("delta")).drop(f"{s}_lo", f"{s}_hi", f"{t}_lo", f"{t}_hi")
 
 
+def corrected_bounds(model: DataFrame, reference: DataFrame, key: str, s: str, t: str, weight: str, edges: Sequence[float], q: float = 0.99) -> DataFrame:
+    """The extremes of the model's state space moved to the reference's: salinity
+    by its best scale about the percentile q, temperature by its scale about
+    the minimum. By key: s_lo, s_hi, t_lo, t_hi."""
+    r = ranges(model, [key], [s, t])
+    scale = salinity_scale(model, reference, key, s, weight, edges, q).select(key, F.col("scale").alias("cs"))
+    pm, pr = (weighted_percentile(d, [key], s, weight, q, name) for d, name in ((model, "pm"), (reference, "pr")))
+    heat = temperature_scale(model, reference, key, t, weight, q).withColumnRenamed("scale", "ct")
+    j = r.join(scale, key).join(pm, key).join(pr, key).join(heat, key)
+    salt = [(F.col("cs") * (F.col(f"{s}_{e}") - F.col("pm")) + F.col("pr")).alias(f"{s}_{e}") for e in ("lo", "hi")]
+    warm = [(F.col("ct") * (F.col(f"{t}_{e}") - F.col("m_min")) + F.col("r_min")).alias(f"{t}_{e}") for e in ("lo", "hi")]
+    return j.select(key, *salt, *warm)
+
+
 def salinity_scale(model: DataFrame, reference: DataFrame, key: str, value: str, weight: str, edges: Sequence[float], q: float = 0.99) -> DataFrame:
     """Per key the scale c of 0.5..1.4 whose histogram of c * (S - P99 of the
     model) + P99 of the reference is nearest to the reference's (ties: the
@@ -130,8 +168,7 @@ def temperature_scale(model: DataFrame, reference: DataFrame, key: str, value: s
 def quantile_bins(df: DataFrame, value: str, n: int, out: str = "bin") -> DataFrame:
     """Bin 0 for zeros, 1..n of equal counts for the others; the n - 1 inner
     edges are exact percentiles, n numbers that go back into the plan."""
-    inner = [k / n for k in range(1, n)]
-    edges = df.where(F.col(value) > 0).agg(F.percentile(value, F.array(*map(F.lit, inner))).alias("e"))
+    edges = percentiles(df.where(F.col(value) > 0), value, [k / n for k in range(1, n)])
     j = df.crossJoin(F.broadcast(edges))  # one row by construction
-    number = F.size(F.filter("e", lambda e: e < F.col(value))) + 1
-    return j.withColumn(out, F.when(F.col(value) > 0, number).when(F.col(value) == 0, 0)).drop("e")
+    number = F.size(F.filter("p", lambda e: e < F.col(value))) + 1
+    return j.withColumn(out, F.when(F.col(value) > 0, number).when(F.col(value) == 0, 0)).drop("p")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.sources.bounded import join_bounded
+
 
 def keep_variable(df: DataFrame, value: str, coords: Sequence[str]) -> DataFrame:
     """One variable and its coordinates; the rest goes before any shuffle."""
@@ -76,7 +78,7 @@ def attach_coords(df: DataFrame, horizontal: DataFrame, levels: DataFrame | None
     if strict and not df.join(horizontal, list(on), "left_anti").isEmpty():
         raise ValueError("cells without coordinates")
     out = df.join(horizontal, list(on))
-    return out if levels is None else out.join(F.broadcast(levels), level)  # levels: at most a few hundred rows by construction
+    return out if levels is None else join_bounded(out, levels, level)
 
 
 def zone_masks(df: DataFrame, zone: str, bed: str, shelf: float) -> DataFrame:

@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from gridspark.sources.staging import written
 
 
+def global_cumsum(df: DataFrame, order: Sequence[str], value: str, out: str = "upto") -> DataFrame:
+    """The sum of a column up to and with each row, in the order given: as
+    global_rank, with sums in place of counts. The order should be total."""
+    w = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    rows = written(rows.withColumn("__at", F.sum(value).over(w)), "cumsum")
+    part = rows.groupBy("__part").agg(F.sum(value).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    part = part.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))  # one row per partition
+    return rows.join(F.broadcast(part), "__part").withColumn(out, F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")
+
+
 def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
     """Rows numbered from 1 in the order given: a range sort, numbers within its
     partitions, and one count per partition added up. The order should be total."""

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.sources.bounded import join_bounded
+
 
 def _along(keys: Sequence[str], level: str):
     return Window.partitionBy(*keys).orderBy(level)
@@ -83,7 +85,7 @@ def interpolate(df: DataFrame, weights: DataFrame, keys: Sequence[str], level: s
     """Weighted sums on a new axis; null where a level it needs is null or not
     there. One equi-join with a small table and one aggregation."""
     need = weights.where("w <> 0").withColumn("__n", F.count("*").over(Window.partitionBy("dst")))
-    j = df.join(F.broadcast(need), F.col(level) == F.col("src"))
+    j = join_bounded(df, need, F.col(level) == F.col("src"))
     out = j.groupBy(*keys, "dst").agg(F.sum(F.col(value) * F.col("w")).alias(value), F.count(value).alias("__c"), F.max("__n").alias("__n"))
     return out.select(*keys, F.col("dst").alias(level), F.when(F.col("__c") == F.col("__n"), F.col(value)).alias(value))
 
@@ -91,7 +93,7 @@ def interpolate(df: DataFrame, weights: DataFrame, keys: Sequence[str], level: s
 def interpolate_valid(df: DataFrame, weights: DataFrame, keys: Sequence[str], level: str, value: str, threshold: float = 1e-3) -> DataFrame:
     """Interpolate the value with nulls as 0 and the validity, and divide where
     the validity exceeds the threshold."""
-    j = df.join(F.broadcast(weights), F.col(level) == F.col("src"))
+    j = join_bounded(df, weights, F.col(level) == F.col("src"))
     valid = F.when(F.col(value).isNotNull(), F.col("w")).otherwise(0.0)
     out = j.groupBy(*keys, "dst").agg(F.sum(F.coalesce(F.col(value), F.lit(0.0)) * F.col("w")).alias("__v"), F.sum(valid).alias("__f"))
     return out.select(*keys, F.col("dst").alias(level), F.when(F.col("__f") > threshold, F.col("__v") / F.col("__f")).alias(value))
@@ -101,10 +103,10 @@ def resample(df: DataFrame, weights: DataFrame, keys: Sequence[str], level: str,
     """Conservative resampling by interval overlap: nulls leave the numerator and
     the denominator; a level stays if more than `threshold` of its thickness
     (column dz of a table by level) is covered."""
-    j = df.join(F.broadcast(weights), F.col(level) == F.col("src"))
+    j = join_bounded(df, weights, F.col(level) == F.col("src"))
     some = F.when(F.col(value).isNotNull(), F.col("w"))
     out = j.groupBy(*keys, "dst").agg(F.sum(F.col(value) * F.col("w")).alias("__v"), F.sum(some).alias("__w"))
-    out = out.join(F.broadcast(thickness.select(F.col(level).alias("dst"), "dz")), "dst")
+    out = join_bounded(out, thickness.select(F.col(level).alias("dst"), "dz"), "dst")
     return out.select(*keys, F.col("dst").alias(level), F.when(F.col("__w") / F.col("dz") > threshold, F.col("__v") / F.col("__w")).alias(value))
 
 

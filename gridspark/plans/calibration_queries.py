@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.operators import align
+from gridspark.operators import align, masks
 from gridspark.operators import calibrate as C
+from gridspark.operators.distributions import percentiles
 from gridspark.plans.registry import query
 from gridspark.plans.views import ensemble, sql, table
 
@@ -41,7 +43,7 @@ def a26(spark, d):
 @query("a27_median_normaliser", sql("ensemble", ", q AS (SELECT p1, p2, sum(melt_rate) AS v FROM ensemble GROUP BY 1, 2), m AS (SELECT median(v) AS m FROM q) SELECT p1, p2, round(v / (m + 1e-6), 9) AS v FROM q, m"))
 def a27(spark, d):
     q = ensemble(spark, d).groupBy("p1", "p2").agg(F.sum("melt_rate").alias("v"))
-    m = q.agg(F.percentile("v", F.lit(0.5)).alias("m"))
+    m = percentiles(q, "v", [0.5]).select(F.get("p", F.lit(0)).alias("m"))
     return q.crossJoin(F.broadcast(m)).select("p1", "p2", F.round(F.col("v") / (F.col("m") + 1e-6), 9).alias("v"))  # one row
 
 
@@ -73,32 +75,68 @@ def r1(spark, d):
     return _drawn(spark, d).select("sample", "key", F.round("weight", 9).alias("weight"), F.round("drawn", 6).alias("drawn"))
 
 
-def _terms(spark, d, samples=40):
-    e = ensemble(spark, d).withColumn("key", F.col("zone").cast("string"))
-    drawn = _drawn(spark, d, samples)
-    means = e.groupBy("p1", "key").agg(F.avg("melt_rate").alias("x"), F.max("melt_rate").alias("y"))
-    return [C.term_errors(means, drawn, ["p1"], c) for c in ("x", "y")]
+#: Four terms: totals by zone, totals by bin, warm minus cold by model and zone,
+#: totals by region and year (zero is missing).
+PREDICTED = """, pr AS (SELECT 1 AS term, '1:' || zone AS key, CASE WHEN zone < 12 THEN 1.0::DOUBLE ELSE 0 END AS fixed, p1, p2, sum(melt_rate) AS x FROM ensemble GROUP BY zone, p1, p2
+UNION ALL SELECT 2, '2:' || zone % 10, 1.0::DOUBLE, p1, p2, sum(melt_rate) FROM ensemble GROUP BY zone % 10, p1, p2
+UNION ALL SELECT 3, '3:' || zone % 3 || ':' || zone, NULL, p1, p2, avg(CASE WHEN melt_rate > 1500 THEN melt_rate END) - avg(CASE WHEN melt_rate <= 1500 THEN melt_rate END) FROM ensemble GROUP BY zone, p1, p2
+UNION ALL SELECT 4, '4:' || zone % 2 || ':' || zone // 2, NULL, p1, p2, nullif(sum(CASE WHEN melt_rate > 1200 THEN melt_rate ELSE 0 END), 0) FROM ensemble GROUP BY zone, p1, p2)"""
+OBJ = PREDICTED + """, k AS (SELECT term, key, max(fixed) AS fixed, avg(x) AS mean FROM pr GROUP BY 1, 2 HAVING avg(x) IS NOT NULL),
+u AS (SELECT k.*, CAST(x AS INT) AS sample, (CAST(CAST('0x' || substr(md5('draw:a:' || x || ':' || key), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 AS ua,
+  (CAST(CAST('0x' || substr(md5('draw:b:' || x || ':' || key), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 AS ub,
+  (CAST(CAST('0x' || substr(md5('draw:w:' || x || ':' || key), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 AS uw FROM k, range(1, 41) t(x)),
+e AS (SELECT sample, pr.term, p1, p2, CASE WHEN pr.term >= 3 OR count(x) = count(*) THEN avg(abs((x - (mean + 50.0 * (sqrt(-2 * ln(ua)) * cos(ub * 6.283185307179586)))) * coalesce(u.fixed, uw))) END AS e
+  FROM pr JOIN u ON u.term = pr.term AND u.key = pr.key GROUP BY sample, pr.term, p1, p2),
+n AS (SELECT sample, p1, p2, (CAST(CAST('0x' || substr(md5('draw:t:' || sample || ':' || term), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 * e / (median(e) OVER (PARTITION BY sample, term) + 1e-6) AS e FROM e),
+o AS (SELECT sample, p1, p2, round(sum(e), 9) AS objective FROM n GROUP BY 1, 2, 3 HAVING count(e) = (SELECT count(DISTINCT term) FROM pr)),
+b AS (SELECT sample, p1, p2, objective FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY objective, p1, p2) AS k FROM o) WHERE k = 1)"""
+
 
+def _chosen(spark, d, samples=40):
+    e = ensemble(spark, d)
+    keys, rate = ["p1", "p2"], F.col("melt_rate")
 
-OBJ = DRAWS + """, m AS (SELECT p1, CAST(zone AS VARCHAR) AS key, avg(melt_rate) AS x, max(melt_rate) AS y FROM ensemble GROUP BY 1, 2),
-e AS (SELECT sample, p1, avg(abs((x - drawn) * weight)) AS ex, avg(abs((y - drawn) * weight)) AS ey FROM dr JOIN m USING (key) GROUP BY 1, 2),
-n AS (SELECT sample, p1, ex / (median(ex) OVER (PARTITION BY sample) + 1e-6) + ey / (median(ey) OVER (PARTITION BY sample) + 1e-6) AS o FROM e),
-b AS (SELECT sample, p1, o AS objective FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY o, p1) AS k FROM n) WHERE k = 1)"""
+    def term(number: int, key, x, fixed=None) -> DataFrame:
+        key = F.concat_ws(":", F.lit(str(number)), *key)
+        rows = e.groupBy(key.alias("key"), F.lit(None).cast("double").alias("fixed") if fixed is None else fixed.alias("fixed"), *keys).agg(x.alias("x"))
+        return rows.select(F.lit(number).alias("term"), "key", "fixed", *keys, "x")
 
+    zone = F.col("zone")
+    warm, cold = (F.avg(F.when(c, rate)) for c in (rate > 1500, rate <= 1500))
+    pr = term(1, [zone], F.sum("melt_rate"), F.when(zone < 12, 1.0).otherwise(0.0))
+    pr = pr.unionByName(term(2, [zone % 10], F.sum("melt_rate"), F.lit(1.0)))
+    pr = pr.unionByName(term(3, [zone % 3, zone], warm - cold))
+    pr = pr.unionByName(term(4, [zone % 2, F.floor(zone / 2)], masks.zero_is_missing(F.sum(F.when(rate > 1200, rate).otherwise(0.0)))))
+    k = pr.groupBy("term", "key").agg(F.max("fixed").alias("fixed"), F.avg("x").alias("mean"), F.lit(50.0).alias("sigma")).where("mean is not null")
+    drawn = C.draws(k, samples, "mean", "sigma").withColumn("weight", F.coalesce("fixed", "weight"))
+    return C.best_parameters(C.objective(pr, drawn, keys), keys)
 
-@query("r3_objective", sql("ensemble", OBJ + " SELECT sample, p1, round(objective, 6) AS objective FROM b"))
+
+@query("r3_objective", sql("ensemble", OBJ + " SELECT sample, p1, p2, round(objective, 6) AS objective FROM b"))
 def r3(spark, d):
-    return C.best_parameters(_terms(spark, d), ["p1"]).withColumn("objective", F.round("objective", 6))
+    return _chosen(spark, d).withColumn("objective", F.round("objective", 6))
 
 
-@query("a29_argmin_per_sample", sql("ensemble", OBJ + " SELECT p1, count(*) AS n FROM b GROUP BY 1"))
+@query("a29_argmin_per_sample", sql("ensemble", OBJ + " SELECT p1, p2, count(*) AS n FROM b GROUP BY 1, 2"))
 def a29(spark, d):
-    return C.best_parameters(_terms(spark, d), ["p1"]).groupBy("p1").agg(F.count("*").alias("n"))
+    return _chosen(spark, d).groupBy("p1", "p2").agg(F.count("*").alias("n"))
 
 
-@query("a30_parameter_summary", sql("ensemble", OBJ + ", c AS (SELECT p1, row_number() OVER (ORDER BY count(*) DESC, p1) AS k FROM b GROUP BY 1) SELECT quantile_cont(p1, 0.05) AS p5, quantile_cont(p1, 0.5) AS p50, quantile_cont(p1, 0.95) AS p95, (SELECT p1 FROM c WHERE k = 1) AS mode FROM b"))
+@query("a30_parameter_summary", sql("ensemble", OBJ + ", c AS (SELECT p1, row_number() OVER (ORDER BY count(*) DESC, p1) AS k FROM b GROUP BY 1) SELECT round(quantile_cont(p1, 0.05), 9) AS p5, round(quantile_cont(p1, 0.5), 9) AS p50, round(quantile_cont(p1, 0.95), 9) AS p95, (SELECT p1 FROM c WHERE k = 1) AS mode FROM b"))
 def a30(spark, d):
-    return C.summary(C.best_parameters(_terms(spark, d), ["p1"]), "p1")
+    s = C.summary(_chosen(spark, d), "p1")
+    return s.select(*[F.round(c, 9).alias(c) for c in ("p5", "p50", "p95")], "mode")
+
+
+@query("a30_edge_histogram", sql("ensemble", OBJ + ", a AS (SELECT DISTINCT p1 FROM ensemble), g AS (SELECT coalesce(lag(p1) OVER (ORDER BY p1) + 1e-7, p1 * 0.5::DOUBLE) AS low, p1 + 1e-7 AS high FROM a) SELECT round(low, 9) AS low, round(high, 9) AS high, count(p1) AS n FROM g LEFT JOIN b ON p1 >= low AND p1 < high GROUP BY 1, 2"))
+def a30_edges(spark, d):
+    out = C.edge_histogram(_chosen(spark, d), ensemble(spark, d).select("p1").distinct(), "p1")
+    return out.select(F.round("low", 9).alias("low"), F.round("high", 9).alias("high"), "n")
+
+
+@query("a30_slice_percentile", sql("ensemble", ", c AS (SELECT p1, p2, count(*) AS n FROM ensemble GROUP BY 1, 2), w AS (SELECT *, sum(n) OVER (PARTITION BY p1 ORDER BY p2) AS u, sum(n) OVER (PARTITION BY p1) AS t FROM c) SELECT p1, min(p2) AS p2 FROM w WHERE u >= t * 0.5::DOUBLE GROUP BY 1"))
+def a30_slice(spark, d):
+    return C.slice_percentile(ensemble(spark, d), "p1", "p2", 0.5)
 
 
 @query("a31_incomplete_members", sql("ensemble", ", p AS (SELECT p1, zone, sum(melt_rate) AS v FROM ensemble GROUP BY 1, 2), g AS (SELECT a.p1, b.zone, v FROM (SELECT DISTINCT p1 FROM p) a CROSS JOIN (SELECT DISTINCT zone FROM p) b LEFT JOIN p ON p.p1 = a.p1 AND p.zone = b.zone) SELECT p1, bool_or(v IS NULL) AS invalid FROM g GROUP BY 1"))
@@ -114,11 +152,25 @@ def r4(spark, d):
     return C.member_weights(ensemble(spark, d), "zone", "melt_rate").withColumn("weight", F.round("weight", 9))
 
 
-@query("r5_parameter_sweep", sql("ensemble", "SELECT zone, round(k * 0.25e-5, 9) AS k, round(sum((k * 0.25e-5) * (melt_rate / 1000 - 1) * abs(melt_rate / 1000 - 1)), 15) AS melt FROM ensemble, (SELECT 1 + x AS k FROM range(0, 120) t(x)) GROUP BY zone, k"))
+@query("r4_region_weights", sql("ensemble", "SELECT zone, max(CASE WHEN zone IN (9, 14) THEN 1.0::DOUBLE ELSE 0 END) AS weight FROM ensemble GROUP BY 1"))
+def r4_regions(spark, d):
+    return C.region_weights(ensemble(spark, d), ["zone"], F.col("zone").isin(9, 14))
+
+
+@query("r5_parameter_sweep", sql("ensemble", "SELECT zone, round(k * 0.25e-5, 9) AS k, round(sum((k * 0.25e-5) * (melt_rate / 1000 - 1) * abs(melt_rate / 1000 - 1)), 12) AS melt FROM ensemble, (SELECT 1 + x AS k FROM range(0, 120) t(x)) GROUP BY zone, k"))
 def r5(spark, d):
-    e = C.sweep(ensemble(spark, d), "k", 0.25e-5, 0.25e-5, 120)
-    melt = C.quadratic_melt(F.col("k"), F.col("melt_rate") / 1000 - 1)
-    return e.groupBy("zone", F.round("k", 9).alias("k")).agg(F.round(F.sum(melt), 15).alias("melt"))
+    """Melt is linear in k: the sums are taken once, then multiplied."""
+    one = ensemble(spark, d).groupBy("zone").agg(F.sum(C.quadratic_melt(F.lit(1.0), F.col("melt_rate") / 1000 - 1)).alias("melt"))
+    e = C.sweep(one, "k", 0.25e-5, 0.25e-5, 120)
+    return e.select("zone", F.round("k", 9).alias("k"), F.round(F.col("k") * F.col("melt"), 12).alias("melt"))
+
+
+@query("r5_offset_sweep", sql("ensemble", "SELECT zone, round(-2 + 0.04::DOUBLE * x, 9) AS \"offset\", round(sum(1e-4::DOUBLE * (melt_rate / 1000 - 1 + (-2 + 0.04::DOUBLE * x)) * abs(melt_rate / 1000 - 1 + (-2 + 0.04::DOUBLE * x))), 9) AS melt FROM ensemble, range(0, 101) t(x) GROUP BY zone, x"))
+def r5_offsets(spark, d):
+    """101 temperature offsets, summed within tasks before the shuffle."""
+    e = C.sweep(ensemble(spark, d), "offset", -2.0, 0.04, 101)
+    melt = C.quadratic_melt(F.lit(1e-4), F.col("melt_rate") / 1000 - 1 + F.col("offset"))
+    return e.groupBy("zone", F.round("offset", 9).alias("offset")).agg(F.round(F.sum(melt), 9).alias("melt"))
 
 
 @query("f5_quadratic_melt", sql("ensemble", "SELECT p1, p2, zone, melt_rate, 2.5e-5::DOUBLE * 1.5 * (melt_rate / 1000 - 1) * abs(melt_rate / 1000 - 1) AS melt FROM ensemble"))

@@ -43,6 +43,12 @@ def a18(spark, d):
     return D.histogram_2d(states(spark, d), "zone", "s", "t", "volume", 5)
 
 
+@query("a18_histogram_edges", sql("states", RANGE + " SELECT zone, CAST(k AS INT) AS k, round(s_lo + (s_hi - s_lo) * k / 5, 9) AS s_edge, round(t_lo + (t_hi - t_lo) * k / 5, 9) AS t_edge FROM r, range(0, 6) q(k)"))
+def a18_edges(spark, d):
+    out = D.histogram_edges(states(spark, d), "zone", "s", "t", 5)
+    return out.select("zone", "k", F.round("s_edge", 9).alias("s_edge"), F.round("t_edge", 9).alias("t_edge"))
+
+
 @query("a19_state_delta", sql("states", DELTA + " SELECT zone, s_bin, t_bin, round(delta, 6) AS delta FROM dl"))
 def a19(spark, d):
     return D.state_delta(states(spark, d), "zone", "s", "t", "volume", "delta", 5).withColumn("delta", F.round("delta", 6))

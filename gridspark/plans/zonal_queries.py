@@ -32,7 +32,7 @@ def a9(spark, d):
 @query("a10_region_year_sum", sql("series", "SELECT flag, yr, round(sum(v), 4) AS total FROM series WHERE (flag, yr) IN (('A', 1996), ('A', 1998), ('R', 1997)) GROUP BY 1, 2"))
 def a10(spark, d):
     seen = spark.createDataFrame([("A", 1996), ("A", 1998), ("R", 1997)], "flag string, yr int")
-    return series(spark, d).groupBy("flag", "yr").agg(F.round(F.sum("v"), 4).alias("total")).join(F.broadcast(seen), ["flag", "yr"])
+    return series(spark, d).groupBy("flag", "yr").agg(F.round(F.sum("v"), 4).alias("total")).join(seen, ["flag", "yr"])
 
 
 @query("a11_mean_and_rms", sql("cells", "SELECT zone, round(avg(v), 6) AS mean, round(sqrt(avg(v_holes * v_holes)), 6) AS error FROM cells GROUP BY 1"))
