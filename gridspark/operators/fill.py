@@ -33,10 +33,11 @@ def _kernel() -> list[tuple[int, int, float, list[tuple[int, int]]]]:
 KERNEL = _kernel()
 
 
-def fill_slab(values: list[np.ndarray], allowed: np.ndarray, zone: np.ndarray | None, rounds: int, least: float = 0.1) -> list[np.ndarray]:
+def fill_slab(values: list[np.ndarray], allowed: np.ndarray, zone: np.ndarray | None, rounds: int | np.ndarray, least: float = 0.1) -> list[np.ndarray]:
     """Fill missing allowed cells, round by round, with the weighted mean of the
     filled neighbours of the same zone; a cell needs a total weight over
-    `least`. Several values share the first one's validity."""
+    `least`. Several values share the first one's validity. rounds may differ by
+    cell."""
     values = [v.copy() for v in values]
     n, m = values[0].shape
     pad = 3
@@ -48,9 +49,9 @@ def fill_slab(values: list[np.ndarray], allowed: np.ndarray, zone: np.ndarray |
         return a[pad + y : pad + y + n, pad + x : pad + x + m]
 
     zones = framed(zone, -99) if zone is not None else None
-    for _ in range(rounds):
+    for done in range(int(np.max(rounds))):
         have = ~np.isnan(values[0])
-        want = allowed & ~have
+        want = allowed & ~have & (done < rounds)
         if not want.any():
             break
         h = framed(have, False)
@@ -73,12 +74,21 @@ def fill_slab(values: list[np.ndarray], allowed: np.ndarray, zone: np.ndarray |
     return values
 
 
-def fill_horizontal(df: DataFrame, keys: Sequence[str], values: Sequence[str], rounds: tuple[int, int, int] = (20, 120, 5), zone: str = "zone", inside: str = "inside", open_: str = "open", missing_above: float | None = None) -> DataFrame:
+#: Rounds of the first two passes in zones that need other than the default
+#: numbers, and of the last one by level.
+FIRST_ROUNDS = {2: 75, 7: 120, 14: 120}
+SECOND_ROUNDS = {4: 200, 5: 200, 6: 200, 7: 200, 8: 200, 14: 200, 10: 40, 11: 40, 13: 40, 15: 40}
+LAST_ROUNDS = {2: 200}
+
+
+def fill_horizontal(df: DataFrame, keys: Sequence[str], values: Sequence[str], rounds: tuple[int, int, int] = (20, 120, 5), zone: str = "zone", inside: str = "inside", open_: str = "open", missing_above: float | None = None, zone_rounds: tuple[dict[int, int], dict[int, int]] = ({}, {}), level: str | None = None, level_rounds: dict[int, int] | None = None) -> DataFrame:
     """Three passes over each slab (one per key: variable, time block, level):
     within zones where `inside` and `open_`, within zones where `inside`, then
     everywhere. Slabs are independent, so that tasks are as many as slabs.
     Columns j, i, zone, inside, open_ and the values; all come back filled.
-    missing_above: absolute values beyond it are missing too."""
+    missing_above: absolute values beyond it are missing too. zone_rounds: other
+    numbers of rounds of the first two passes by zone; level_rounds: of the last
+    one by the key `level`."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys, "j", "i", *values).schema)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -99,7 +109,12 @@ def fill_horizontal(df: DataFrame, keys: Sequence[str], values: Sequence[str], r
         z = grid(pdf[zone].fillna(-1), -1, int)
         there = grid(True, False, bool)
         ins, op = grid(pdf[inside].fillna(False).astype(bool), False, bool), grid(pdf[open_].fillna(False).astype(bool), False, bool)
-        for allowed, by, n in ((ins & op, z, rounds[0]), (ins, z, rounds[1]), (there, None, rounds[2])):
+        first, second = (np.full(shape, n) for n in rounds[:2])
+        for limit, other in zip((first, second), zone_rounds, strict=True):
+            for k, n in other.items():
+                limit[z == k] = n
+        last = (level_rounds or {}).get(int(pdf[level].iloc[0]), rounds[2]) if level else rounds[2]
+        for allowed, by, n in ((ins & op, z, first), (ins, z, second), (there, None, last)):
             vs = fill_slab(vs, allowed & there, by, n)
         out = pdf[[*keys, "j", "i"]].copy()
         for name, v in zip(values, vs, strict=True):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.components import connected_components
 from gridspark.operators.fill import fill_nearest
+from gridspark.operators.regrid import nearest_point, point_in_polygon
 from gridspark.sources.staging import written
 
 FOUR = ((0, 1), (1, 0), (0, -1), (-1, 0))
@@ -45,9 +46,10 @@ def neighbours(df: DataFrame, offsets: Sequence[tuple[int, int]], columns: Seque
 def components(df: DataFrame, label: str, eight: bool = False, i: str = "i", j: str = "j", width: int = 1 << 20) -> DataFrame:
     """df with component: of the cells of equal non-null label that touch, the
     smallest j * width + i. Runs of a row are one node each, so that links are
-    between runs of adjacent rows only."""
+    between runs of adjacent rows only. An i outside 0..width-1 is an error."""
     r = runs(df.where(F.col(label).isNotNull()), label, i, j)
-    node = F.col(j).cast("long") * width + F.col("i_first")
+    wide = F.raise_error(F.lit(f"{i} is not within 0..{width - 1}")).cast("long")
+    node = F.when((F.col("i_first") < 0) | (F.col("i_last") >= width), wide).otherwise(F.col(j).cast("long") * width + F.col("i_first"))
     r = written(r.withColumn("node", node), "runs")
     below = r.select((F.col(j) + 1).alias(j), label, F.col("i_first").alias("__a"), F.col("i_last").alias("__b"), F.col("node").alias("__n"))
     reach = 1 if eight else 0
@@ -149,6 +151,48 @@ def triple_points(df: DataFrame, label: str) -> DataFrame:
     return b.select("i", "j", F.get("l", F.lit(0)).alias("low"), F.get("l", F.lit(1)).alias("high"))
 
 
+def nearest_to_triples(triples: DataFrame, breaks: DataFrame) -> DataFrame:
+    """Of each triple point (i, j, low, high; its centre is half a cell on) the
+    nearest shelf-break cell break_i, break_j and its distance in cells (ties:
+    lowest j, then i)."""
+    t = triples.select("i", "j", "low", "high", F.struct("j", "i").alias("tp"), (F.col("j") + 0.5).alias("__y"), (F.col("i") + 0.5).alias("__x"))
+    b = breaks.select(F.col("j").cast("double").alias("__y"), F.col("i").cast("double").alias("__x"), F.struct(F.col("j").alias("bj"), F.col("i").alias("bi")).alias("cell"), F.col("j").alias("bj"), F.col("i").alias("bi"))
+    found = nearest_point(b, t, "tp", "__y", "__x", "cell", ["bj", "bi"], metric="line", distance="distance")
+    return t.join(found, "tp").select("i", "j", "low", "high", F.col("cell.bi").alias("break_i"), F.col("cell.bj").alias("break_j"), "distance")
+
+
+def best_per_pair(nearest: DataFrame) -> DataFrame:
+    """Of each pair of labels the triple point nearest to the break (ties: lowest
+    j, then i)."""
+    s = F.min(F.struct(F.round("distance", 9).alias("distance"), "j", "i", "break_j", "break_i")).alias("s")
+    return nearest.groupBy("low", "high").agg(s).select("low", "high", "s.i", "s.j", "s.break_i", "s.break_j", "s.distance")
+
+
+def label_cells(cells: DataFrame, polygons: Sequence, x: str, y: str, depth: str, deepest: float, reach: int, walls: DataFrame | None = None, band: float = 1.0) -> DataFrame:
+    """Labels of all cells (i, j, label) from polygons: cells inside them; shelf
+    cells (depth up to `deepest`) of components within reach of those take the
+    label of the nearest shelf-break cell, which takes that of the nearest
+    labelled one; what walls (i, j) enclose takes the label on its ring; all
+    others that of the nearest labelled cell; islands are moved at the end."""
+    basin = written(point_in_polygon(cells, x, y, ["i", "j"], polygons, band), "labels")
+    g = cells.select("i", "j", depth).join(basin, ["i", "j"])
+    shelf = select_shelf(g.withColumn("__shelf", F.col(depth) <= deepest), g.where("label is not null"), "__shelf", reach)
+    edge = shelf_break(shelf, g.where(F.col(depth) > deepest))
+    known = g.where("label is not null").select("i", "j", "label")
+    on_edge = extrude_labels(edge, known, "label") if not known.isEmpty() else known
+    on_edge = written(on_edge, "labels")
+    out = g.select("i", "j", "label")
+    if not on_edge.isEmpty():
+        shelf = extrude_labels(shelf, on_edge, "label").withColumnRenamed("label", "__l")
+        out = out.join(shelf, ["i", "j"], "left").select("i", "j", F.coalesce("label", "__l").alias("label"))
+    out = out.withColumn("label", F.coalesce("label", F.lit(-1)))
+    if walls is not None:
+        w = walls.select("i", "j", F.lit(True).alias("__wall")).distinct()
+        out = fill_bounded(out.join(w, ["i", "j"], "left").withColumn("__wall", F.coalesce("__wall", F.lit(False))), "label", "__wall")
+    out = extend_nearest(written(out, "labels"), "label")
+    return make_contiguous(written(out, "labels"), "label")
+
+
 def validate_labels(df: DataFrame, label: str, expected: Sequence[int]) -> DataFrame:
     """Labels expected that are absent or in more than one component."""
     stats = component_stats(df.select("i", "j", F.when(F.col(label) >= 0, F.col(label)).alias(label)), label)

@@ -6,9 +6,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridspark.sources.bounded import join_bounded
 from gridspark.sources.staging import written
 
 
@@ -45,9 +46,10 @@ def bilinear_weights(target: DataFrame, x: str, y: str, x0: float, y0: float, dx
     return inside.select(*dst, F.explode(F.array(*corners)).alias("c")).select(*dst, "c.i", "c.j", "c.w")
 
 
-def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon: str, label: str, order: Sequence[str], width: float = 4.0) -> DataFrame:
+def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon: str, label: str, order: Sequence[str], width: float = 4.0, metric: str = "sum", distance: str | None = None) -> DataFrame:
     """For each point the label of the cell that is nearest by abs(dlat) +
-    abs(dlon); ties by cell order. Points look into the tile they are in and the
+    abs(dlon) (metric "sum") or in a straight line ("line"), and that distance
+    if a name is given; ties by cell order. Points look into the tile they are in and the
     eight around, which is exact within one tile's width; those without a cell
     so near go on with tiles four times as wide, until none is left or a tile is
     wider than all there is."""
@@ -57,14 +59,16 @@ def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon
     ends = places.agg(*[f(x).alias(f"{n}{x}") for x in (lat, lon) for n, f in (("a", F.min), ("b", F.max))]).first()
     across = sum((ends[f"b{x}"] or 0.0) - (ends[f"a{x}"] or 0.0) for x in (lat, lon))
     around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    d = F.abs(F.col(lat) - F.col("__lat")) + F.abs(F.col(lon) - F.col("__lon"))
+    dlat, dlon = F.col(lat) - F.col("__lat"), F.col(lon) - F.col("__lon")
+    d = F.abs(dlat) + F.abs(dlon) if metric == "sum" else F.sqrt(dlat * dlat + dlon * dlon)
+    own = [F.col("s.d").alias(distance)] if distance else []
     found, left = None, p
     while True:
         ask = left.withColumn("__n", around)
         ask = ask.withColumns({f"__{n}": F.floor(F.col(x) / width) + F.col(f"__n.{n}") for n, x in (("a", "__lat"), ("b", "__lon"))})
         source = c.withColumns({f"__{n}": F.floor(F.col(x) / width) for n, x in (("a", lat), ("b", lon))})
         got = ask.join(source, ["__a", "__b"]).groupBy(point).agg(F.min(F.struct(d.alias("d"), *order, label)).alias("s"))
-        got = got.where(F.col("s.d") <= width).select(point, F.col(f"s.{label}").alias(label))
+        got = got.where(F.col("s.d") <= width).select(point, F.col(f"s.{label}").alias(label), *own)
         found = got if found is None else found.unionByName(got)
         if width >= across:
             return found
@@ -74,21 +78,37 @@ def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon
         width *= 4
 
 
-def point_in_polygon(points: DataFrame, x: str, y: str, key: Sequence[str], polygons: Sequence[tuple[int, Sequence[tuple[float, float]]]]) -> DataFrame:
-    """Label of the last polygon that holds each point, null if none: crossing
-    parity of the edges to the right. Polygons are few and literal; each is one
-    column expression, so that points need no join."""
-    out = F.lit(None).cast("int")
-    for label, ring in polygons:
-        crossings = F.lit(0)
-        for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
-            if ay == by:
-                continue
-            spans = (F.lit(ay) > F.col(y)) != (F.lit(by) > F.col(y))
-            at = F.lit(ax) + (F.col(y) - ay) * ((bx - ax) / (by - ay))
-            crossings = crossings + F.when(spans & (F.col(x) < at), 1).otherwise(0)
-        out = F.when(crossings % 2 == 1, label).otherwise(out)
-    return points.select(*key, out.alias("label"))
+def polygon_edges(rings: DataFrame, polygon: str, at: str, x: str, y: str) -> DataFrame:
+    """(polygon, ax, ay, bx, by): the edges of closed rings given as one row per
+    vertex, in the order of `at`; level edges, which no ray crosses, are left out."""
+    w = Window.partitionBy(polygon).orderBy(at)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    b = [F.coalesce(F.lead(c).over(w), F.first(c).over(whole)).alias(f"b{n}") for n, c in (("x", x), ("y", y))]
+    return rings.select(polygon, F.col(x).alias("ax"), F.col(y).alias("ay"), *b).where("ay <> by")
+
+
+def points_in_polygons(points: DataFrame, x: str, y: str, key: Sequence[str], edges: DataFrame, polygon: str, band: float) -> DataFrame:
+    """Label (polygon) of the last polygon in order that holds each point, null
+    if none: parity of the edges to the right. Points and edges, however many,
+    meet in bands of y that are `band` high; an edge is in all bands it spans."""
+    low, high = F.least("ay", "by"), F.greatest("ay", "by")
+    e = edges.withColumn("__band", F.explode(F.sequence(F.floor(low / band), F.floor(high / band))))
+    p = points.select(*key, F.col(x).alias("__x"), F.col(y).alias("__y")).withColumn("__band", F.floor(F.col("__y") / band))
+    spans = (F.col("ay") > F.col("__y")) != (F.col("by") > F.col("__y"))
+    at = F.col("ax") + (F.col("__y") - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
+    hit = join_bounded(p, e, "__band").where(spans & (F.col("__x") < at)).groupBy(*key, polygon).agg(F.count("*").alias("__n"))
+    inside = hit.where("__n % 2 = 1").groupBy(*key).agg(F.max(polygon).alias("label"))
+    return points.select(*key).join(inside, list(key), "left")
+
+
+def point_in_polygon(points: DataFrame, x: str, y: str, key: Sequence[str], polygons: Sequence[tuple[int, Sequence[tuple[float, float]]]], band: float = 1.0) -> DataFrame:
+    """points_in_polygons with rings given as (label, vertices), the last of the
+    list that holds a point winning."""
+    rows = [(n, label, k, float(a), float(b)) for n, (label, ring) in enumerate(polygons) for k, (a, b) in enumerate(ring)]
+    rings = points.sparkSession.createDataFrame(rows, "n int, label int, k int, x double, y double")
+    edges = polygon_edges(rings, "n", "k", "x", "y")
+    found = points_in_polygons(points, x, y, key, edges, "n", band).withColumnRenamed("label", "n")
+    return join_bounded(found, rings.select("n", "label").distinct(), "n", "left").select(*key, "label")
 
 
 def periodic_wrap(df: DataFrame, i: str, lon: str, n: int, radians: bool = False, threshold: float = 1e-10, two_d: bool = False) -> DataFrame:

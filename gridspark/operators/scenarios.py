@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.operators import fill, masks, vertical
+from gridspark.operators import align, fill, masks, regrid, vertical
 
 
 def uniform_offsets(df: DataFrame, value: str, offsets: Sequence[float] = (0.5, 1.0, 2.0, 4.0)) -> DataFrame:
@@ -73,8 +73,39 @@ def replace_region(field: DataFrame, observed: DataFrame, keys: Sequence[str], r
     return field.join(obs, [*keys, region], "left").withColumn(value, F.coalesce("__obs", value)).drop("__obs")
 
 
-def extrapolate(df: DataFrame, keys: Sequence[str], level: str, value: str, ice: str, threshold: float, rounds: tuple[int, int, int]) -> DataFrame:
-    """Gap fill end to end: ice mask, horizontal fill by slab, fill downward."""
+def extrapolate(df: DataFrame, keys: Sequence[str], level: str, value: str, ice: str, threshold: float, rounds: tuple[int, int, int], source: Sequence[tuple[float, float]], target: Sequence[tuple[float, float]], **how) -> DataFrame:
+    """Gap fill end to end: ice mask, horizontal fill by slab (with how), fill
+    downward, and conservative resampling from the intervals of the fine levels
+    (1, 2, ...) to those of the target levels."""
     masked = df.withColumn(value, masks.under_ice(F.col(value), F.col(ice), threshold))
-    flat = fill.fill_horizontal(masked, [*keys, level], [value], rounds)
-    return vertical.fill_down(flat, [*keys, "j", "i"], level, [value])
+    flat = fill.fill_horizontal(masked, [*keys, level], [value], rounds, level=level, **how)
+    down = vertical.fill_down(flat, [*keys, "j", "i"], level, [value])
+    spark = df.sparkSession
+    weights = vertical.weights_table(spark, vertical.overlap_weights(source, target))
+    thickness = spark.createDataFrame([(k, abs(b - a)) for k, (a, b) in enumerate(target, 1)], f"{level} int, dz double")
+    return vertical.resample(down, weights, [*keys, "j", "i"], level, value, thickness)
+
+
+def remap(df: DataFrame, time: str, level: str, value: str, source: Sequence[float], target: Sequence[float], weights: DataFrame, dst: Sequence[str], n_lon: int, grid: DataFrame) -> DataFrame:
+    """A model's field on the target grid: validity from the first time,
+    interpolation to the target levels of what is valid, divided by the validity,
+    the first longitude column once more at the seam, then the horizontal
+    weights, without renormalisation for the validity and with it for the data.
+    Times whose levels differ are an error. Coordinates of the grid are attached.
+
+    df has i, j, lon, the level (1, 2, ...), the time and the value; weights i, j,
+    w and the dst columns.
+    """
+    valid = vertical.first_time_valid(df, ["i", "j", level], time, [value])
+    masked = df.join(valid, ["i", "j", level]).withColumn(value, F.when(F.col("valid"), F.col(value)))
+    w = vertical.weights_table(df.sparkSession, vertical.interpolation_weights(source, target))
+    keys = [time, "i", "j", "lon"]
+    flat = vertical.interpolate_valid(masked, w, keys, level, value)
+    flat = flat.withColumn("valid", F.when(F.col(value).isNotNull(), 1.0).otherwise(0.0))
+    odd = align.consistent_levels(flat, time, level)
+    if not odd.isEmpty():
+        raise ValueError("times differ in their levels")
+    flat = regrid.periodic_wrap(flat, "i", "lon", n_lon)
+    data = regrid.apply_weights(flat, weights, ["i", "j"], dst, value, [time, level], renormalize=1e-3)
+    share = regrid.apply_weights(flat, weights, ["i", "j"], dst, "valid", [time, level])
+    return masks.attach_coords(data.join(share, [time, level, *dst]).withColumnsRenamed({dst[0]: "i", dst[1]: "j"}), grid)

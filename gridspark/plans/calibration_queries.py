@@ -75,12 +75,12 @@ def r1(spark, d):
     return _drawn(spark, d).select("sample", "key", F.round("weight", 9).alias("weight"), F.round("drawn", 6).alias("drawn"))
 
 
-#: Four terms: totals by zone, totals by bin, warm minus cold by model and zone,
+#: Four terms: totals by zone, totals by bin, warm minus cold by model,
 #: totals by region and year (zero is missing).
-PREDICTED = """, pr AS (SELECT 1 AS term, '1:' || zone AS key, CASE WHEN zone < 12 THEN 1.0::DOUBLE ELSE 0 END AS fixed, p1, p2, sum(melt_rate) AS x FROM ensemble GROUP BY zone, p1, p2
-UNION ALL SELECT 2, '2:' || zone % 10, 1.0::DOUBLE, p1, p2, sum(melt_rate) FROM ensemble GROUP BY zone % 10, p1, p2
-UNION ALL SELECT 3, '3:' || zone % 3 || ':' || zone, NULL, p1, p2, avg(CASE WHEN melt_rate > 1500 THEN melt_rate END) - avg(CASE WHEN melt_rate <= 1500 THEN melt_rate END) FROM ensemble GROUP BY zone, p1, p2
-UNION ALL SELECT 4, '4:' || zone % 2 || ':' || zone // 2, NULL, p1, p2, nullif(sum(CASE WHEN melt_rate > 1200 THEN melt_rate ELSE 0 END), 0) FROM ensemble GROUP BY zone, p1, p2)"""
+PREDICTED = """, en AS (SELECT CAST(p1 // 10 AS INT) AS p1, p2, zone, melt_rate FROM ensemble), pr AS (SELECT 1 AS term, '1:' || zone AS key, CASE WHEN zone < 12 THEN 1.0::DOUBLE ELSE 0 END AS fixed, p1, p2, sum(melt_rate) AS x FROM en GROUP BY zone, p1, p2
+UNION ALL SELECT 2, '2:' || zone % 10, 1.0::DOUBLE, p1, p2, sum(melt_rate) FROM en GROUP BY zone % 10, p1, p2
+UNION ALL SELECT 3, '3:' || zone % 3, NULL, p1, p2, avg(CASE WHEN melt_rate > 1400 THEN melt_rate END) - avg(CASE WHEN melt_rate <= 1400 THEN melt_rate END) FROM en GROUP BY zone % 3, p1, p2
+UNION ALL SELECT 4, '4:' || zone % 2 || ':' || zone // 2, NULL, p1, p2, nullif(sum(CASE WHEN melt_rate > 1200 THEN melt_rate ELSE 0 END), 0) FROM en GROUP BY zone, p1, p2)"""
 OBJ = PREDICTED + """, k AS (SELECT term, key, max(fixed) AS fixed, avg(x) AS mean FROM pr GROUP BY 1, 2 HAVING avg(x) IS NOT NULL),
 u AS (SELECT k.*, CAST(x AS INT) AS sample, (CAST(CAST('0x' || substr(md5('draw:a:' || x || ':' || key), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 AS ua,
   (CAST(CAST('0x' || substr(md5('draw:b:' || x || ':' || key), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 AS ub,
@@ -92,8 +92,12 @@ o AS (SELECT sample, p1, p2, round(sum(e), 9) AS objective FROM n GROUP BY 1, 2,
 b AS (SELECT sample, p1, p2, objective FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY objective, p1, p2) AS k FROM o) WHERE k = 1)"""
 
 
+def _members(spark, d) -> DataFrame:
+    return ensemble(spark, d).withColumn("p1", F.floor(F.col("p1") / 10).cast("int"))
+
+
 def _chosen(spark, d, samples=40):
-    e = ensemble(spark, d)
+    e = _members(spark, d)
     keys, rate = ["p1", "p2"], F.col("melt_rate")
 
     def term(number: int, key, x, fixed=None) -> DataFrame:
@@ -102,10 +106,10 @@ def _chosen(spark, d, samples=40):
         return rows.select(F.lit(number).alias("term"), "key", "fixed", *keys, "x")
 
     zone = F.col("zone")
-    warm, cold = (F.avg(F.when(c, rate)) for c in (rate > 1500, rate <= 1500))
+    warm, cold = (F.avg(F.when(c, rate)) for c in (rate > 1400, rate <= 1400))
     pr = term(1, [zone], F.sum("melt_rate"), F.when(zone < 12, 1.0).otherwise(0.0))
     pr = pr.unionByName(term(2, [zone % 10], F.sum("melt_rate"), F.lit(1.0)))
-    pr = pr.unionByName(term(3, [zone % 3, zone], warm - cold))
+    pr = pr.unionByName(term(3, [zone % 3], warm - cold))
     pr = pr.unionByName(term(4, [zone % 2, F.floor(zone / 2)], masks.zero_is_missing(F.sum(F.when(rate > 1200, rate).otherwise(0.0)))))
     k = pr.groupBy("term", "key").agg(F.max("fixed").alias("fixed"), F.avg("x").alias("mean"), F.lit(50.0).alias("sigma")).where("mean is not null")
     drawn = C.draws(k, samples, "mean", "sigma").withColumn("weight", F.coalesce("fixed", "weight"))
@@ -128,9 +132,9 @@ def a30(spark, d):
     return s.select(*[F.round(c, 9).alias(c) for c in ("p5", "p50", "p95")], "mode")
 
 
-@query("a30_edge_histogram", sql("ensemble", OBJ + ", a AS (SELECT DISTINCT p1 FROM ensemble), g AS (SELECT coalesce(lag(p1) OVER (ORDER BY p1) + 1e-7, p1 * 0.5::DOUBLE) AS low, p1 + 1e-7 AS high FROM a) SELECT round(low, 9) AS low, round(high, 9) AS high, count(p1) AS n FROM g LEFT JOIN b ON p1 >= low AND p1 < high GROUP BY 1, 2"))
+@query("a30_edge_histogram", sql("ensemble", OBJ + ", a AS (SELECT DISTINCT p1 FROM en), g AS (SELECT coalesce(lag(p1) OVER (ORDER BY p1) + 1e-7, p1 * 0.5::DOUBLE) AS low, p1 + 1e-7 AS high FROM a) SELECT round(low, 9) AS low, round(high, 9) AS high, count(p1) AS n FROM g LEFT JOIN b ON p1 >= low AND p1 < high GROUP BY 1, 2"))
 def a30_edges(spark, d):
-    out = C.edge_histogram(_chosen(spark, d), ensemble(spark, d).select("p1").distinct(), "p1")
+    out = C.edge_histogram(_chosen(spark, d), _members(spark, d).select("p1").distinct(), "p1")
     return out.select(F.round("low", 9).alias("low"), F.round("high", 9).alias("high"), "n")
 
 

@@ -96,33 +96,51 @@ def a23(spark, d):
     return p.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.median("v"), 6).alias("median"))
 
 
-@query("i10_fill_bins")
+#: Rounds of means over the filled bins among the eight neighbours.
+FILLED = DELTA + """,
+ff(n, zone, s_bin, t_bin, delta) AS (SELECT 0, * FROM (SELECT z.zone, CAST(a AS INT), CAST(b AS INT), dl.delta FROM (SELECT DISTINCT zone FROM dl) z CROSS JOIN range(0, 5) s(a) CROSS JOIN range(0, 5) t(b) LEFT JOIN dl ON dl.zone = z.zone AND dl.s_bin = a AND dl.t_bin = b)
+  UNION ALL SELECT x.n + 1, x.zone, x.s_bin, x.t_bin, coalesce(max(x.delta), avg(y.delta)) FROM ff x LEFT JOIN ff y ON x.delta IS NULL AND y.zone = x.zone AND abs(x.s_bin - y.s_bin) <= 1 AND abs(x.t_bin - y.t_bin) <= 1 WHERE x.n < 6 GROUP BY 1, 2, 3, 4)"""
+
+
+@query("i10_fill_bins", sql("states", FILLED + " SELECT zone, s_bin, t_bin, round(delta, 6) AS delta FROM ff WHERE n = 6"))
 def i10(spark, d):
     deltas = D.state_delta(states(spark, d), "zone", "s", "t", "volume", "delta", 5)
-    return fill.fill_bins(deltas, "zone", "s_bin", "t_bin", "delta", 5)
+    return fill.fill_bins(deltas, "zone", "s_bin", "t_bin", "delta", 5).withColumn("delta", F.round("delta", 6))
 
 
 @query("b2_state_space_correction")
 def b2(spark, d):
-    """Deltas of the reference states, filled, then applied to every cell."""
-    s = states(spark, d)
-    deltas = fill.fill_bins(D.state_delta(s, "zone", "s", "t", "volume", "delta", 5), "zone", "s_bin", "t_bin", "delta", 5)
-    return D.apply_delta(s.select("i", "j", "zone", "s", "t"), deltas, "zone", "s", "t", 5).select("i", "j", "changed")
+    """By zone and year: deltas of the reference states, filled, applied to every
+    cell on the bins of a model whose state space is off, corrected for that."""
+    s = states(spark, d).withColumn("zone", F.col("zone").cast("string"))
+    reference = s.select("i", "j", "zone", "s", "t", "volume")
+    model = reference.withColumns({"s": 0.8 * F.col("s") + 3, "t": 1.2 * F.col("t") - 1})
+    bounds = D.corrected_bounds(model, reference, "zone", "s", "t", "volume", [5.0 * k for k in range(9)])
+    years = F.explode(F.sequence(F.lit(2000), F.lit(2002)))
+    by_year = s.withColumn("year", years).withColumn("delta", F.col("delta") * (F.col("year") - 1999)).withColumn("key", F.concat_ws(":", "zone", "year"))
+    deltas = fill.fill_bins(D.state_delta(by_year, "key", "s", "t", "volume", "delta", 5), "key", "s_bin", "t_bin", "delta", 5)
+    bounds = bounds.withColumn("year", years).select(F.concat_ws(":", "zone", "year").alias("key"), "s_lo", "s_hi", "t_lo", "t_hi")
+    return D.apply_delta(by_year.select("i", "j", "year", "key", "s", "t"), deltas, "key", "s", "t", 5, bounds=bounds).select("i", "j", "year", "changed")
+
+
+ROUNDS = {"zone_rounds": (fill.FIRST_ROUNDS, fill.SECOND_ROUNDS), "level": "k", "level_rounds": fill.LAST_ROUNDS}
 
 
 def _slabs(spark, d):
     c = cells(spark, d)
-    return c.select(F.lit("ct").alias("variable"), (F.col("nation") % 2).alias("k"), "j", "i", "zone", F.col("v_holes").alias("value"), (F.col("v_holes") / 10).alias("spread"), (F.col("ice_frac") < 0.5).alias("inside"), (F.col("v") > 0).alias("open"))
+    time = F.floor(F.col("j") / 40).cast("int").alias("time")
+    return c.select(F.lit("ct").alias("variable"), time, (F.col("nation") % 2 + 1).cast("int").alias("k"), (F.col("j") % 40).alias("j"), "i", "zone", F.col("v_holes").alias("value"), (F.col("v_holes") / 10).alias("spread"), (F.col("ice_frac") < 0.5).alias("inside"), (F.col("v") > 0).alias("open"))
 
 
 @query("i1_horizontal_fill")
 def i1(spark, d):
-    return fill.fill_horizontal(_slabs(spark, d), ["variable", "k"], ["value"])
+    """Slabs by time and level, with the rounds that zones and levels call for."""
+    return fill.fill_horizontal(_slabs(spark, d), ["variable", "time", "k"], ["value"], **ROUNDS)
 
 
 @query("i2_horizontal_fill_with_spread")
 def i2(spark, d):
-    return fill.fill_horizontal(_slabs(spark, d), ["variable", "k"], ["value", "spread"], missing_above=9500.0)
+    return fill.fill_horizontal(_slabs(spark, d), ["variable", "time", "k"], ["value", "spread"], missing_above=9500.0, **ROUNDS)
 
 
 @query("i11_nearest_fill", sql("cells", ", h AS (SELECT i, j, v_holes AS x FROM cells WHERE v_holes IS NOT NULL), r AS (SELECT c.i, c.j, h.x, row_number() OVER (PARTITION BY c.i, c.j ORDER BY pow(c.i - h.i, 2) + pow(c.j - h.j, 2), h.j, h.i) AS n FROM cells c, h WHERE c.v_holes IS NULL AND c.ice_frac < 0.5 AND abs(c.i - h.i) < 12 AND abs(c.j - h.j) < 12) SELECT c.i, c.j, coalesce(c.v_holes, r.x) AS v FROM cells c LEFT JOIN r ON r.i = c.i AND r.j = c.j AND r.n = 1"))

@@ -71,7 +71,14 @@ def i5(spark, d):
     return L.extend_nearest(label_grid(spark, d), "label")
 
 
-@query("i6_shelf_selection")
+#: Components by recursion over four neighbours of the cells of a table `m`.
+PARTS = """, m AS ({cells}), g AS (SELECT i, j, j * 1048576 + i AS id FROM m),
+e AS (SELECT a.id AS a, b.id AS b FROM g a JOIN g b ON abs(a.i - b.i) + abs(a.j - b.j) = 1),
+r(id, root) AS (SELECT id, id FROM g UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id AND r.root < e.b),
+c AS (SELECT g.i, g.j, min(r.root) AS component FROM r JOIN g USING (id) GROUP BY 1, 2)"""
+
+
+@query("i6_shelf_selection", sql("cells", PARTS.format(cells="SELECT i, j FROM cells WHERE v > 2000") + " SELECT i, j FROM c WHERE component IN (SELECT component FROM c a JOIN cells s ON s.zone = 3 AND s.v > 9000 AND abs(a.i - s.i) <= 3 AND abs(a.j - s.j) <= 3)"))
 def i6(spark, d):
     c = cells(spark, d)
     return L.select_shelf(c.withColumn("shelf", F.col("v") > 2000), c.where("zone = 3 and v > 9000"), "shelf", reach=3)
@@ -89,7 +96,9 @@ def i8(spark, d):
     return L.extrude_labels(c, c.where("v > 8000").select("i", "j", F.col("zone").alias("label")), "label")
 
 
-@query("i9_fill_between_walls")
+@query("i9_fill_between_walls", sql("label_grid", PARTS.format(cells="SELECT i, j FROM label_grid WHERE label < 0 AND i % 7 <> 3") + """,
+q AS (SELECT component, n.label, row_number() OVER (PARTITION BY component ORDER BY count(*) DESC, n.label) AS k FROM c JOIN label_grid n ON n.label >= 0 AND abs(c.i - n.i) + abs(c.j - n.j) = 1 GROUP BY 1, 2)
+SELECT l.i, l.j, coalesce(q.label, l.label) AS label FROM label_grid l LEFT JOIN c USING (i, j) LEFT JOIN q ON q.component = c.component AND q.k = 1"""))
 def i9(spark, d):
     g = label_grid(spark, d)
     return L.fill_bounded(g.withColumn("wall", (F.col("i") % 7 == 3) & (F.col("label") < 0)), "label", "wall")
@@ -100,6 +109,23 @@ def i13(spark, d):
     return L.triple_points(label_grid(spark, d), "label")
 
 
+TRIPLES = ", b AS (SELECT a.i, a.j, count(*) AS n, count(DISTINCT CASE WHEN b.label >= 0 THEN b.label END) AS l, min(CASE WHEN b.label >= 0 THEN b.label END) AS low, max(CASE WHEN b.label >= 0 THEN b.label END) AS high, count(*) FILTER (b.label < 0) AS f FROM (SELECT i, j FROM label_grid UNION SELECT i - 1, j FROM label_grid UNION SELECT i, j - 1 FROM label_grid) a JOIN label_grid b ON b.i - a.i IN (0, 1) AND b.j - a.j IN (0, 1) GROUP BY 1, 2), t AS (SELECT i, j, low, high FROM b WHERE n = 4 AND l = 2 AND f >= 1), d AS (SELECT t.*, c.i AS break_i, c.j AS break_j, sqrt(pow(c.i - t.i - 0.5, 2) + pow(c.j - t.j - 0.5, 2)) AS distance FROM t, cells c WHERE c.v > 8000), x AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY i, j ORDER BY distance, break_j, break_i) AS k FROM d) WHERE k = 1)"
+
+
+def _triples(spark, d):
+    return L.nearest_to_triples(L.triple_points(label_grid(spark, d), "label"), cells(spark, d).where("v > 8000").select("i", "j"))
+
+
+@query("i13_nearest_break", sql("label_grid cells", TRIPLES + " SELECT i, j, low, high, break_i, break_j, round(distance, 9) AS distance FROM x"))
+def i13_nearest(spark, d):
+    return _triples(spark, d).withColumn("distance", F.round("distance", 9))
+
+
+@query("i13_best_per_pair", sql("label_grid cells", TRIPLES + " SELECT low, high, i, j, break_i, break_j, round(distance, 9) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY low, high ORDER BY round(distance, 9), j, i) AS q FROM x) WHERE q = 1"))
+def i13_best(spark, d):
+    return L.best_per_pair(_triples(spark, d))
+
+
 @query("i14_label_validation", sql("label_grid", COMP + ", n AS (SELECT label, count(DISTINCT component) AS n FROM c GROUP BY 1) SELECT CAST(x AS INT) AS label, coalesce(n, 0) AS n_components FROM range(0, 20) t(x) LEFT JOIN n ON label = x WHERE coalesce(n, 0) <> 1"))
 def i14(spark, d):
     return L.validate_labels(label_grid(spark, d), "label", list(range(20)))
@@ -120,6 +146,7 @@ def t7_peaks(spark, d):
 
 @query("b12_label_pipeline")
 def b12(spark, d):
-    """Labels extended to the unlabelled cells, then made contiguous."""
-    g = L.extend_nearest(label_grid(spark, d), "label")
-    return L.make_contiguous(g, "label")
+    """From polygons to a label map that covers the grid, one component a label."""
+    c = cells(spark, d).withColumns({"x": F.col("i").cast("double"), "y": F.col("j").cast("double")})
+    rings = [(k, [(10.2 * k, -0.5), (10.2 * k + 7.5, -0.5), (10.2 * k + 5.5, 9.3), (10.2 * k + 1.5, 7.3)]) for k in range(4)]
+    return L.label_cells(c, rings, "x", "y", "v", 6000.0, 3, c.where("i % 9 = 4").select("i", "j"))

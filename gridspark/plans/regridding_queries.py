@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from gridspark.operators import regrid as R
+from gridspark.operators import scenarios
 from gridspark.plans.registry import query
 from gridspark.plans.views import cells, sql, table
 
@@ -73,7 +76,22 @@ def _inside(ring) -> str:
 @query("j13_point_in_polygon", f"WITH p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings) SELECT vec_id, CASE WHEN {_inside(POLYGONS[1][1])} THEN 2 WHEN {_inside(POLYGONS[0][1])} THEN 1 END AS label FROM p")
 def j13(spark, d):
     p = table(spark, d, "embeddings").select("vec_id", F.element_at("embedding", 1).cast("double").alias("x"), F.element_at("embedding", 2).cast("double").alias("y"))
-    return R.point_in_polygon(p, "x", "y", ["vec_id"], POLYGONS)
+    return R.point_in_polygon(p, "x", "y", ["vec_id"], POLYGONS, band=0.05)
+
+
+#: Rings of 24 vertices about points, one polygon per nation: the later one wins.
+@query("j13_polygon_table", """WITH v AS (SELECT n_nationkey AS poly, CAST(k AS INT) AS k, round((n_nationkey % 5) / 5.0 - 0.4 + (0.1 + 0.01 * n_nationkey) * cos(2 * pi() * k / 24), 9) AS x, round((n_nationkey // 5) / 5.0 - 0.4 + (0.1 + 0.01 * n_nationkey) * sin(2 * pi() * k / 24), 9) AS y FROM nation, range(0, 24) t(k)),
+e AS (SELECT a.poly, a.x AS ax, a.y AS ay, b.x AS cx, b.y AS cy FROM v a JOIN v b ON b.poly = a.poly AND b.k = (a.k + 1) % 24),
+p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+c AS (SELECT vec_id, poly FROM p, e WHERE ay <> cy AND (ay > y) <> (cy > y) AND x < ax + (y - ay) * (cx - ax) / (cy - ay) GROUP BY 1, 2 HAVING count(*) % 2 = 1)
+SELECT p.vec_id, max(poly) AS label FROM p LEFT JOIN c USING (vec_id) GROUP BY 1""")
+def j13_table(spark, d):
+    n, turn = F.col("n_nationkey"), F.col("k") * (2 * math.pi / 24)
+    v = table(spark, d, "nation").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    far = 0.1 + 0.01 * n
+    v = v.select(n.alias("poly"), "k", F.round(n % 5 / 5.0 - 0.4 + far * F.cos(turn), 9).alias("x"), F.round(F.floor(n / 5) / 5.0 - 0.4 + far * F.sin(turn), 9).alias("y"))
+    p = table(spark, d, "embeddings").select("vec_id", F.element_at("embedding", 1).cast("double").alias("x"), F.element_at("embedding", 2).cast("double").alias("y"))
+    return R.points_in_polygons(p, "x", "y", ["vec_id"], R.polygon_edges(v, "poly", "k", "x", "y"), "poly", 0.05)
 
 
 @query("j17_periodic_wrap", sql("cells", "SELECT i, j, i * 9.0::DOUBLE AS lon, v FROM cells UNION ALL SELECT 40, j, 360, v FROM cells WHERE i = 0"))
@@ -88,18 +106,38 @@ def s11(spark, d):
     return cells(spark, d).select("i", "j", "v").join(g.select("i", "j", "x", "y"), ["i", "j"])
 
 
-@query("s12_lat_lon")
-def s12(spark, d):
-    g = R.with_lat_lon(R.grid_cells(spark, 160000.0))
-    return cells(spark, d).select("i", "j", "v").join(g.select("i", "j", "lat", "lon"), ["i", "j"])
+#: The closed form with WGS 84 and the standard parallel -71, corners left out.
+LAT_LON = """WITH q AS (SELECT 6378137.0::DOUBLE AS a, sqrt(2 / 298.257223563::DOUBLE - pow(1 / 298.257223563::DOUBLE, 2)) AS e, radians(71.0::DOUBLE) AS p),
+z AS (SELECT e, a * cos(p) / sqrt(1 - pow(e * sin(p), 2)) / (tan(pi() / 4 - p / 2) / pow((1 - e * sin(p)) / (1 + e * sin(p)), e / 2)) AS scale FROM q),
+g AS (SELECT CAST(c_custkey % 40 AS INT) AS i, CAST(c_custkey // 40 AS INT) AS j, c_acctbal AS v FROM customer),
+x AS (SELECT i, j, v, e, i * 160000.0::DOUBLE - 3040000 AS x, j * 160000.0::DOUBLE - 3040000 AS y, scale FROM g, z WHERE i < 39 AND j < 39),
+h AS (SELECT *, pi() / 2 - 2 * atan(sqrt(x * x + y * y) / scale) AS chi FROM x)
+SELECT i, j, v, round(-degrees(chi + (pow(e, 2) / 2 + 5 * pow(e, 4) / 24 + pow(e, 6) / 12 + 13 * pow(e, 8) / 360) * sin(2 * chi) + (7 * pow(e, 4) / 48 + 29 * pow(e, 6) / 240 + 811 * pow(e, 8) / 11520) * sin(4 * chi)
+  + (7 * pow(e, 6) / 120 + 81 * pow(e, 8) / 1120) * sin(6 * chi) + 4279 * pow(e, 8) / 161280 * sin(8 * chi)), 8) AS lat, round(CASE WHEN degrees(atan2(x, y)) >= 180 THEN degrees(atan2(x, y)) - 360 ELSE degrees(atan2(x, y)) END, 8) AS lon FROM h"""
 
 
-@query("b9_remap_pipeline", sql("cells", WEIGHTS + ", r AS (SELECT di, dj, sum(v_holes * w) AS x, sum(CASE WHEN v_holes IS NOT NULL THEN w ELSE 0 END) AS f, sum(w) AS t FROM cells JOIN w USING (i, j) GROUP BY 1, 2) SELECT di, dj, CASE WHEN f > 0.001 THEN round(x / f, 6) END AS v, round(f, 6) AS valid FROM r"))
+@query("s12_lat_lon", LAT_LON)
+def s12(spark, d):
+    g = R.with_lat_lon(R.grid_cells(spark, 160000.0))
+    g = g.select("i", "j", F.round("lat", 8).alias("lat"), F.round("lon", 8).alias("lon"))
+    return cells(spark, d).select("i", "j", "v").join(g, ["i", "j"])
+
+
+@query("b9_remap_pipeline", """WITH f AS (SELECT CAST(l_suppkey % 40 AS INT) AS i, CAST(l_suppkey // 40 AS INT) AS j, CAST(year(l_shipdate) AS INT) AS yr, CAST(l_linenumber AS INT) AS k, CASE WHEN max(l_discount) <= 0.09 THEN avg(l_quantity) END AS v FROM lineitem GROUP BY ALL),
+u AS (SELECT i, j, k, arg_min(v IS NOT NULL, yr) AS ok FROM f GROUP BY ALL),
+m AS (SELECT f.i, f.j, f.yr, f.k, CASE WHEN ok THEN v END AS v FROM f JOIN u USING (i, j, k)),
+w AS (SELECT * FROM (VALUES (1, 1, 0.5::DOUBLE), (1, 2, 0.5), (2, 3, 1.0), (3, 5, 0.5), (3, 6, 0.5)) t(dst, k, w)),
+z AS (SELECT i, j, yr, dst AS k, CASE WHEN sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END) > 1e-3 THEN sum(coalesce(v, 0) * w) / sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END) END AS v FROM m JOIN w USING (k) GROUP BY i, j, yr, dst),
+p AS (SELECT i, j, yr, k, v FROM z UNION ALL SELECT 40, j, yr, k, v FROM z WHERE i = 0 AND EXISTS (SELECT 1 FROM z WHERE i = 39)),
+h AS (SELECT *, (1 + (i + j) % 3) / 9.0::DOUBLE AS w FROM p)
+SELECT yr, k, CAST(i // 3 AS INT) AS i, CAST(j // 3 AS INT) AS j, (i // 3) * 24000.0::DOUBLE AS x, (j // 3) * 24000.0::DOUBLE AS y,
+  CASE WHEN sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END) > 1e-3 THEN round(sum(v * w) / sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END), 6) END AS v, round(sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END), 6) AS valid FROM h GROUP BY yr, k, i // 3, j // 3""")
 def b9(spark, d):
-    """Validity without renormalisation, data renormalised, from one scan."""
-    c = cells(spark, d)
-    w = _weights(c)
-    both = c.select("i", "j", F.col("v_holes").alias("v"), F.when(F.col("v_holes").isNotNull(), 1.0).otherwise(0.0).alias("valid"))
-    data = R.apply_weights(both, w, ["i", "j"], ["di", "dj"], "v", renormalize=1e-3)
-    valid = R.apply_weights(both, w, ["i", "j"], ["di", "dj"], "valid")
-    return data.join(valid, ["di", "dj"]).select("di", "dj", F.round("v", 6).alias("v"), F.round("valid", 6).alias("valid"))
+    t = table(spark, d, "lineitem")
+    f = t.groupBy((F.col("l_suppkey") % 40).cast("int").alias("i"), F.floor(F.col("l_suppkey") / 40).cast("int").alias("j"), F.year("l_shipdate").alias("yr"), F.col("l_linenumber").cast("int").alias("k"))
+    f = f.agg(F.when(F.max("l_discount") <= 0.09, F.avg("l_quantity")).alias("v")).withColumn("lon", F.col("i") * 9.0)
+    places = f.select("i", "j").distinct()
+    weights = _weights(places.unionByName(places.where("i = 0").withColumn("i", F.lit(40))))
+    grid = weights.select(F.col("di").alias("i"), F.col("dj").alias("j")).distinct().withColumns({"x": F.col("i") * 24000.0, "y": F.col("j") * 24000.0})
+    out = scenarios.remap(f, "yr", "k", "v", [10.0 * k for k in range(1, 8)], [15.0, 30.0, 55.0], weights, ["di", "dj"], 40, grid)
+    return out.select("yr", "k", "i", "j", "x", "y", F.round("v", 6).alias("v"), F.round("valid", 6).alias("valid"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridspark.operators import freezing, scenarios, vertical
+from gridspark.operators import fill, freezing, scenarios, vertical
 from gridspark.plans.registry import query
 from gridspark.plans.views import cells, profiles, sql, table
 from gridspark.sources import incremental
@@ -41,11 +41,26 @@ def b6(spark, d):
     return out.select("cell", "year", "scenario", "k", F.round("x.t", 6).alias("t"), F.round("x.s", 6).alias("s"))
 
 
-@query("b7_observed_profiles", sql("profiles", ", o AS (SELECT cell % 5 AS region, k, avg(v) AS obs FROM profiles WHERE cell % 5 < 2 GROUP BY 1, 2) SELECT p.cell, p.k, round(coalesce(obs, v), 6) AS v FROM profiles p LEFT JOIN o ON o.region = p.cell % 5 AND o.k = p.k"))
+@query("b7_observed_profiles", """WITH f AS (SELECT l_suppkey AS cell, l_suppkey % 5 AS region, CAST(year(l_shipdate) AS INT) AS yr, CAST(l_linenumber AS INT) AS k, avg(l_quantity) AS v FROM lineitem GROUP BY ALL),
+o AS (SELECT region, yr, k, avg(v) AS v FROM f WHERE region < 2 AND k % 2 = 1 GROUP BY ALL),
+r AS (SELECT DISTINCT region, yr FROM o),
+m AS (SELECT r.region, r.yr, CAST(x AS INT) AS k, CASE WHEN x % 2 = 1 THEN a.v ELSE (a.v + b.v) / 2 END AS v FROM r CROSS JOIN range(1, 8) t(x)
+  LEFT JOIN o a ON a.region = r.region AND a.yr = r.yr AND a.k = x - (x + 1) % 2 LEFT JOIN o b ON b.region = r.region AND b.yr = r.yr AND b.k = x + (x + 1) % 2),
+g AS (SELECT region, yr, k, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY region, yr ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(v IGNORE NULLS) OVER (PARTITION BY region, yr ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS v FROM m)
+SELECT f.cell, f.yr, f.k, round(coalesce(g.v, f.v), 6) AS v FROM f LEFT JOIN g USING (region, yr, k)""")
 def b7(spark, d):
-    p = profiles(spark, d).withColumn("region", F.col("cell") % 5)
-    obs = p.where("region < 2").groupBy("region", "k").agg(F.avg("v").alias("v"))
-    return scenarios.replace_region(p, obs, ["k"], "region", "v").select("cell", "k", F.round("v", 6).alias("v"))
+    """Profiles observed at every other level, by region and year, brought to all
+    levels, replace the field of their region in that year."""
+    t = table(spark, d, "lineitem")
+    f = t.groupBy(F.col("l_suppkey").alias("cell"), F.year("l_shipdate").alias("yr"), F.col("l_linenumber").cast("int").alias("k")).agg(F.avg("l_quantity").alias("v"))
+    f = f.withColumn("region", F.col("cell") % 5)
+    obs = f.where("region < 2 and k % 2 = 1").groupBy("region", "yr", "k").agg(F.avg("v").alias("v"))
+    levels = spark.range(1, 8, 2).select(F.col("id").cast("int").alias("k"))
+    obs = obs.select("region", "yr").distinct().crossJoin(F.broadcast(levels)).join(obs, ["region", "yr", "k"], "left")  # four levels by construction
+    weights = vertical.weights_table(spark, vertical.interpolation_weights([1, 3, 5, 7], range(1, 8), extrapolate=False))
+    obs = vertical.interpolate(obs.withColumn("k", ((F.col("k") + 1) / 2).cast("int")), weights, ["region", "yr"], "k", "v")
+    obs = vertical.fill_both(obs, ["region", "yr"], "k", "v")
+    return scenarios.replace_region(f, obs, ["k", "yr"], "region", "v").select("cell", "yr", "k", F.round("v", 6).alias("v"))
 
 
 @query("b8_thermal_forcing", sql("profiles", ", f AS (SELECT cell, k, v / 10 - 2 AS ct, 30.0::DOUBLE + k AS sa, -0.0572 * (30.0::DOUBLE + k) + 0.0788 + (-7.77e-8) * (1028.0 * 9.81 * (-z)) AS cf FROM profiles WHERE v IS NOT NULL) SELECT cell, k, sa, round(greatest(0, ct - cf), 6) AS tf, round(CASE WHEN ct < cf THEN cf ELSE ct END, 6) AS ct FROM f"))
@@ -67,8 +82,10 @@ def b10(spark, d):
 def b11(spark, d):
     c = cells(spark, d).select("i", "j", "zone", "ice_frac", "v_holes", (F.col("ice_frac") < 0.5).alias("inside"), (F.col("v") > 0).alias("open"))
     rows = c.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))).withColumn("value", F.when(F.col("k") < 3, F.col("v_holes") / F.col("k")))
-    out = scenarios.extrapolate(rows.withColumn("variable", F.lit("ct")), ["variable"], "k", "value", "ice_frac", 0.5, (20, 40, 5))
-    return out.select("i", "j", "k", "value")
+    rows = rows.withColumns({"time": F.floor(F.col("j") / 40).cast("int"), "j": F.col("j") % 40})
+    fine, coarse = [(0.0, 20.0), (20.0, 40.0), (40.0, 60.0)], [(0.0, 30.0), (30.0, 60.0)]
+    out = scenarios.extrapolate(rows, ["time"], "k", "value", "ice_frac", 0.5, (20, 120, 5), fine, coarse, zone_rounds=(fill.FIRST_ROUNDS, fill.SECOND_ROUNDS), level_rounds=fill.LAST_ROUNDS)
+    return out.select("time", "i", "j", "k", "value")
 
 
 @query("s6_incremental_append", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
