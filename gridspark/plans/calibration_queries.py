@@ -79,8 +79,8 @@ def r1(spark, d):
 #: totals by region and year (zero is missing).
 PREDICTED = """, en AS (SELECT CAST(p1 // 10 AS INT) AS p1, p2, zone, melt_rate FROM ensemble), pr AS (SELECT 1 AS term, '1:' || zone AS key, CASE WHEN zone < 12 THEN 1.0::DOUBLE ELSE 0 END AS fixed, p1, p2, sum(melt_rate) AS x FROM en GROUP BY zone, p1, p2
 UNION ALL SELECT 2, '2:' || zone % 10, 1.0::DOUBLE, p1, p2, sum(melt_rate) FROM en GROUP BY zone % 10, p1, p2
-UNION ALL SELECT 3, '3:' || zone % 3, NULL, p1, p2, avg(CASE WHEN melt_rate > 1400 THEN melt_rate END) - avg(CASE WHEN melt_rate <= 1400 THEN melt_rate END) FROM en GROUP BY zone % 3, p1, p2
-UNION ALL SELECT 4, '4:' || zone % 2 || ':' || zone // 2, NULL, p1, p2, nullif(sum(CASE WHEN melt_rate > 1200 THEN melt_rate ELSE 0 END), 0) FROM en GROUP BY zone, p1, p2)"""
+UNION ALL SELECT 3, '3:' || zone % 3, NULL, p1, p2, avg(CASE WHEN melt_rate > 950 THEN melt_rate END) - avg(CASE WHEN melt_rate <= 950 THEN melt_rate END) FROM en GROUP BY zone % 3, p1, p2
+UNION ALL SELECT 4, '4:' || zone % 2 || ':' || zone // 2, NULL, p1, p2, nullif(sum(CASE WHEN melt_rate > 930 THEN melt_rate ELSE 0 END), 0) FROM en GROUP BY zone, p1, p2)"""
 OBJ = PREDICTED + """, k AS (SELECT term, key, max(fixed) AS fixed, avg(x) AS mean FROM pr GROUP BY 1, 2 HAVING avg(x) IS NOT NULL),
 u AS (SELECT k.*, CAST(x AS INT) AS sample, (CAST(CAST('0x' || substr(md5('draw:a:' || x || ':' || key), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 AS ua,
   (CAST(CAST('0x' || substr(md5('draw:b:' || x || ':' || key), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496 AS ub,
@@ -106,11 +106,11 @@ def _chosen(spark, d, samples=40):
         return rows.select(F.lit(number).alias("term"), "key", "fixed", *keys, "x")
 
     zone = F.col("zone")
-    warm, cold = (F.avg(F.when(c, rate)) for c in (rate > 1400, rate <= 1400))
+    warm, cold = (F.avg(F.when(c, rate)) for c in (rate > 950, rate <= 950))
     pr = term(1, [zone], F.sum("melt_rate"), F.when(zone < 12, 1.0).otherwise(0.0))
     pr = pr.unionByName(term(2, [zone % 10], F.sum("melt_rate"), F.lit(1.0)))
     pr = pr.unionByName(term(3, [zone % 3], warm - cold))
-    pr = pr.unionByName(term(4, [zone % 2, F.floor(zone / 2)], masks.zero_is_missing(F.sum(F.when(rate > 1200, rate).otherwise(0.0)))))
+    pr = pr.unionByName(term(4, [zone % 2, F.floor(zone / 2)], masks.zero_is_missing(F.sum(F.when(rate > 930, rate).otherwise(0.0)))))
     k = pr.groupBy("term", "key").agg(F.max("fixed").alias("fixed"), F.avg("x").alias("mean"), F.lit(50.0).alias("sigma")).where("mean is not null")
     drawn = C.draws(k, samples, "mean", "sigma").withColumn("weight", F.coalesce("fixed", "weight"))
     return C.best_parameters(C.objective(pr, drawn, keys), keys)
