@@ -19,7 +19,7 @@ import hashlib
 import json
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +36,7 @@ _SPLIT = regex.compile(f"[{_SPACES}]+")
 #: str.split() also cuts at these four, which are no white space there.
 _ODD = regex.compile("[\x1c-\x1f]")
 #: Entries kept of words met and of table entries, each then emptied.
-CACHE = 180_000
+CACHE = 100_000
 
 
 @lru_cache(maxsize=1)
@@ -175,18 +175,21 @@ class Automaton:
 
 
 class _Words(dict):
-    """Chunks met: ids as little-endian bytes, and labels. When CACHE chunks are
-    held, those not met since the last time go."""
+    """Chunks met: ids as little-endian bytes. When CACHE chunks are held, those
+    not met since the last time go."""
 
     def __init__(self, make):
         super().__init__()
         self.make, self.old = make, {}
 
-    def __missing__(self, chunk: str) -> tuple[bytes, str]:
+    def __missing__(self, chunk: str) -> bytes:
         if len(self) > CACHE:
             self.old = dict(self)
             self.clear()
-        got = self[chunk] = self.old.pop(chunk, None) or self.make(chunk)
+        got = self.old.pop(chunk, None)
+        if got is None:
+            got = self.make(chunk)
+        self[chunk] = got
         return got
 
 
@@ -205,24 +208,23 @@ class Tokenizer:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"])
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.labels = self.automaton.label | {i: t for t, i in self.special.items()}
+        labels = self.automaton.label | {i: t for t, i in self.special.items()}
+        self.labels = [labels.get(i, "") for i in range(max(labels) + 1)]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         symbols = byte_symbols()
         self.symbols = {chr(b): s for b, s in symbols.items()}
         self.map = str.maketrans(self.symbols)
         self.words, self.pieces = _Words(self._chunk), _Words(self._piece)
 
-    def _piece(self, piece: str) -> tuple[bytes, str]:
+    def _piece(self, piece: str) -> bytes:
         word = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.map)
-        ids = self.automaton.encode(word)
-        return array("I", ids).tobytes(), self.decode(ids)
+        return array("I", self.automaton.encode(word)).tobytes()
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+    def _chunk(self, chunk: str) -> bytes:
         if chunk.isalpha():
             return self.pieces[chunk]
         pieces = [chunk[:-1], chunk[-1]] if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?" else _pieces().findall(chunk)
-        got = [self.pieces[x] for x in pieces]
-        return b"".join([a for a, _ in got]), " ".join([b for _, b in got])
+        return b"".join([self.pieces[x] for x in pieces])
 
     def chunks(self, text: str) -> list[str]:
         if not text.isascii():
@@ -230,24 +232,26 @@ class Tokenizer:
         low = text.lower()
         return [x for x in _SPLIT.split(low) if x] if _ODD.search(low) else low.split()
 
-    def parts(self, text: str) -> list[tuple[bytes, str]]:
-        """(ids as little-endian bytes, labels) of each chunk between spaces."""
+    def encoded(self, text: str) -> array:
+        """The ids of a text, as an array of unsigned 32-bit integers."""
+        out = array("I")
         if not self.cut or "<" not in text:
-            return list(map(self.words.__getitem__, self.chunks(text)))
-        out: list[tuple[bytes, str]] = []
+            out.frombytes(b"".join(map(self.words.__getitem__, self.chunks(text))))
+            return out
         for span in self.cut.split(text):
             if span in self.special:
-                out.append((array("I", [self.special[span]]).tobytes(), span))
+                out.append(self.special[span])
             else:
-                out += map(self.words.__getitem__, self.chunks(span))
+                out.frombytes(b"".join(map(self.words.__getitem__, self.chunks(span))))
         return out
 
     def encode(self, text: str) -> list[int]:
-        return array("I", b"".join([a for a, _ in self.parts(text)])).tolist()
+        return self.encoded(text).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """The arcs' labels, joined by spaces as where a file has no decoder."""
-        return " ".join([self.labels[i] for i in ids])
+        labels = self.labels
+        return " ".join([labels[i] for i in ids])
 
 
 @lru_cache(maxsize=2)
@@ -268,11 +272,11 @@ def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
         for b in batches:
             n, ids, back, raws = [], [], [], []
             for x in b.column(1).to_pylist():
-                got = t.parts(x or "")
-                raw = b"".join([a for a, _ in got])
-                n.append(len(raw) // 4)
+                own = t.encoded(x or "")
+                raw = own.tobytes()
+                n.append(len(own))
                 ids.append(hashlib.sha256(raw).hexdigest())
-                back.append(hashlib.sha256(" ".join([s for _, s in got if s]).encode()).hexdigest())
+                back.append(hashlib.sha256(t.decode(own).encode()).hexdigest())
                 raws.append(raw if with_ids else b"")
             out = [b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
             if with_ids:
