@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 from gridspark.sources.staging import written
 
 
-def global_cumsum(df: DataFrame, order: Sequence[str], value: str, out: str = "upto") -> DataFrame:
+def global_cumsum(df: DataFrame, order: Sequence[str], value: str | Sequence[str], out: str | Sequence[str] = "upto") -> DataFrame:
     """The sum of a column up to and with each row, in the order given: as
-    global_rank, with sums in place of counts. The order should be total."""
+    global_rank, with sums in place of counts. Several columns may be summed at
+    once. The order should be total."""
+    values, outs = ([x] if isinstance(x, str) else list(x) for x in (value, out))
     w = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    rows = written(rows.withColumn("__at", F.sum(value).over(w)), "cumsum")
-    part = rows.groupBy("__part").agg(F.sum(value).alias("__n"))
-    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    part = part.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))  # one row per partition
-    return rows.join(F.broadcast(part), "__part").withColumn(out, F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")
+    rows = written(rows.select("*", *[F.sum(v).over(w).alias(f"__upto{k}") for k, v in enumerate(values)]), "cumsum")
+    part = rows.groupBy("__part").agg(*[F.sum(v).alias(f"__n{k}") for k, v in enumerate(values)])
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(f"__n{k}").over(earlier), F.lit(0)).alias(f"__before{k}") for k in range(len(values))]
+    part = part.select("__part", *before)  # one row per partition
+    sums = [(F.col(f"__before{k}") + F.col(f"__upto{k}")).alias(o) for k, o in enumerate(outs)]
+    return rows.join(F.broadcast(part), "__part").select(*[F.col(c) for c in df.columns], *sums)
 
 
 def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
