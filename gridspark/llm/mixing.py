@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import WORD, join_bounded, written
+from gridspark.operators.ordering import global_cumsum, global_rank
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -33,19 +34,19 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     none is above. With sources ordered by cap / weight this has a closed form:
     the level of the uncapped ones is the largest of (total - caps before) /
     (weights from here on). Sums are whole numbers, so reruns agree exactly.
-    One row per source is all that is ordered here.
+    Ranks and running sums come from range sorts, however many sources there
+    are; two totals and the level are all that the driver sees.
     """
-    s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
-    s = s.withColumn("w", F.element_at(F.array(*[F.lit(int(x)) for x in weights]), turn + 1).cast("long"))
-    s = s.withColumn("cap", F.col("source_size") * most)
-    order = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("w").over(after)
-    s = s.withColumn("level", level)
-    target = F.least(F.col("cap").cast("double"), F.col("w") * F.max("level").over(whole))
+    s = written(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
+    s = global_rank(s.withColumn("__null", F.col("source").isNull()), ["__null", "source"], "__k")
+    turn = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), ((F.col("__k") - 1) % len(weights)).cast("int") + 1)
+    s = s.withColumn("w", turn.cast("long")).withColumn("cap", F.col("source_size") * most)
+    s = s.withColumn("__ratio", F.col("cap") / F.col("w")).select("source", "source_size", "w", "cap", "__ratio", "__k")
+    s = global_cumsum(s, ["__ratio", "__k"], ["cap", "w"], ["__caps", "__ws"])
+    total, weight = s.agg(F.sum("source_size"), F.sum("w")).first()
+    level = (F.lit(total) - F.col("__caps") + F.col("cap")) / (F.lit(weight) - F.col("__ws") + F.col("w"))
+    top = s.agg(F.max(level)).first()[0]
+    target = F.least(F.col("cap").cast("double"), F.col("w") * F.lit(top).cast("double"))
     return s.select("source", "source_size", target.alias("target"))
 
 
@@ -61,24 +62,59 @@ def copies(doc_id: Column, source_size: Column, target: Column, seed: str = SEED
     return (F.floor(rate) + F.when(uniform(doc_id, seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int")
 
 
+def _sized(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
+    return written(rows, "mix-sizes")
+
+
+def _goal(sizes: DataFrame, **how) -> DataFrame:
+    return written(targets(sizes, **how), "mix-targets").toDF("__source", "__size", "__target")
+
+
+def _planned(rows: DataFrame, goal: DataFrame) -> DataFrame:
+    out = join_bounded(rows, goal, rows["source"].eqNullSafe(goal["__source"]))
+    times = copies(F.col("doc_id"), F.col("__size"), F.col("__target"))
+    return out.select("doc_id", "source", "size", F.col("__size").alias("source_size"), F.col("__target").alias("target"), times.alias("copies"))
+
+
+def _emitted(docs: DataFrame, goal: DataFrame, doc_id: str, source: str) -> DataFrame:
+    out = join_bounded(docs, goal, docs[source].eqNullSafe(goal["__source"]))
+    times = copies(docs[doc_id], F.col("__size"), F.col("__target"))
+    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])
+
+
 def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """(doc_id, size, source_size, target, copies) for every row of docs.
 
-    The texts are read once; sizes are written and joined to the few rows of
-    targets. Rows that repeat a doc_id are decided alike; a null doc_id, source
-    or text is allowed (source null is a source of its own, the last one).
+    The texts are read once; sizes are written and joined to the targets, one
+    row per source. Rows that repeat a doc_id are decided alike; a null doc_id,
+    source or text is allowed (source null is a source of its own, the last one).
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
-    rows = written(rows, "mix-sizes")
-    goal = targets(rows, **how).withColumnRenamed("source", "__source")
-    out = join_bounded(rows, goal, rows["source"].eqNullSafe(goal["__source"]))
-    return out.select("doc_id", "size", "source_size", "target", copies(F.col("doc_id"), F.col("source_size"), F.col("target")).alias("copies"))
+    rows = _sized(docs, doc_id, text, source)
+    return _planned(rows, _goal(rows, **how)).drop("source")
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """docs with every row repeated as often as it is taken (columns kept)."""
     sizes = docs.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
-    goal = written(targets(sizes, **how), "mix-targets").toDF("__source", "__size", "__target")
-    out = join_bounded(docs, goal, docs[source].eqNullSafe(goal["__source"]))
-    times = copies(docs[doc_id], F.col("__size"), F.col("__target"))
-    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])
+    return _emitted(docs, _goal(sizes, **how), doc_id, source)
+
+
+def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) for every row of docs, taken
+    being the words that mix() emits of it, counted in the texts emitted.
+
+    Rows alike in id, source and size are emitted alike and share their words
+    evenly.
+    """
+    sizes = _sized(docs, doc_id, text, source)
+    goal = _goal(sizes, **how)
+    none, one = (F.lit(k).cast("long") for k in (0, 1))
+    out = _emitted(docs, goal, doc_id, source).select(F.col(doc_id).alias("__id"), F.col(source).alias("__of"), n_words(F.col(text)).alias("__n"))
+    own = sizes.toDF("__id", "__of", "__n").select("*", none.alias("__words"), one.alias("__rows"))
+    sums = own.unionByName(out.select("*", F.col("__n").alias("__words"), none.alias("__rows")))
+    sums = sums.groupBy("__id", "__of", "__n").agg(F.sum("__words").alias("__words"), F.sum("__rows").alias("__rows"))
+    sums = written(sums, "mix-taken")  # a join of two plain shuffles, so that Spark can split a hot id
+    rows = _planned(sizes, goal)
+    same = rows["doc_id"].eqNullSafe(sums["__id"]) & rows["source"].eqNullSafe(sums["__of"]) & (rows["size"] == sums["__n"])
+    return rows.join(sums, same).select("doc_id", "size", "source_size", "target", F.expr("__words div __rows").alias("taken"))

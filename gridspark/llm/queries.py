@@ -38,8 +38,7 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.plan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return mixing.mixed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
