@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from gridspark.llm import bpe, capfilters, chat, linededup, mixing, omh, quality, secrets, simhash, warc
+from gridspark.llm import bpe, capfilters, chat, divergence, linededup, mixing, omh, quality, secrets, simhash, tokencounts, warc
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,14 @@ def op10_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_quality_resample": op2_quality_resample,
@@ -87,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_bpe_encode": op10_bpe_encode,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE: dict[str, str] = {
@@ -141,4 +151,27 @@ m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to FROM m""",
+    "op11_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+w AS (SELECT k, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT k) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (
+  SELECT d.lang, d.source, coalesce((SELECT sum(n) FROM c WHERE c.lang = d.lang AND c.source = d.source), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) d),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * v.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 5)) // (v.total + 5 * v.v) AS q
+  FROM g JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 50""",
 }
