@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from gridspark.llm import bpe, capfilters, chat, divergence, linededup, mixing, omh, quality, secrets, simhash, tokencounts, warc
+from gridspark.llm import alignment, bpe, capfilters, chat, divergence, linededup, mixing, omh, quality, secrets, simhash, tokencounts, warc
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_quality_resample": op2_quality_resample,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_encode": op10_bpe_encode,
     "op11_source_divergence": op11_source_divergence,
     "op12_token_counts": op12_token_counts,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
