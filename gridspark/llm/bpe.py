@@ -35,8 +35,9 @@ _SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3
 _SPLIT = regex.compile(f"[{_SPACES}]+")
 #: str.split() also cuts at these four, which are no white space there.
 _ODD = regex.compile("[\x1c-\x1f]")
-#: Entries kept of words met and of table entries, each then emptied.
-CACHE = 100_000
+#: Entries kept of words met and of table entries, each then emptied; words of
+#: more characters are not kept, so that entries have a size.
+CACHE, LONGEST = 100_000, 64
 
 
 @lru_cache(maxsize=1)
@@ -175,14 +176,16 @@ class Automaton:
 
 
 class _Words(dict):
-    """Chunks met: ids as little-endian bytes. When CACHE chunks are held, those
-    not met since the last time go."""
+    """Chunks met: ids as little-endian bytes, for chunks up to LONGEST characters.
+    When CACHE chunks are held, those not met since the last time go."""
 
     def __init__(self, make):
         super().__init__()
         self.make, self.old = make, {}
 
     def __missing__(self, chunk: str) -> bytes:
+        if len(chunk) > LONGEST:
+            return self.make(chunk)
         if len(self) > CACHE:
             self.old = dict(self)
             self.clear()

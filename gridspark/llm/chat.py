@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 #: Control strings as a regular expression (Python's, Java's and RE2's alike).
 CONTROL = r"<s>|</s>|\[INST\]|\[/INST\]|\[OUT\]|\[/TURN\]|\[TURN:[^\]\[]*\]"
-_ACTIVE = re.compile(rf"(\\*)({CONTROL})")
+#: A control string and all backslashes before it; a run of them is read once.
+_ACTIVE = re.compile(rf"(?<!\\)(\\*+)({CONTROL})")
 
 
 def escape(text: str) -> str:

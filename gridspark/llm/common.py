@@ -9,12 +9,23 @@ from gridspark.operators.components import connected_components
 from gridspark.sources.bounded import join_bounded
 from gridspark.sources.staging import new_path, written
 
-__all__ = ["SPACE", "WORD", "connected_components", "in_small_batches", "join_bounded", "new_path", "written"]
+__all__ = ["SPACE", "WORD", "connected_components", "free", "in_small_batches", "join_bounded", "new_path", "written"]
 
 #: ASCII white space, the only separator of words: 0x20 and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until df has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 #: Bytes that an Arrow batch of texts holds at most (one row may hold more).
 BATCH_BYTES = 16 << 20
 

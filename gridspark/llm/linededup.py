@@ -2,20 +2,19 @@
 
 Documents are paired through hashes of short runs of lines, the shortest with
 LEAST_CHARS characters from each line on and up to each line: every holder of a
-run with the run's first holder. Each pair is aligned by patience diff, and the
-aligned common blocks are deleted from the later document; so are the common
-blocks that such an alignment leaves, as the later document repeats a passage or
-has two in another order.
-
-That gives what pairing all holders of every line would, with pairs that grow
-with the lines: a block consists of such runs, whoever else has it, and of each
-the first holder has it too. A run's first holder has nobody before it, so one
-copy of every block stays.
+run with the run's first holder. A pair's shared runs, at their places in both,
+are aligned by patience diff, and what it matches is deleted from the later
+document. Runs that it leaves, as the later document has passages in another
+order, are aligned again, until all are matched.
+
+Only places of shared runs meet, never whole documents. That gives what pairing
+all holders of every line would, with pairs that grow with the lines: a block
+consists of such runs, whoever else has it, and of each the first holder has it
+too. A run's first holder has nobody before it, so one copy of every block stays.
 """
 
 from __future__ import annotations
 
-import sys
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -27,10 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm import textops
-from gridspark.llm.common import in_small_batches, written
+from gridspark.llm.common import free, in_small_batches, written
 
-#: Up to so many holders of a line count as compared all with all: no limit.
-RARE = sys.maxsize
 #: An aligned block of fewer characters stays.
 LEAST_CHARS = 20
 
@@ -50,14 +47,6 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-class Alignment(list):
-    """Matched positions (in a, in b), and the two sides they are of."""
-
-    def __init__(self, matched: list[tuple[int, int]], a: Sequence[int], b: Sequence[int]):
-        super().__init__(matched)
-        self.a, self.b = a, b
-
-
 def _numbered(x: Sequence[int], start: int, stop: int) -> dict[tuple[int, int], int]:
     """Positions by line and by which of its occurrences in the range it is."""
     seen: Counter = Counter()
@@ -68,7 +57,7 @@ def _numbered(x: Sequence[int], start: int, stop: int) -> dict[tuple[int, int],
     return out
 
 
-def patience(a: Sequence[int], b: Sequence[int]) -> Alignment:
+def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     """Matched positions (in a, in b), increasing in both: equal lines at the
     ends of a range match; within, lines that occur once in either are anchors,
     the longest increasing run of which parts the range, and so on. Where no
@@ -97,57 +86,54 @@ def patience(a: Sequence[int], b: Sequence[int]) -> Alignment:
         for (y, x), (v, u) in zip([(j - 1, i - 1), *anchors], [*anchors, (n, m)], strict=True):
             if x + 1 < u and y + 1 < v:
                 todo.append((x + 1, u, y + 1, v))
-    return Alignment(sorted(out), a, b)
+    return sorted(out)
 
 
-def windows(size: np.ndarray, low: np.ndarray | int, high: np.ndarray | int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the shortest runs of lines with `least` characters,
-    from each line on and up to each line, that lie in its document (from low to
-    high). Any run of so many characters is covered by those within it."""
-    c, k = np.r_[0, np.cumsum(size)], np.arange(len(size))
-    end = np.maximum(np.searchsorted(c, c[:-1] + least), k + 1)
-    start = np.minimum(np.searchsorted(c, c[1:] - least, "right") - 1, k)
+def windows(size: np.ndarray, full: np.ndarray, low: np.ndarray | int, high: np.ndarray | int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the shortest runs of lines with `least` characters and
+    a full line, from each line on and up to each line, that lie in its document
+    (from low to high). Any such run is covered by those within it."""
+    c, f, k = np.r_[0, np.cumsum(size)], np.r_[0, np.cumsum(full)], np.arange(len(size))
+    end = np.maximum(np.searchsorted(c, c[:-1] + least), np.searchsorted(f, f[:-1] + 1))
+    start = np.minimum(np.searchsorted(c, c[1:] - least, "right"), np.searchsorted(f, f[1:] - 1, "right")) - 1
+    end, start = np.maximum(end, k + 1), np.minimum(start, k)
     on, up = end <= high, start >= low
     return np.r_[k[on], start[up]], np.r_[end[on], k[up] + 1]
 
 
-def _shared(a: Sequence[int], b: Sequence[int], chars: Sequence[int], least: int) -> np.ndarray:
-    """Of each line of b, whether it is in a run of `least` characters that a
-    has as well, wherever in either and however often."""
-    number = {x: k for k, x in enumerate(dict.fromkeys(b))}
-    size = dict(zip(b, chars, strict=True))
+def aligned(a: Sequence[int], b: Sequence[int], start: Sequence[int], end: Sequence[int]) -> list[int]:
+    """Lines of b that alignment finds in a. a and b are the runs that both have,
+    in the order of their places, b's from line `start` to `end`. Runs that
+    patience diff matches go with all their places in b; those that are left, as
+    b has passages in another order, are aligned again until none is."""
+    gone: set[int] = set()
+    left = list(range(len(b)))
+    while left:
+        runs = [b[k] for k in left]
+        done = {runs[y] for _, y in patience(a, runs)}
+        if not done:
+            break
+        for k in left:
+            if b[k] in done:
+                gone.update(range(start[k], end[k]))
+        a, left = [x for x in a if x not in done], [k for k in left if b[k] not in done]
+    return sorted(gone)
+
+
+def blocks(a: Sequence[str], b: Sequence[str], least: int = LEAST_CHARS) -> list[int]:
+    """Positions in b of the blocks of `least` characters that alignment finds in
+    a, for two documents' lines: what kept_lines() does for all documents."""
     found = []
     for x in (a, b):
-        start, end = windows(np.array([size.get(y, least) for y in x], np.int64), 0, len(x), least)
-        lines = textops.mixed(np.array([number.get(y, -1) + 2 for y in x], np.uint64))
-        found.append((start, end, textops.hashes(lines, start, end)))
-    start, end, h = found[1]
-    hit = np.isin(h, found[0][2])
-    edge = np.zeros(len(b) + 1, np.int64)
-    np.add.at(edge, start[hit], 1)
-    np.add.at(edge, end[hit], -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
-def blocks(matched: Alignment, chars: Sequence[int], least: int) -> list[int]:
-    """Positions in b of the matched blocks, runs without a gap on either side,
-    that have `least` characters or more; then, if lines of a are left in b, of
-    all other such runs: a passage that b repeats or has in another order has
-    no place in one increasing alignment."""
-    out: list[int] = []
-    k = 0
-    while k < len(matched):
-        m = k + 1
-        while m < len(matched) and matched[m][0] == matched[m - 1][0] + 1 and matched[m][1] == matched[m - 1][1] + 1:
-            m += 1
-        run = [y for _, y in matched[k:m]]
-        if sum(chars[y] for y in run) >= least:
-            out += run
-        k = m
-    gone, in_a = set(out), set(matched.a)
-    if any(x in in_a and y not in gone for y, x in enumerate(matched.b)):
-        out += [y for y in np.flatnonzero(_shared(matched.a, matched.b, chars, least)).tolist() if y not in gone]
-    return sorted(out)
+        size, full = np.array([len(y) for y in x], np.int64), np.array([y.strip(" ") != "" for y in x], bool)
+        start, end = windows(size, full, 0, len(x), least)
+        order = np.lexsort((end, start))
+        found.append([(s, e, tuple(x[s:e])) for s, e in zip(start[order].tolist(), end[order].tolist())])
+    first: dict = {}
+    for s, e, run in found[0]:
+        first.setdefault(run, (s, e))
+    own = [(s, e, first[run]) for s, e, run in found[1] if run in first]
+    return aligned(sorted({x for *_, x in own}), [x for *_, x in own], [s for s, _, _ in own], [e for _, e, _ in own])
 
 
 def _key(doc_id: str, text: str) -> Column:
@@ -158,7 +144,7 @@ def _key(doc_id: str, text: str) -> Column:
 
 def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
     """(d, keep) of each document that loses lines: keep is an array of boolean,
-    one for each line."""
+    one for each line up to the last that goes."""
     lines = F.split(F.col(text), "\n", -1)
     rows = docs.where(F.col(text).isNotNull()).select(
         _key(doc_id, text).alias("d"),
@@ -166,7 +152,6 @@ def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", leas
         F.transform(lines, lambda x: F.char_length(x)).alias("n"),
         F.transform(lines, lambda x: F.trim(x) != "").alias("full"),
     )
-    rows = written(rows.dropDuplicates(["d"]), "line-hashes")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -176,42 +161,45 @@ def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", leas
             last = np.cumsum(count)
             doc = np.repeat(np.arange(t.num_rows), count)
             h, n, full = (c.flatten().to_numpy(zero_copy_only=False) for c in t.columns[1:])
-            start, end = windows(n, (last - count)[doc], last[doc], least_chars)
-            some = np.r_[0, np.cumsum(full)]
-            start, end = (x[some[end] > some[start]] for x in (start, end))
+            start, end = windows(n, full, (last - count)[doc], last[doc], least_chars)
             line, doc = textops.hashes(textops.mixed(h.astype(np.uint64)), start, end).astype(np.int64), doc[start]
-            order = np.lexsort((line, doc))
-            line, doc = line[order], doc[order]
-            new = np.r_[True, (line[1:] != line[:-1]) | (doc[1:] != doc[:-1])][: len(line)]
-            yield pa.RecordBatch.from_arrays([t.column(0).take(pa.array(doc[new])), pa.array(line[new])], names=["d", "line"])
+            order = np.lexsort((start, line, doc))
+            line, doc, start, length = line[order], doc[order], start[order], (end - start)[order]
+            run = np.r_[True, (line[1:] != line[:-1]) | (doc[1:] != doc[:-1])][: len(line)]
+            place = run | np.r_[True, start[1:] != start[:-1]][: len(line)]
+            run, line, doc, start, length = (x[place] for x in (run, line, doc, start, length))
+            new = np.flatnonzero(run)
+            places = pa.ListArray.from_arrays(pa.array(np.r_[new, len(line)], pa.int32()), pa.array(start - (last - count)[doc], pa.int32()))
+            yield pa.RecordBatch.from_arrays([t.column(0).take(pa.array(doc[new])), pa.array(line[new]), pa.array(length[new], pa.int32()), places], names=["d", "line", "lines", "places"])
 
     kind = "d struct<id: long, t: long>"
-    held = written(in_small_batches(rows).select("d", "h", "n", "full").mapInArrow(runs, f"{kind}, line long"), "line-runs")
-    first = held.groupBy("line").agg(F.min("d").alias("a"), F.count("*").alias("holders")).where("holders > 1").select("line", "a")
+    distinct = in_small_batches(rows.dropDuplicates(["d"]))
+    held = written(distinct.mapInArrow(runs, f"{kind}, line long, lines int, places array<int>"), "line-runs")
+    first = held.groupBy("line").agg(F.min(F.struct("d", F.get("places", F.lit(0)).alias("place"))).alias("f"), F.count("*").alias("holders"))
+    first = first.where("holders > 1").select("line", F.col("f.d").alias("a"), F.col("f.place").alias("place"))
     first = written(first, "line-first")  # a join of two plain shuffles, so that Spark can split a hot run
-    pairs = held.join(first, "line").where("d <> a").select("a", F.col("d").alias("b")).distinct()
-    pairs = pairs.join(rows.select(F.col("d").alias("a"), F.col("h").alias("ha")), "a")
-    pairs = pairs.join(rows.select(F.col("d").alias("b"), F.col("h").alias("hb"), "n"), "b").select("b", "ha", "hb", "n")
+    shared = held.join(first, "line").where("d <> a")
+    pairs = shared.groupBy("a", "d").agg(F.collect_list(F.struct("place", "lines", "places")).alias("runs"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             gone = []
-            for ha, hb, n in zip(t.column(1).to_pylist(), t.column(2).to_pylist(), t.column(3).to_pylist(), strict=True):
-                gone.append(blocks(patience(ha, hb), n, least_chars))
-            size = pa.compute.list_value_length(t.column(2))
-            yield pa.RecordBatch.from_arrays([t.column(0), size, pa.array(gone, pa.list_(pa.int32()))], names=["d", "size", "gone"])
+            for found in t.column(1).to_pylist():
+                own = sorted((s, x["lines"], (x["place"], x["lines"])) for x in found for s in x["places"])
+                gone.append(aligned(sorted({x for *_, x in own}), [x for *_, x in own], [s for s, _, _ in own], [s + n for s, n, _ in own]))
+            yield pa.RecordBatch.from_arrays([t.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["d", "gone"])
 
     def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             out = []
-            for size, gone in zip(t.column(1).to_pylist(), t.column(2).to_pylist(), strict=True):
-                keep = np.ones(size, bool)
+            for gone in t.column(1).to_pylist():
+                keep = np.ones(max(gone) + 1, bool)
                 keep[gone] = False
                 out.append(keep)
             yield pa.RecordBatch.from_arrays([t.column(0), pa.array(out, pa.list_(pa.bool_()))], names=["d", "keep"])
 
-    found = pairs.mapInArrow(align, f"{kind}, size int, gone array<int>").where(F.size("gone") > 0)
-    found = found.groupBy("d", "size").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    found = pairs.select("d", "runs").mapInArrow(align, f"{kind}, gone array<int>").where(F.size("gone") > 0)
+    found = found.groupBy("d").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
     return found.mapInArrow(masks, f"{kind}, keep array<boolean>")
 
 
@@ -223,11 +211,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     block.
     Null text stays null; a text of which nothing is left is empty. Exact copies
     lose all lines but in the first. Rows equal in id and text are one document.
-    Order is by doc_id (null first), then by the text's hash.
+    Order is by doc_id (null first), then by the text's hash. Whole texts are
+    compared, however long; an empty table gives no rows. Columns may have any
+    names; one called lines_removed is replaced.
     """
-    keep = written(kept_lines(docs, doc_id, text, least_chars), "line-masks").withColumnsRenamed({"d": "__d", "keep": "__keep"})
-    out = docs.withColumn("__key", _key(doc_id, text)).join(keep, F.col("__key") == F.col("__d"), "left")
-    left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: F.get(F.col("__keep"), i)), "\n")
-    gone = F.coalesce(F.size(F.filter("__keep", lambda x: ~x)), F.lit(0))
-    columns = [F.when(F.col("__keep").isNull(), F.col(text)).otherwise(left).alias(c) if c == text else docs[c] for c in docs.columns]
-    return out.select(*columns, F.when(F.col("__keep").isNull(), 0).otherwise(gone).alias("lines_removed"))
+    key, of, mask = free(docs, "__key", "__d", "__keep")
+    keep = written(kept_lines(docs, doc_id, text, least_chars), "line-masks").toDF(of, mask)
+    out = docs.withColumn(key, _key(doc_id, text)).join(keep, F.col(key) == F.col(of), "left")
+    left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: F.coalesce(F.get(F.col(mask), i), F.lit(True))), "\n")
+    gone = F.coalesce(F.size(F.filter(mask, lambda x: ~x)), F.lit(0))
+    columns = [F.when(F.col(mask).isNull(), F.col(text)).otherwise(left).alias(c) if c == text else F.col(c) for c in docs.columns if c != "lines_removed"]
+    return out.select(*columns, F.when(F.col(mask).isNull(), 0).otherwise(gone).alias("lines_removed"))

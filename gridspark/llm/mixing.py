@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import WORD, join_bounded, written
+from gridspark.llm.common import WORD, free, join_bounded, written
 from gridspark.operators.ordering import global_cumsum, global_rank
 
 WEIGHTS = (5, 2, 1)
@@ -78,9 +78,10 @@ def _planned(rows: DataFrame, goal: DataFrame) -> DataFrame:
 
 
 def _emitted(docs: DataFrame, goal: DataFrame, doc_id: str, source: str) -> DataFrame:
-    out = join_bounded(docs, goal, docs[source].eqNullSafe(goal["__source"]))
-    times = copies(docs[doc_id], F.col("__size"), F.col("__target"))
-    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])
+    of, size, target, copy = free(docs, "__source", "__size", "__target", "__copy")
+    out = join_bounded(docs, goal.toDF(of, size, target), F.col(source).eqNullSafe(F.col(of)))
+    times = copies(F.col(doc_id), F.col(size), F.col(target))
+    return out.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), times)).alias(copy)).drop(copy)
 
 
 def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
@@ -88,14 +89,17 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
 
     The texts are read once; sizes are written and joined to the targets, one
     row per source. Rows that repeat a doc_id are decided alike; a null doc_id,
-    source or text is allowed (source null is a source of its own, the last one).
+    source or text is allowed (source null is a source of its own, the last one;
+    text null has no words). Texts of any length are counted whole; an empty
+    table gives no rows; other columns are ignored whatever their names.
     """
     rows = _sized(docs, doc_id, text, source)
     return _planned(rows, _goal(rows, **how)).drop("source")
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """docs with every row repeated as often as it is taken (columns kept)."""
+    """docs with every row repeated as often as it is taken, columns kept whatever
+    their names. Nulls, long texts, repeated rows and empty tables: as in plan()."""
     sizes = docs.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
     return _emitted(docs, _goal(sizes, **how), doc_id, source)
 
@@ -105,7 +109,7 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     being the words that mix() emits of it, counted in the texts emitted.
 
     Rows alike in id, source and size are emitted alike and share their words
-    evenly.
+    evenly. Nulls, long texts, empty tables and other columns: as in plan().
     """
     sizes = _sized(docs, doc_id, text, source)
     goal = _goal(sizes, **how)

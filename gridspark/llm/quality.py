@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm import textops
-from gridspark.llm.common import in_small_batches, written
+from gridspark.llm.common import free, in_small_batches, written
 
 #: Buckets of words and pairs, and of shape pairs.
 WORDS_LOG2, SHAPES_LOG2 = 15, 13
@@ -159,7 +159,8 @@ def resample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     k: how many rows the sample has; by default as many as weigh more than the
     cut-off that the labels give. Null text: empty, weight 0. Rows that repeat a
     doc_id have keys of their own texts. No labels: all weights are 0 and all
-    rows are kept.
+    rows are kept. Whole texts are weighed, however long; an empty table gives no
+    rows; other columns are ignored whatever their names.
     """
     scored = written(weights(docs, fit(docs, labels, doc_id, text, labelled), doc_id, text), "quality-weights")
     if k is None:
@@ -168,7 +169,9 @@ def resample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 
 def select(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of docs that the sample keeps. Of rows that repeat a doc_id all
-    stay if one does."""
-    kept = resample(docs, labels, doc_id, text, **how).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs[doc_id].cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """The rows of docs that the sample keeps, with all their columns, whatever
+    these are called. Of rows that repeat a doc_id all stay if one does. Null
+    texts, long texts and empty tables are as in resample()."""
+    (name,) = free(docs, "__kept")
+    kept = resample(docs, labels, doc_id, text, **how).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, docs[doc_id].cast("long").eqNullSafe(F.col(name)), "left_semi")

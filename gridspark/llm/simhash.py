@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import connected_components, in_small_batches, join_bounded, written
+from gridspark.llm.common import connected_components, free, in_small_batches, join_bounded, written
 
 #: Cells of more fingerprints than this are cut along the other half.
 HOT_CELL = 4_096
@@ -212,7 +212,13 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """docs without the near-duplicates: of each group the row with the smallest
-    doc_id stays; rows that share that doc_id all stay."""
+    doc_id stays; rows that share that doc_id all stay.
+
+    Null text: as empty. Texts without words are one group. A null doc_id stays
+    only where its group has no other. Whole texts are read, however long; an
+    empty table gives no rows; all columns stay, whatever their names.
+    """
     groups = near_groups(docs, doc_id, text, max_bits)
-    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(keep, docs[doc_id].eqNullSafe(F.col("__kept")), "left_semi")
+    (kept,) = free(docs, "__kept")
+    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(kept)).distinct()
+    return docs.join(keep, docs[doc_id].eqNullSafe(F.col(kept)), "left_semi")

@@ -136,7 +136,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
 
     Which of equal payloads stands is found from digests alone (the largest
     page_id; null is the smallest), then each page meets its decision by a join
-    on page_id. Null html: an empty payload. Null url: an empty target. Rows that
+    on page_id and digest. Null html: an empty payload. Null url: an empty target. Rows that
     share a page_id are all written; if they share a payload too, one of them is
     a record like the other. A retried task writes new files; only those of the
     attempt that Spark counts are listed.
@@ -148,8 +148,10 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     digests = written(digests, "warc-digests")
     first = digests.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     first = written(first, "warc-first")  # a join of two plain shuffles, so that Spark can split a hot digest
-    moved = digests.join(first, ["digest", "bytes"]).where("page_id <> refers_to").select("page_id", F.col("digest").alias("of"), "refers_to").distinct()
-    same = rows.join(moved, "page_id", "left") if not moved.isEmpty() else rows.withColumn("of", F.lit(None).cast("string")).withColumn("refers_to", F.lit(None).cast("long"))
+    moved = digests.join(first, ["digest", "bytes"]).where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    moved = written(moved, "warc-moved")  # here too, for a hot page_id
+    rows = rows.withColumn("digest", F.sha1("payload"))
+    same = rows.join(moved, ["page_id", "digest"], "left") if not moved.isEmpty() else rows.withColumn("refers_to", F.lit(None).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _open(folder)
@@ -157,8 +159,8 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
         out, path, size, n = None, "", 0, 0
         done: list[tuple[str, int]] = []
         for b in batches:
-            for pid, link, payload, of, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                revisit = refers is not None and hashlib.sha1(payload).hexdigest() == of
+            for pid, link, payload, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                revisit = refers is not None
                 headers = [("WARC-Target-URI", (link or "").replace("\r", "%0D").replace("\n", "%0A")), ("WARC-Date", "1970-01-01T00:00:00Z"), ("X-Page-ID", str(pid))]
                 if revisit:
                     headers += [("WARC-Refers-To", f"<urn:page:{refers}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Payload-Bytes", str(len(payload)))]
@@ -178,7 +180,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
             done.append((path, n))
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.string()), pa.array([c for _, c in done], pa.int64())], names=["path", "n_records"])
 
-    return written(same.select("page_id", "url", "payload", "of", "refers_to").mapInArrow(run, "path string, n_records long"), "warc-files")
+    return written(same.select("page_id", "url", "payload", "refers_to").mapInArrow(run, "path string, n_records long"), "warc-files")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -213,6 +215,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_REVISIT, level: int = LEVEL) -> DataFrame:
-    """Write all pages and read the archives back: one row per page."""
+    """Write all pages and read the archives back: one row per row of pages, those
+    that repeat a page_id included, whether with one payload or with several.
+    Nulls are as in write_archives(); an empty table gives no rows; other columns
+    are ignored whatever their names."""
     folder = new_path(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, folder, page_id, url, html, least, level))

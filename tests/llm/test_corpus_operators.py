@@ -150,7 +150,7 @@ def test_quality_without_labels_or_rows(spark):
 # 3 -------------------------------------------------------------------------
 
 
-def lines_by_hand(texts, rare=linededup.RARE):
+def lines_by_hand(texts):
     """By all pairs; order is the id, then the text's hash."""
     lines = {i: t.split("\n") for i, t in texts.items()}
     hold = defaultdict(list)
@@ -161,11 +161,10 @@ def lines_by_hand(texts, rare=linededup.RARE):
     pairs = set()
     for h in hold.values():
         pairs |= {(h[0], b) for b in h[1:]}
-        if len(h) <= rare:
-            pairs |= {(a, b) for a in h for b in h if a < b}
+        pairs |= {(a, b) for a in h for b in h if a < b}
     gone = defaultdict(set)
     for a, b in pairs:
-        gone[b].update(linededup.blocks(linededup.patience(lines[a], lines[b]), [len(x) for x in lines[b]], linededup.LEAST_CHARS))
+        gone[b].update(linededup.blocks(lines[a], lines[b]))
     return {i: "\n".join(x for k, x in enumerate(lines[i]) if k not in gone[i]) for i in texts}
 
 
