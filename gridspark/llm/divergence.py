@@ -26,7 +26,7 @@ from gridspark.operators.ordering import global_rank
 #: A share is 1 + floor(SCALE * (count + PRIOR) / (N + PRIOR * V)).
 SCALE, PRIOR = 1_000_000_000, 5
 #: Term ids of one sparse block, which bounds what a merge holds.
-BLOCK = 1 << 16
+BLOCK = 1 << 12
 #: Entries that a task counts before it hands them on.
 HELD = 200_000
 #: Bytes of a text whose terms are counted at once.
