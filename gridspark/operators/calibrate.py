@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.distributions import percentiles
 from gridspark.sources.bounded import join_bounded
+from gridspark.sources.staging import written
+
+#: Predictions up to which all are packed into one row (8 bytes each).
+MOST_PREDICTIONS = 1_000_000
 
 
 def quadratic_melt(k: Column, forcing: Column, salinity_factor: Column | float = 1.0, slope: Column | float = 1.0) -> Column:
@@ -59,19 +63,23 @@ def mean_absolute_error(predicted: Column, observed: Column, weight: Column | No
     return F.avg(d) if skipna else F.when(F.count(d) == F.count("*"), F.avg(d))
 
 
-def uniform(seed: str, name: str) -> Column:
+def uniform(seed: str, name: str, key: Column | None = None) -> Column:
     """A number in (0, 1) hashed from the columns sample and key: reruns and
     retried tasks agree."""
-    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit(name), F.col("sample").cast("string"), F.col("key"))), 1, 13), 16, 10)
+    key = F.col("key") if key is None else key
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit(name), F.col("sample").cast("string"), key)), 1, 13), 16, 10)
     return (h.cast("double") + 0.5) / float(1 << 52)
 
 
+def _normal(seed: str, key: Column | None = None) -> Column:
+    return F.sqrt(-2 * F.log(uniform(seed, "a", key))) * F.cos(uniform(seed, "b", key) * 6.283185307179586)
+
+
 def draws(df: DataFrame, samples: int, mean: str, sigma: str, seed: str = "draw") -> DataFrame:
     """df times samples 1..n, each with a weight in (0, 1) and a value drawn from
     N(mean, sigma) by Box-Muller. key: a string column."""
     out = df.withColumn("sample", F.explode(F.sequence(F.lit(1), F.lit(samples))))
-    normal = F.sqrt(-2 * F.log(uniform(seed, "a"))) * F.cos(uniform(seed, "b") * 6.283185307179586)
-    return out.withColumns({"weight": uniform(seed, "w"), "drawn": F.col(mean) + F.col(sigma) * normal})
+    return out.withColumns({"weight": uniform(seed, "w"), "drawn": F.col(mean) + F.col(sigma) * _normal(seed)})
 
 
 def objective(predicted: DataFrame, drawn: DataFrame, params: Sequence[str], strict: Sequence[int] = (1, 2), seed: str = "draw") -> DataFrame:
@@ -94,6 +102,78 @@ def objective(predicted: DataFrame, drawn: DataFrame, params: Sequence[str], str
     return out.where(F.col("__n") == terms).drop("__n")
 
 
+def matrices(predicted: DataFrame, keys: DataFrame, params: Sequence[str], strict: Sequence[int] = (1, 2)) -> DataFrame:
+    """Predictions packed into one row: `ps`, all parameters in order, and `ts`,
+    per term its keys (key, mean, sigma, fixed weight or null) and per parameters
+    a row of predictions in the keys' order, null where a term lacks them.
+
+    predicted: (term, key, params, x), once each; keys: (term, key, mean, sigma,
+    fixed). For predictions of a checked number only.
+    """
+    p = F.struct(*params)
+    known = keys.select("term", "key", F.lit(True).alias("known"))
+    x = predicted.join(known, ["term", "key"]).groupBy("term", p.alias("p")).agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "x"))).alias("x"), F.count("x").alias("n"), F.bool_or(F.col("x").isNull()).alias("missing")
+    )
+    own = keys.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("key", "mean", "sigma", "fixed"))).alias("keys"))
+    x = x.join(own, "term").select(
+        "term", "keys", "p", F.when(~(F.col("term").isin(*strict) & F.col("missing")), F.struct("n", F.transform("keys", lambda k: F.try_element_at("x", k["key"])).alias("x"))).alias("row")
+    )
+    ts = x.groupBy("term").agg(F.first("keys").alias("keys"), F.map_from_entries(F.collect_list(F.struct("p", "row"))).alias("rows"))
+    ts = ts.agg(F.array_sort(F.collect_list(F.struct("term", "keys", F.map_entries("rows").alias("rows")))).alias("ts"))
+    ps = F.array_sort(F.array_distinct(F.flatten(F.transform("ts", lambda t: t["rows"]["key"]))))
+    ts = ts.withColumn("ps", ps)
+    at = lambda t: F.transform("ps", lambda p: F.try_element_at(F.map_from_entries(t["rows"]), p))
+    return ts.select("ps", F.transform("ts", lambda t: F.struct(t["term"].alias("term"), t["keys"].alias("keys"), at(t).alias("rows"))).alias("ts"))
+
+
+def _median(values: Column) -> Column:
+    """Of the values of an array that are not null."""
+    s = F.array_sort(F.filter(values, lambda v: v.isNotNull()))
+    n = F.size(s)
+    return (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.ceil((n - 1) / 2).cast("int"))) * 0.5
+
+
+def objectives_in_rows(matrix: DataFrame, samples: int, seed: str = "draw") -> DataFrame:
+    """(sample, ps, objectives): objective() for samples 1..n of draws(), one row
+    a sample, its draws and errors being arrays: no cube of samples, parameters
+    and keys is built and nothing is shuffled."""
+    spark = matrix.sparkSession
+    rows = spark.range(1, samples + 1).select(F.col("id").cast("int").alias("sample")).join(F.broadcast(matrix))  # one row by construction
+    drawn = lambda k: F.struct(F.coalesce(k["fixed"], uniform(seed, "w", k["key"])).alias("weight"), (k["mean"] + k["sigma"] * _normal(seed, k["key"])).alias("drawn"))
+    rows = rows.withColumn("draws", F.transform("ts", lambda t: F.transform(t["keys"], drawn)))
+
+    def errors(t: Column, draws: Column) -> Column:
+        def mean(row: Column) -> Column:
+            d = F.zip_with(row["x"], draws, lambda x, d: F.coalesce(F.abs((x - d["drawn"]) * d["weight"]), F.lit(0.0)))
+            return F.when(row["n"] > 0, F.aggregate(d, F.lit(0.0), lambda a, v: a + v) / row["n"])
+
+        return F.struct(F.transform(t["rows"], mean).alias("e"), uniform(seed, "t", t["term"].cast("string")).alias("share"))
+
+    rows = rows.select("sample", "ps", F.zip_with("ts", "draws", errors).alias("es"))
+    rows = rows.withColumn("es", F.transform("es", lambda t: F.struct(t["e"].alias("e"), t["share"].alias("share"), (_median(t["e"]) + 1e-6).alias("by"))))
+    rows = rows.select("sample", "ps", F.transform("es", lambda t: F.transform(t["e"], lambda v: t["share"] * v / t["by"])).alias("es"))
+    total = F.aggregate(F.slice("es", F.lit(2), F.size("es")), F.get("es", F.lit(0)), lambda a, e: F.zip_with(a, e, lambda x, y: x + y))
+    return rows.select("sample", "ps", total.alias("objectives"))
+
+
+def best_of_samples(predicted: DataFrame, keys: DataFrame, samples: int, params: Sequence[str], strict: Sequence[int] = (1, 2), seed: str = "draw", most: int = MOST_PREDICTIONS) -> DataFrame:
+    """(sample, params, objective): best_parameters() of objective() for samples
+    1..n. Up to `most` predictions are packed into one row that meets each sample
+    once; beyond that draws and predictions are joined as long tables.
+
+    keys: (term, key, mean, sigma, fixed); where fixed is not null it is the
+    weight. predicted is read several times, so it should be a written table.
+    """
+    if predicted.limit(most + 1).count() > most:
+        drawn = draws(keys, samples, "mean", "sigma", seed).withColumn("weight", F.coalesce("fixed", "weight"))
+        return best_parameters(objective(predicted, drawn, params, strict, seed), params)
+    rows = objectives_in_rows(written(matrices(predicted, keys, params, strict), "matrices"), samples, seed)
+    found = F.zip_with("objectives", "ps", lambda o, p: F.struct(F.round(o, 9).alias("objective"), *[p[c].alias(c) for c in params]))
+    best = rows.select("sample", F.array_min(F.filter(found, lambda x: x["objective"].isNotNull())).alias("s")).where("s is not null")
+    return best.select("sample", *[F.col(f"s.{c}").alias(c) for c in params], "s.objective")
+
+
 def best_parameters(objectives: DataFrame, params: Sequence[str]) -> DataFrame:
     """Per sample the parameters of the least objective, to nine decimals (ties:
     the smallest)."""

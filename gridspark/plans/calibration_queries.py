@@ -10,6 +10,7 @@ from gridspark.operators import calibrate as C
 from gridspark.operators.distributions import percentiles
 from gridspark.plans.registry import query
 from gridspark.plans.views import ensemble, sql, table
+from gridspark.sources.staging import written
 
 SUMS = ", s AS (SELECT p1, p2 * 0.5::DOUBLE AS o, zone, sum(melt_rate) AS v FROM ensemble GROUP BY 1, 2, 3), t AS (SELECT zone, avg(v) AS target FROM s GROUP BY 1)"
 BEST = SUMS + ", b AS (SELECT p1, zone, o AS \"offset\", residual FROM (SELECT p1, zone, o, abs(v - target) AS residual, row_number() OVER (PARTITION BY p1, zone ORDER BY round(abs(v - target), 9), o) AS n FROM s JOIN t USING (zone)) WHERE n = 1)"
@@ -111,9 +112,9 @@ def _chosen(spark, d, samples=40):
     pr = pr.unionByName(term(2, [zone % 10], F.sum("melt_rate"), F.lit(1.0)))
     pr = pr.unionByName(term(3, [zone % 3], warm - cold))
     pr = pr.unionByName(term(4, [zone % 2, F.floor(zone / 2)], masks.zero_is_missing(F.sum(F.when(rate > 930, rate).otherwise(0.0)))))
+    pr = written(pr, "objective-terms")
     k = pr.groupBy("term", "key").agg(F.max("fixed").alias("fixed"), F.avg("x").alias("mean"), F.lit(50.0).alias("sigma")).where("mean is not null")
-    drawn = C.draws(k, samples, "mean", "sigma").withColumn("weight", F.coalesce("fixed", "weight"))
-    return C.best_parameters(C.objective(pr, drawn, keys), keys)
+    return C.best_of_samples(pr, k, samples, keys)
 
 
 @query("r3_objective", sql("ensemble", OBJ + " SELECT sample, p1, p2, round(objective, 6) AS objective FROM b"))
