@@ -111,19 +111,25 @@ def point_in_polygon(points: DataFrame, x: str, y: str, key: Sequence[str], poly
     return join_bounded(found, rings.select("n", "label").distinct(), "n", "left").select(*key, "label")
 
 
-def periodic_wrap(df: DataFrame, i: str, lon: str, n: int, radians: bool = False, threshold: float = 1e-10, two_d: bool = False) -> DataFrame:
-    """Append the first longitude column once more if the seam has a gap."""
+def has_seam(df: DataFrame, i: str, lon: str, n: int, radians: bool = False, threshold: float = 1e-10) -> bool:
+    """Whether both ends of the n longitude columns are there and a turn from the
+    first is not the last."""
     turn = 2 * math.pi if radians else 360.0
     ends = df.where(F.col(i).isin(0, n - 1)).agg(F.max(F.when(F.col(i) == 0, F.col(lon))).alias("a"), F.max(F.when(F.col(i) == n - 1, F.col(lon))).alias("b")).first()
-    if ends.a is None or ends.b is None or abs(ends.a + turn - ends.b) <= threshold:
+    return ends.a is not None and ends.b is not None and abs(ends.a + turn - ends.b) > threshold
+
+
+def periodic_wrap(df: DataFrame, i: str, lon: str, n: int, radians: bool = False, threshold: float = 1e-10, two_d: bool = False) -> DataFrame:
+    """Append the first longitude column once more if the seam has a gap."""
+    if not has_seam(df, i, lon, n, radians, threshold):
         return df
     more = df.where(F.col(i) == 0).withColumn(i, F.lit(n).cast(df.schema[i].dataType))
-    return df.unionByName(more if two_d else more.withColumn(lon, F.col(lon) + turn))
+    return df.unionByName(more if two_d else more.withColumn(lon, F.col(lon) + (2 * math.pi if radians else 360.0)))
 
 
 def grid_cells(spark: SparkSession, dx: float = 8000.0, extent: float = 6080000.0) -> DataFrame:
     """The square polar grid: i, j, x, y and bounds, centred on the pole."""
-    n = int(extent / dx) + 1
+    n = int(extent / dx + 1e-6) + 1
     g = spark.range(n * n).select((F.col("id") % n).cast("int").alias("i"), F.floor(F.col("id") / n).cast("int").alias("j"))
     x, y = (F.col(c) * dx - extent / 2 for c in "ij")
     return g.select("i", "j", x.alias("x"), y.alias("y"), (x - dx / 2).alias("x_lo"), (x + dx / 2).alias("x_hi"), (y - dx / 2).alias("y_lo"), (y + dx / 2).alias("y_hi"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.operators import align, fill, masks, regrid, vertical
+from gridspark.operators import align, fill, masks, regrid, tiles, vertical
+from gridspark.sources.staging import bucketed, written
 
 
 def uniform_offsets(df: DataFrame, value: str, offsets: Sequence[float] = (0.5, 1.0, 2.0, 4.0)) -> DataFrame:
@@ -93,19 +94,22 @@ def remap(df: DataFrame, time: str, level: str, value: str, source: Sequence[flo
     weights, without renormalisation for the validity and with it for the data.
     Times whose levels differ are an error. Coordinates of the grid are attached.
 
-    df has i, j, lon, the level (1, 2, ...), the time and the value; weights i, j,
-    w and the dst columns.
+    df has i, j, lon, the level (1, 2, ...), the time (a number) and the value;
+    weights i, j, w and the dst columns. The field is exchanged once, to lie by
+    tile; interpolation, packing and weights then run tile by tile, and data and
+    validity come from one pass. A column repeated at the seam is a second weight
+    of the first column's cells, so that no row is copied.
     """
-    valid = vertical.first_time_valid(df, ["i", "j", level], time, [value])
-    masked = df.join(valid, ["i", "j", level]).withColumn(value, F.when(F.col("valid"), F.col(value)))
+    field = tiles.by_tile(df.select("i", "j", "lon", time, level, value), name="remap-field")
+    first = Window.partitionBy("tile", "i", "j", level).orderBy(time)
+    masked = field.withColumn("valid", F.first(F.col(value).isNotNull()).over(first)).withColumn(value, F.when(F.col("valid"), F.col(value)))
     w = vertical.weights_table(df.sparkSession, vertical.interpolation_weights(source, target))
-    keys = [time, "i", "j", "lon"]
-    flat = vertical.interpolate_valid(masked, w, keys, level, value)
-    flat = flat.withColumn("valid", F.when(F.col(value).isNotNull(), 1.0).otherwise(0.0))
-    odd = align.consistent_levels(flat, time, level)
-    if not odd.isEmpty():
+    flat = vertical.interpolate_valid(masked, w, ["tile", time, "i", "j", "lon"], level, value)
+    flat = bucketed(flat, "tile", "remap-levels")
+    if not align.consistent_levels(flat, time, level).isEmpty():
         raise ValueError("times differ in their levels")
-    flat = regrid.periodic_wrap(flat, "i", "lon", n_lon)
-    data = regrid.apply_weights(flat, weights, ["i", "j"], dst, value, [time, level], renormalize=1e-3)
-    share = regrid.apply_weights(flat, weights, ["i", "j"], dst, "valid", [time, level])
-    return masks.attach_coords(data.join(share, [time, level, *dst]).withColumnsRenamed({dst[0]: "i", dst[1]: "j"}), grid)
+    if regrid.has_seam(flat, "i", "lon", n_lon):
+        weights = weights.withColumn("i", F.when(F.col("i") == n_lon, 0).otherwise(F.col("i")))
+    cells = tiles.packed(flat, [time, level], [value], time)
+    data = tiles.apply_blocks(cells, tiles.weight_blocks(weights, dst), dst, [time, level], value, 1e-3, "valid")
+    return masks.attach_coords(written(data.withColumnsRenamed({dst[0]: "i", dst[1]: "j"}), "remapped"), grid)

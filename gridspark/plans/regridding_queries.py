@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from gridspark.operators import regrid as R
-from gridspark.operators import scenarios
+from gridspark.operators import scenarios, tiles
 from gridspark.plans.registry import query
 from gridspark.plans.views import cells, sql, table
 
@@ -30,6 +30,28 @@ def j5_renormalized(spark, d):
     return R.apply_weights(c.select("i", "j", F.col("v_holes").alias("v")), _weights(c), ["i", "j"], ["di", "dj"], "v", renormalize=1.2).withColumn("v", F.round("v", 6))
 
 
+FIELD = "f AS (SELECT CAST(l_suppkey % 40 AS INT) AS i, CAST(l_suppkey // 40 AS INT) AS j, CAST(year(l_shipdate) AS INT) AS yr, CAST(l_linenumber AS INT) AS k, CASE WHEN max(l_discount) <= 0.09 THEN avg(l_quantity) END AS v FROM lineitem GROUP BY ALL)"
+
+
+def _field(spark, d):
+    t = table(spark, d, "lineitem")
+    f = t.groupBy((F.col("l_suppkey") % 40).cast("int").alias("i"), F.floor(F.col("l_suppkey") / 40).cast("int").alias("j"), F.year("l_shipdate").alias("yr"), F.col("l_linenumber").cast("int").alias("k"))
+    return f.agg(F.when(F.max("l_discount") <= 0.09, F.avg("l_quantity")).alias("v"))
+
+
+@query("j5_tiled_weights", "WITH " + FIELD + """, g AS (SELECT *, (1 + (i + j) % 3) / 9.0::DOUBLE AS w, CAST(i // 3 AS INT) AS di, CAST(j // 3 AS INT) AS dj FROM f
+UNION ALL SELECT *, 0.25::DOUBLE, CAST((i + 1) // 3 AS INT), CAST(j // 3 AS INT) FROM f)
+SELECT yr, k, di, dj, CASE WHEN sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END) > 0.3 THEN round(sum(v * w) / sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END), 6) END AS v, round(sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END), 6) AS covered FROM g GROUP BY yr, k, di, dj""")
+def j5_tiled(spark, d):
+    """Many times and levels by weights that overlap: cells packed by tile."""
+    f = tiles.by_tile(_field(spark, d))
+    places = f.select("i", "j").distinct()
+    more = places.select("i", "j", F.floor((F.col("i") + 1) / 3).cast("int").alias("di"), F.floor(F.col("j") / 3).cast("int").alias("dj"), F.lit(0.25).alias("w"))
+    blocks = tiles.weight_blocks(_weights(places).unionByName(more), ["di", "dj"])
+    out = tiles.apply_blocks(tiles.packed(f, ["yr", "k"], ["v"], "yr"), blocks, ["di", "dj"], ["yr", "k"], "v", 0.3, "covered")
+    return out.select("yr", "k", "di", "dj", F.round("v", 6).alias("v"), F.round("covered", 6).alias("covered"))
+
+
 @query("j6_renormalize_by_fraction", sql("cells", ", a AS (SELECT zone, avg(v * ice_frac) AS x, avg(ice_frac) AS f FROM cells GROUP BY 1) SELECT zone, CASE WHEN f > 0.18 THEN round(x / f, 5) END AS x FROM a"))
 def j6(spark, d):
     a = cells(spark, d).groupBy("zone").agg(F.avg(F.col("v") * F.col("ice_frac")).alias("x"), F.avg("ice_frac").alias("f"))
@@ -100,17 +122,29 @@ def j17(spark, d):
     return R.periodic_wrap(c, "i", "lon", 40)
 
 
-@query("s11_grid_cells", sql("cells", "SELECT CAST(i AS INT) AS i, CAST(j AS INT) AS j, i * 160000.0::DOUBLE - 3040000 AS x, j * 160000.0::DOUBLE - 3040000 AS y, c.v FROM cells c WHERE j < 39 AND i < 39"))
+#: All customers on a square grid of the polar extent, as fine as they are many.
+SQUARE = """n AS (SELECT CAST(ceil(sqrt(max(c_custkey) + 1)) AS INT) AS n FROM customer),
+g AS (SELECT CAST(c_custkey % n AS INT) AS i, CAST(c_custkey // n AS INT) AS j, c_acctbal AS v, 6080000.0::DOUBLE / (n - 1) AS dx FROM customer, n)"""
+
+
+def _square(spark, d):
+    c = table(spark, d, "customer")
+    n = math.ceil(math.sqrt(c.agg(F.max("c_custkey")).first()[0] + 1))
+    key = F.col("c_custkey")
+    return c.select((key % n).cast("int").alias("i"), F.floor(key / n).cast("int").alias("j"), F.col("c_acctbal").alias("v")), 6080000.0 / (n - 1)
+
+
+@query("s11_grid_cells", "WITH " + SQUARE + " SELECT i, j, round(i * dx - 3040000, 6) AS x, round(j * dx - 3040000, 6) AS y, v FROM g")
 def s11(spark, d):
-    g = R.grid_cells(spark, 160000.0)
-    return cells(spark, d).select("i", "j", "v").join(g.select("i", "j", "x", "y"), ["i", "j"])
+    c, dx = _square(spark, d)
+    g = R.grid_cells(spark, dx)
+    return c.join(g.select("i", "j", F.round("x", 6).alias("x"), F.round("y", 6).alias("y")), ["i", "j"])
 
 
-#: The closed form with WGS 84 and the standard parallel -71, corners left out.
-LAT_LON = """WITH q AS (SELECT 6378137.0::DOUBLE AS a, sqrt(2 / 298.257223563::DOUBLE - pow(1 / 298.257223563::DOUBLE, 2)) AS e, radians(71.0::DOUBLE) AS p),
+#: The closed form with WGS 84 and the standard parallel -71.
+LAT_LON = "WITH " + SQUARE + """, q AS (SELECT 6378137.0::DOUBLE AS a, sqrt(2 / 298.257223563::DOUBLE - pow(1 / 298.257223563::DOUBLE, 2)) AS e, radians(71.0::DOUBLE) AS p),
 z AS (SELECT e, a * cos(p) / sqrt(1 - pow(e * sin(p), 2)) / (tan(pi() / 4 - p / 2) / pow((1 - e * sin(p)) / (1 + e * sin(p)), e / 2)) AS scale FROM q),
-g AS (SELECT CAST(c_custkey % 40 AS INT) AS i, CAST(c_custkey // 40 AS INT) AS j, c_acctbal AS v FROM customer),
-x AS (SELECT i, j, v, e, i * 160000.0::DOUBLE - 3040000 AS x, j * 160000.0::DOUBLE - 3040000 AS y, scale FROM g, z WHERE i < 39 AND j < 39),
+x AS (SELECT i, j, v, e, i * dx - 3040000 AS x, j * dx - 3040000 AS y, scale FROM g, z),
 h AS (SELECT *, pi() / 2 - 2 * atan(sqrt(x * x + y * y) / scale) AS chi FROM x)
 SELECT i, j, v, round(-degrees(chi + (pow(e, 2) / 2 + 5 * pow(e, 4) / 24 + pow(e, 6) / 12 + 13 * pow(e, 8) / 360) * sin(2 * chi) + (7 * pow(e, 4) / 48 + 29 * pow(e, 6) / 240 + 811 * pow(e, 8) / 11520) * sin(4 * chi)
   + (7 * pow(e, 6) / 120 + 81 * pow(e, 8) / 1120) * sin(6 * chi) + 4279 * pow(e, 8) / 161280 * sin(8 * chi)), 8) AS lat, round(CASE WHEN degrees(atan2(x, y)) >= 180 THEN degrees(atan2(x, y)) - 360 ELSE degrees(atan2(x, y)) END, 8) AS lon FROM h"""
@@ -118,12 +152,13 @@ SELECT i, j, v, round(-degrees(chi + (pow(e, 2) / 2 + 5 * pow(e, 4) / 24 + pow(e
 
 @query("s12_lat_lon", LAT_LON)
 def s12(spark, d):
-    g = R.with_lat_lon(R.grid_cells(spark, 160000.0))
+    c, dx = _square(spark, d)
+    g = R.with_lat_lon(R.grid_cells(spark, dx))
     g = g.select("i", "j", F.round("lat", 8).alias("lat"), F.round("lon", 8).alias("lon"))
-    return cells(spark, d).select("i", "j", "v").join(g, ["i", "j"])
+    return c.join(g, ["i", "j"])
 
 
-@query("b9_remap_pipeline", """WITH f AS (SELECT CAST(l_suppkey % 40 AS INT) AS i, CAST(l_suppkey // 40 AS INT) AS j, CAST(year(l_shipdate) AS INT) AS yr, CAST(l_linenumber AS INT) AS k, CASE WHEN max(l_discount) <= 0.09 THEN avg(l_quantity) END AS v FROM lineitem GROUP BY ALL),
+@query("b9_remap_pipeline", """WITH """ + FIELD + """,
 u AS (SELECT i, j, k, arg_min(v IS NOT NULL, yr) AS ok FROM f GROUP BY ALL),
 m AS (SELECT f.i, f.j, f.yr, f.k, CASE WHEN ok THEN v END AS v FROM f JOIN u USING (i, j, k)),
 w AS (SELECT * FROM (VALUES (1, 1, 0.5::DOUBLE), (1, 2, 0.5), (2, 3, 1.0), (3, 5, 0.5), (3, 6, 0.5)) t(dst, k, w)),
@@ -133,9 +168,7 @@ h AS (SELECT *, (1 + (i + j) % 3) / 9.0::DOUBLE AS w FROM p)
 SELECT yr, k, CAST(i // 3 AS INT) AS i, CAST(j // 3 AS INT) AS j, (i // 3) * 24000.0::DOUBLE AS x, (j // 3) * 24000.0::DOUBLE AS y,
   CASE WHEN sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END) > 1e-3 THEN round(sum(v * w) / sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END), 6) END AS v, round(sum(CASE WHEN v IS NOT NULL THEN w ELSE 0 END), 6) AS valid FROM h GROUP BY yr, k, i // 3, j // 3""")
 def b9(spark, d):
-    t = table(spark, d, "lineitem")
-    f = t.groupBy((F.col("l_suppkey") % 40).cast("int").alias("i"), F.floor(F.col("l_suppkey") / 40).cast("int").alias("j"), F.year("l_shipdate").alias("yr"), F.col("l_linenumber").cast("int").alias("k"))
-    f = f.agg(F.when(F.max("l_discount") <= 0.09, F.avg("l_quantity")).alias("v")).withColumn("lon", F.col("i") * 9.0)
+    f = _field(spark, d).withColumn("lon", F.col("i") * 9.0)
     places = f.select("i", "j").distinct()
     weights = _weights(places.unionByName(places.where("i = 0").withColumn("i", F.lit(40))))
     grid = weights.select(F.col("di").alias("i"), F.col("dj").alias("j")).distinct().withColumns({"x": F.col("i") * 24000.0, "y": F.col("j") * 24000.0})

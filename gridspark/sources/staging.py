@@ -36,9 +36,25 @@ def written(df: DataFrame, name: str = "table", path: str | None = None) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, by: str, name: str = "table") -> DataFrame:
+    """Write df to the shared folder in buckets of a column, one file each, and
+    read it again: joins on that column and aggregations by it and others then
+    exchange nothing. As many buckets as the session has shuffle partitions, so
+    that a table which lies so already is written without an exchange."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, name)
+    table = "gridspark_" + path.rpartition("/")[2].replace("-", "_")
+    df.repartition(n, by).write.bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all tables written so far under the session's shared folder: for
     between jobs, as results that are not yet computed may read them."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("gridspark_"):
+            spark.sql(f"DROP TABLE {t.name}")
     forget(spark, f"{shared_dir(spark)}/gridspark")
 
 
