@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.sources.staging import written
+from gridspark.sources.staging import bucketed, written
 
 #: Weights of a Gaussian of 24 km on 8 km cells at the six distances below.
 WEIGHTS = (0.946, 0.801, 0.895, 0.757, 0.641, 0.606)
@@ -31,13 +32,15 @@ def _kernel() -> list[tuple[int, int, float, list[tuple[int, int]]]]:
 
 
 KERNEL = _kernel()
+#: Cells that one round looks far.
+_REACH = 3
 
 
-def fill_slab(values: list[np.ndarray], allowed: np.ndarray, zone: np.ndarray | None, rounds: int | np.ndarray, least: float = 0.1) -> list[np.ndarray]:
+def fill_slab(values: list[np.ndarray], allowed: np.ndarray, zone: np.ndarray | None, rounds: int | np.ndarray, least: float = 0.1, begin: int = 0, end: int | None = None) -> list[np.ndarray]:
     """Fill missing allowed cells, round by round, with the weighted mean of the
     filled neighbours of the same zone; a cell needs a total weight over
     `least`. Several values share the first one's validity. rounds may differ by
-    cell."""
+    cell; of all of them those from `begin` to `end` are run."""
     values = [v.copy() for v in values]
     n, m = values[0].shape
     pad = 3
@@ -49,7 +52,8 @@ def fill_slab(values: list[np.ndarray], allowed: np.ndarray, zone: np.ndarray |
         return a[pad + y : pad + y + n, pad + x : pad + x + m]
 
     zones = framed(zone, -99) if zone is not None else None
-    for done in range(int(np.max(rounds))):
+    top = int(np.max(rounds))
+    for done in range(begin, top if end is None else min(top, end)):
         have = ~np.isnan(values[0])
         want = allowed & ~have & (done < rounds)
         if not want.any():
@@ -90,32 +94,15 @@ def fill_horizontal(df: DataFrame, keys: Sequence[str], values: Sequence[str], r
     numbers of rounds of the first two passes by zone; level_rounds: of the last
     one by the key `level`."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys, "j", "i", *values).schema)
+    limits = _Limits(rounds, zone_rounds, level_rounds)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         j0, i0 = pdf.j.min(), pdf.i.min()
         shape = (int(pdf.j.max() - j0 + 1), int(pdf.i.max() - i0 + 1))
         at = ((pdf.j - j0).to_numpy(), (pdf.i - i0).to_numpy())
-
-        def grid(column, by, kind) -> np.ndarray:
-            a = np.full(shape, by, kind)
-            a[at] = column
-            return a
-
-        vs = [grid(pdf[v].to_numpy(np.float64, na_value=np.nan), np.nan, float) for v in values]
-        if missing_above is not None:
-            bad = np.abs(vs[0]) > missing_above
-            for v in vs:
-                v[bad] = np.nan
-        z = grid(pdf[zone].fillna(-1), -1, int)
-        there = grid(True, False, bool)
-        ins, op = grid(pdf[inside].fillna(False).astype(bool), False, bool), grid(pdf[open_].fillna(False).astype(bool), False, bool)
-        first, second = (np.full(shape, n) for n in rounds[:2])
-        for limit, other in zip((first, second), zone_rounds, strict=True):
-            for k, n in other.items():
-                limit[z == k] = n
-        last = (level_rounds or {}).get(int(pdf[level].iloc[0]), rounds[2]) if level else rounds[2]
-        for allowed, by, n in ((ins & op, z, first), (ins, z, second), (there, None, last)):
-            vs = fill_slab(vs, allowed & there, by, n)
+        vs, z, flags = _arrays(pdf, shape, at, values, zone, inside, open_, missing_above)
+        for p in range(3):
+            vs = fill_slab(vs, *_pass(p, z, flags, limits, pdf[level].iloc[0] if level else None))
         out = pdf[[*keys, "j", "i"]].copy()
         for name, v in zip(values, vs, strict=True):
             out[name] = v[at]
@@ -124,6 +111,149 @@ def fill_horizontal(df: DataFrame, keys: Sequence[str], values: Sequence[str], r
     return df.groupBy(*keys).applyInPandas(one, schema)
 
 
+class _Limits(NamedTuple):
+    """Rounds of the three passes: in general, and in certain zones and levels."""
+
+    rounds: tuple[int, int, int]
+    zones: tuple[dict[int, int], dict[int, int]]
+    levels: dict[int, int] | None
+
+    def most(self, p: int) -> int:
+        return max(self.rounds[p], *((self.zones[p] if p < 2 else self.levels) or {0: 0}).values())
+
+
+def _arrays(pdf: pd.DataFrame, shape: tuple[int, int], at: tuple[np.ndarray, np.ndarray], values: Sequence[str], zone: str, inside: str, open_: str, missing_above: float | None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Rows as arrays: the values (NaN: missing), the zone (-1: none), and bits
+    for cells that are there, inside and open."""
+
+    def grid(column, by, kind) -> np.ndarray:
+        a = np.full(shape, by, kind)
+        a[at] = column
+        return a
+
+    vs = [grid(pdf[v].to_numpy(np.float64, na_value=np.nan), np.nan, float) for v in values]
+    if missing_above is not None:
+        bad = np.abs(vs[0]) > missing_above
+        for v in vs:
+            v[bad] = np.nan
+    flag = lambda c: pdf[c].fillna(False).astype(bool).to_numpy()
+    return vs, grid(pdf[zone].fillna(-1), -1, np.int32), grid(1 + 2 * flag(inside) + 4 * flag(open_), 0, np.uint8)
+
+
+def _pass(p: int, z: np.ndarray, flags: np.ndarray, limits: _Limits, level: object) -> tuple[np.ndarray, np.ndarray | None, int | np.ndarray]:
+    """Where the p-th pass may fill, the zones that it keeps to, and its rounds."""
+    there, inside, open_ = ((flags & b) > 0 for b in (1, 2, 4))
+    if p == 2:
+        return there, None, limits.rounds[2] if level is None else (limits.levels or {}).get(int(level), limits.rounds[2])
+    n = np.full(z.shape, limits.rounds[p])
+    for k, own in limits.zones[p].items():
+        n[z == k] = own
+    return there & inside & open_ if p == 0 else there & inside, z, n
+
+
+_STRIP = "array<struct<tile: string, y: int, x: int, h: int, w: int, data: binary>>"
+
+
+def fill_tiled(df: DataFrame, keys: Sequence[str], values: Sequence[str], rounds: tuple[int, int, int] = (20, 120, 5), zone: str = "zone", inside: str = "inside", open_: str = "open", missing_above: float | None = None, zone_rounds: tuple[dict[int, int], dict[int, int]] = ({}, {}), level: str | None = None, level_rounds: dict[int, int] | None = None, size: int = 512, step: int = 40) -> DataFrame:
+    """fill_horizontal() for slabs of any extent: a task holds one tile.
+
+    Slabs are cut into tiles of `size` cells, each with a margin as wide as
+    `step` rounds reach. A step runs so many rounds on every tile, which are
+    exact within the margin, keeps the tile's own cells and sends the strips that
+    changed to the neighbours whose margin they are in. Tiles lie in buckets, so
+    that only strips are exchanged; each step is written, and a pass ends when
+    its rounds do or no cell was filled in a step. Tiles that nothing reaches are
+    handed on as they are.
+    """
+    margin = _REACH * step
+    if margin > size:
+        raise ValueError("a step reaches beyond the next tile")
+    wide = size + 2 * margin
+    own = slice(margin, margin + size)
+    limits = _Limits(rounds, zone_rounds, level_rounds)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    named = ", ".join(f"{c} {kinds[c]}" for c in keys)
+    lies = f"{named}, tile string, ty long, tx long, data binary, zone binary, flags binary, fresh boolean"
+    state = f"{lies}, strips {_STRIP}, filled long"
+    near = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+
+    def side(c: str, t: str, a: int) -> Column:
+        local = F.col(c) - F.col(t) * size
+        return F.lit(True) if a == 0 else local < margin if a < 0 else local >= size - margin
+
+    at = {"ty": F.floor(F.col("j") / size), "tx": F.floor(F.col("i") / size)}
+    cells = df.select(*keys, "j", "i", *values, zone, inside, open_).withColumns(at)
+    into = F.array(*[F.when(side("j", "ty", a) & side("i", "tx", b), F.struct((F.col("ty") + a).alias("ty"), (F.col("tx") + b).alias("tx"))) for a, b in near])
+    cells = cells.drop("ty", "tx").withColumns(at).withColumn("into", F.explode(F.filter(into, lambda x: x.isNotNull()))).drop("ty", "tx").select("*", "into.ty", "into.tx").drop("into")
+    name = lambda ty, tx: F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys], ty, tx)
+    cells = cells.withColumn("tile", name(F.col("ty"), F.col("tx")))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        ty, tx = int(pdf.ty.iloc[0]), int(pdf.tx.iloc[0])
+        y, x = ((pdf[c] - t * size + margin).to_numpy(int) for c, t in (("j", ty), ("i", tx)))
+        vs, z, flags = _arrays(pdf, (wide, wide), (y, x), values, zone, inside, open_, missing_above)
+        out = pdf[[*keys, "tile", "ty", "tx"]].iloc[:1].copy()
+        if not flags[own, own].any():
+            out = out.iloc[:0]
+        return out.assign(data=np.stack(vs).tobytes(), zone=z.tobytes(), flags=flags.tobytes(), fresh=True)
+
+    now = cells.groupBy(*keys, "tile", "ty", "tx").applyInPandas(pack, lies)
+    now = bucketed(now.withColumns({"strips": F.lit(None).cast(_STRIP), "filled": F.lit(0).cast("long")}), "tile", "fill-tiles")
+
+    def run(p: int, done: int):
+        def advance(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in pdfs:
+                for row in pdf.to_dict("records"):
+                    got = row.pop("got")
+                    got = [] if got is None else list(got)
+                    if not (row["fresh"] or len(got) or done == 0):
+                        yield pd.DataFrame([row | {"strips": [], "filled": 0}])
+                        continue
+                    data = np.frombuffer(row["data"]).reshape(-1, wide, wide).copy()
+                    for s in got:
+                        data[:, s["y"] : s["y"] + s["h"], s["x"] : s["x"] + s["w"]] = np.frombuffer(s["data"]).reshape(len(data), s["h"], s["w"])
+                    z = np.frombuffer(row["zone"], np.int32).reshape(wide, wide)
+                    flags = np.frombuffer(row["flags"], np.uint8).reshape(wide, wide)
+                    allowed, by, n = _pass(p, z, flags, limits, row[level] if level else None)
+                    new = fill_slab(list(data), allowed, by, n, begin=done, end=done + step)
+                    changed = np.isnan(data[0, own, own]) & ~np.isnan(new[0][own, own])
+                    data[:, own, own] = np.stack(new)[:, own, own]
+                    strips = []
+                    edge = {-1: (slice(0, margin), margin + size), 0: (slice(0, size), margin), 1: (slice(size - margin, size), 0)}
+                    for a, b in near:
+                        (rows, y), (columns, x) = edge[a], edge[b]
+                        if (a or b) and changed[rows, columns].any():
+                            part = np.ascontiguousarray(data[:, own, own][:, rows, columns])
+                            to = "/".join([*row["tile"].split("/")[:-2], str(row["ty"] + a), str(row["tx"] + b)])
+                            strips.append({"tile": to, "y": y, "x": x, "h": part.shape[1], "w": part.shape[2], "data": part.tobytes()})
+                    yield pd.DataFrame([row | {"data": data.tobytes(), "strips": strips, "fresh": bool(changed.any()), "filled": int(changed.sum())}])
+
+        return advance
+
+    columns = now.columns
+    for p in range(3):
+        done = 0
+        while done < limits.most(p):
+            sent = now.select(F.explode("strips").alias("s")).select("s.*").groupBy("tile")
+            sent = sent.agg(F.collect_list(F.struct("y", "x", "h", "w", "data")).alias("got"))  # eight at most
+            met = now.drop("strips", "filled").join(sent, "tile", "left").select(*[c for c in columns if c not in ("strips", "filled")], "got")
+            now = bucketed(met.mapInPandas(run(p, done), state), "tile", "fill-tiles")
+            done += step
+            if not now.agg(F.sum("filled")).first()[0]:
+                break
+
+    def unpack(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            for row in pdf.to_dict("records"):
+                data = np.frombuffer(row["data"]).reshape(-1, wide, wide)[:, own, own]
+                y, x = np.nonzero(np.frombuffer(row["flags"], np.uint8).reshape(wide, wide)[own, own])
+                out = {c: row[c] for c in keys} | {"j": y + row["ty"] * size, "i": x + row["tx"] * size}
+                yield pd.DataFrame(out | {v: data[k][y, x] for k, v in enumerate(values)})
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys, "j", "i", *values).schema)
+    return now.select(*keys, "ty", "tx", "data", "flags").mapInPandas(unpack, schema)
+
+
 def fill_bins(deltas: DataFrame, key: str, s_bin: str, t_bin: str, value: str, n: int) -> DataFrame:
     """Fill missing bins of each key's n x n histogram from the mean of their
     filled neighbours of eight, round by round until none is left; edge bins
