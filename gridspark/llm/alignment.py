@@ -25,13 +25,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from gridspark.llm.bpe import byte_symbols
 from gridspark.llm.common import in_small_batches, join_bounded, written
-from gridspark.llm.tokencounts import PIECES, balanced, cut
+from gridspark.llm.tokencounts import BYTE_LEVEL, PIECES, balanced, byte_level_cuts, piece_cuts
 
 #: Ends of A and B together that one piece merges.
 PIECE = 1 << 15
@@ -41,6 +42,9 @@ ROUND = 1 << 20
 SLICE = 1 << 16
 #: Links of a group from which it is counted by distinct ids, not link by link.
 WIDE = 256
+#: Units of texts that a worker keeps for each vocabulary, up to so many
+#: characters long.
+KNOWN, LONGEST = 200_000, 64
 #: Rows of the table of pairs up to which it is broadcast (about 40 bytes each).
 MOST_PAIRS = 1_000_000
 
@@ -82,19 +86,36 @@ def common_ends(a: np.ndarray, b: np.ndarray, work: int = PIECE) -> tuple[np.nda
     return tuple(np.concatenate([np.zeros(0, np.int64), *side]) for side in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
 
 
+#: Spaces beside white space: these texts are cut by the pattern, others at
+#: every space.
+_MIXED = regex.compile(r"\s | \s|▁")
+
+
+def units(text: str) -> list[str]:
+    """What stands between the spaces that no token of either vocabulary spans;
+    such a space goes with the unit after it, and one stands before the text."""
+    if not text:
+        return []
+    return PIECES.split(text) if text[0] == " " or text[-1] == " " or _MIXED.search(text) else text.split(" ")
+
+
 class Side:
-    """One vocabulary: ids of parts of texts, and the bytes of every id."""
+    """One vocabulary: ids of units, and the bytes of every id. Units are encoded
+    by the library once and kept."""
 
     def __init__(self, path: str):
+        self.known: dict[str, bytes | None] = {}
         if path.endswith(".json"):
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
             from tokenizers import Tokenizer
 
+            if byte_level_cuts(path) is not BYTE_LEVEL:
+                raise ValueError("another kind of tokenizer file")
             t = Tokenizer.from_file(path)
             t.encode_special_tokens = True
             t.no_truncation()
             t.no_padding()
-            self.ids = lambda parts: [x.ids for x in t.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
+            self.library = lambda own: [x.ids for x in t.encode_batch_fast([" " + u for u in own], add_special_tokens=False)]
             byte = {s: b for b, s in byte_symbols().items()}
             with open(path, encoding="utf-8") as f:
                 vocab = json.load(f)["model"]["vocab"]
@@ -105,13 +126,42 @@ class Side:
             import sentencepiece
 
             s = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.ids = lambda parts: s.encode(parts, num_threads=1)
+            if piece_cuts(s) is not PIECES:
+                raise ValueError("another kind of model")
+            self.library = lambda own: s.encode(own, num_threads=1)
             pieces = [s.id_to_piece(i) for i in range(s.get_piece_size())]
             self.raw = [bytes([int(p[3:5], 16)]) if s.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         else:
             raise ValueError("a vocabulary file ends in .json or .model")
         self.size = np.array([len(x) for x in self.raw], np.int64)
 
+    def _spelled(self, own: list[str]) -> Iterator[bytes | None]:
+        """Ids of units as bytes, or None where their bytes are not a space and
+        the unit."""
+        for some in balanced([len(x) for x in own]):
+            part = own[some.start : some.stop]
+            for unit, ids in zip(part, self.library(part)):
+                whole = b"".join(map(self.raw.__getitem__, ids)) == (" " + unit).encode()
+                yield array("I", ids).tobytes() if whole else None
+
+    def encode(self, texts: list[list[str]]) -> list[np.ndarray | None]:
+        """Ids of each text, given as units, or None where their bytes are not
+        its own."""
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        new = list(set().union(*texts) - self.known.keys())
+        self.known.update(zip(new, self._spelled(new)))
+        out: list[np.ndarray | None] = []
+        for own in texts:
+            try:
+                out.append(np.frombuffer(b"".join(map(self.known.__getitem__, own)), np.uint32))
+            except TypeError:  # a None among them
+                out.append(None)
+        for u in new:
+            if len(u) > LONGEST:
+                del self.known[u]
+        return out
+
 
 @lru_cache(maxsize=1)
 def sides(path_a: str, path_b: str) -> tuple[Side, Side, list[str]]:
@@ -121,27 +171,6 @@ def sides(path_a: str, path_b: str) -> tuple[Side, Side, list[str]]:
     return a, b, [f"{i}{s}" for side, end in ((a, "|"), (b, ";")) for i in range(len(side.raw)) for s in (",", end)]
 
 
-def tokens(texts: list[str], a: Side, b: Side) -> list[tuple[array, array] | None]:
-    """Ids of each text in both vocabularies, or None where it is empty or either
-    side's bytes are not a space and the text. Long texts are cut at spaces that
-    neither vocabulary's tokens span and encoded part by part."""
-    out: list[tuple[array, array] | None] = [(array("I"), array("I")) if t else None for t in texts]
-    parts = [(k, p) for k, t in enumerate(texts) if t for p in cut(t, PIECES, 1)]
-    for some in balanced([len(p) for _, p in parts]):
-        own = [parts[k][1] for k in some]
-        for k, x, y in zip(some, a.ids(own), b.ids(own)):
-            row, part = parts[k]
-            if out[row] is None:
-                continue
-            whole = (" " + part).encode()
-            if b"".join(map(a.raw.__getitem__, x)) != whole or b"".join(map(b.raw.__getitem__, y)) != whole:
-                out[row] = None
-                continue
-            out[row][0].fromlist(x)
-            out[row][1].fromlist(y)
-    return out
-
-
 def pairs_of(ids_a: np.ndarray, ids_b: np.ndarray, doc: np.ndarray, first_a: np.ndarray, n_a: np.ndarray, first_b: np.ndarray, n_b: np.ndarray, height: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, A id * width + B id, links) of the groups, links of a document
     summed by pair. Wide groups are counted by their distinct ids."""
@@ -168,12 +197,14 @@ def pairs_of(ids_a: np.ndarray, ids_b: np.ndarray, doc: np.ndarray, first_a: np.
 
 def _aligned(texts: list[str], a: Side, b: Side, written_as: list[str]) -> list[pa.Array]:
     """n_a, n_b, n_groups, n_links, groups_sha256, pairs and times of each text."""
-    found = tokens(texts, a, b)
-    own = [k for k, x in enumerate(found) if x]
+    split = [units(t) for t in texts]
+    found = list(zip(a.encode(split), b.encode(split)))
+    del split
+    own = [k for k, (x, y) in enumerate(found) if x is not None and y is not None]
     count = np.zeros((4, len(texts)), np.int64)
     for side in (0, 1):
         count[side, own] = [len(found[k][side]) for k in own]
-    ids_a, ids_b = (np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(found[k][side], np.uint32) for k in own)]).astype(np.int64) for side in (0, 1))
+    ids_a, ids_b = (np.concatenate([np.zeros(0, np.int64), *(found[k][side] for k in own)]).astype(np.int64) for side in (0, 1))
     del found
     ends_a, ends_b = np.cumsum(a.size[ids_a]), np.cumsum(b.size[ids_b])  # the texts one after another
     last_a, last_b = common_ends(ends_a, ends_b)

@@ -69,20 +69,20 @@ def lengths_of(path: str) -> tuple[Callable[[list[str]], Iterable[int]], regex.P
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        return lambda texts: map(len, t.encode_batch_fast(texts, add_special_tokens=False)), _byte_level(path), 0
+        return lambda texts: map(len, t.encode_batch_fast(texts, add_special_tokens=False)), byte_level_cuts(path), 0
     if path.endswith(".model"):
         import sentencepiece
 
         s = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: map(len, s.encode(texts, num_threads=1)), _piece_marks(s), 1
+        return lambda texts: map(len, s.encode(texts, num_threads=1)), piece_cuts(s), 1
     raise ValueError("a vocabulary file ends in .json or .model")
 
 
 #: A pattern that is found nowhere: texts stay whole.
-_NOWHERE = regex.compile(r"(?!)")
+NOWHERE = regex.compile(r"(?!)")
 
 
-def _byte_level(path: str) -> regex.Pattern:
+def byte_level_cuts(path: str) -> regex.Pattern:
     """BYTE_LEVEL where a file splits as it supposes and no special string has
     such a place in it, else nowhere."""
     import json
@@ -92,15 +92,15 @@ def _byte_level(path: str) -> regex.Pattern:
     pre = spec["pre_tokenizer"] or {}
     usual = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and spec["normalizer"] is None
     plain = not any(x["lstrip"] or x["rstrip"] or x["single_word"] or BYTE_LEVEL.search(x["content"]) for x in spec["added_tokens"])
-    return BYTE_LEVEL if usual and plain and spec["post_processor"] is None else _NOWHERE
+    return BYTE_LEVEL if usual and plain and spec["post_processor"] is None else NOWHERE
 
 
-def _piece_marks(s) -> regex.Pattern:
+def piece_cuts(s) -> regex.Pattern:
     """PIECES if the model begins a text with a mark, changes nothing else in it
     and no piece has a mark after another character, else nowhere."""
     alike = "a  b\tcÅÅ"
     same = s.decode(s.encode(alike)) == alike and s.encode("ab")[0] == s.encode("x ab")[-len(s.encode("ab"))]
-    return PIECES if same and not any("▁" in s.id_to_piece(i).lstrip("▁") for i in range(s.get_piece_size())) else _NOWHERE
+    return PIECES if same and not any("▁" in s.id_to_piece(i).lstrip("▁") for i in range(s.get_piece_size())) else NOWHERE
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
