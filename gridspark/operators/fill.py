@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.operators.distance import nearest_sources
 from gridspark.sources.staging import bucketed, written
 
 #: Weights of a Gaussian of 24 km on 8 km cells at the six distances below.
@@ -276,42 +277,26 @@ def fill_bins(deltas: DataFrame, key: str, s_bin: str, t_bin: str, value: str, n
     return deltas.groupBy(key).applyInPandas(one, schema)
 
 
-def fill_nearest(df: DataFrame, value: str, inside: str, i: str = "i", j: str = "j") -> DataFrame:
-    """Missing cells inside a mask take the value of the nearest cell that has
-    one (ties: lowest j, then i). Searched in tiles of growing size: a cell
-    looks at its own and the eight around, which is exact within one tile's
-    width; those with none so near go on with tiles four times as wide, until none
-    is left or a tile is wider than the grid. Cells still asking are written
-    each time."""
-    have = df.where(F.col(value).isNotNull()).select(F.col(j).alias("__j"), F.col(i).alias("__i"), F.col(value).alias("__v"))
-    want = df.where(F.col(value).isNull() & F.col(inside))
-    found = None
-    ends = df.agg(*[f(c).alias(f"{n}{c}") for c in (i, j) for n, f in (("a", F.min), ("b", F.max))]).first()
-    across = math.hypot(*[(ends[f"b{c}"] or 0) - (ends[f"a{c}"] or 0) for c in (i, j)])
-    width = 4
-    left = want.select(i, j)
-    while True:
-        tile = [F.floor(F.col(c) / width).cast("int") for c in ("__j", "__i")]
-        source = have.withColumns({"__a": tile[0], "__b": tile[1]})
-        around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-        ask = left.withColumn("__n", around)
-        ask = ask.withColumns({"__a": (F.floor(F.col(j) / width) + F.col("__n.a")).cast("int"), "__b": (F.floor(F.col(i) / width) + F.col("__n.b")).cast("int")})
-        d2 = F.pow(F.col(i) - F.col("__i"), 2) + F.pow(F.col(j) - F.col("__j"), 2)
-        got = ask.join(source, ["__a", "__b"]).groupBy(i, j).agg(F.min(F.struct(d2.alias("d"), "__j", "__i", "__v")).alias("s"))
-        got = got.where(F.col("s.d") <= width * width).select(i, j, F.col("s.__v").alias("__v"))
-        found = got if found is None else found.unionByName(got)
-        if width >= across:
-            break
-        left = written(left.join(got.select(i, j), [i, j], "left_anti"), "fill-left")
-        if left.isEmpty():
-            break
-        width *= 4
-    return df.join(found, [i, j], "left").withColumn(value, F.coalesce(F.col(value), F.col("__v"))).drop("__v")
+def fill_nearest(df: DataFrame, value: str, inside: str, i: str = "i", j: str = "j", keys: Sequence[str] = ()) -> DataFrame:
+    """Missing cells inside a mask take the value of the nearest cell of their
+    keys that has one (ties: lowest j, then i), however far: an exact distance
+    transform, linear in the cells. Of rows that share a cell the lowest value
+    is taken."""
+    df = written(df, "fill-cells")
+    at = [*keys, F.col(i).alias("i"), F.col(j).alias("j")]
+    want = df.where(F.col(value).isNull() & F.col(inside)).select(*at)
+    have = df.where(F.col(value).isNotNull()).select(*at, F.col(value).alias("__v")).groupBy(*keys, "i", "j").agg(F.min("__v").alias("__v"))
+    found = nearest_sources(want, have, keys)
+    found = found.join(have.withColumnsRenamed({"i": "source_i", "j": "source_j"}), [*keys, "source_i", "source_j"])
+    found = found.select(*keys, F.col("i").alias(i), F.col("j").alias(j), "__v")
+    filled = F.when(F.col(value).isNull() & F.col(inside), F.col("__v")).otherwise(F.col(value))
+    return df.join(found, [*keys, i, j], "left").withColumn(value, filled).drop("__v")
 
 
 def fill_linear(df: DataFrame, value: str, inside: str, i: str = "i", j: str = "j") -> DataFrame:
     """Missing cells inside a mask from the nearest cells that have a value left,
-    right, below and above, weighted by inverse distance."""
+    right, below and above, weighted by inverse distance; the rest, whose row and
+    column have none, from the nearest cell that has a value or got one so."""
     num, den = F.lit(0.0), F.lit(0.0)
     out = df
     for n, (by, along) in enumerate(((j, i), (i, j))):
@@ -323,6 +308,4 @@ def fill_linear(df: DataFrame, value: str, inside: str, i: str = "i", j: str = "
             weight = F.when(F.col(name).isNotNull(), 1 / F.abs(F.col(along) - F.col(f"{name}.at"))).otherwise(0.0)
             num, den = num + weight * F.coalesce(F.col(f"{name}.v"), F.lit(0.0)), den + weight
     filled = F.when(F.col(value).isNull() & F.col(inside) & (den > 0), num / den).otherwise(F.col(value))
-    return out.withColumn(value, filled).drop("__00", "__01", "__10", "__11")
-
-
+    return fill_nearest(out.withColumn(value, filled).drop("__00", "__01", "__10", "__11"), value, inside, i, j)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.components import connected_components
 from gridspark.operators.fill import fill_nearest
-from gridspark.operators.regrid import nearest_point, point_in_polygon
+from gridspark.operators.distance import nearest_sources
+from gridspark.operators.regrid import point_in_polygon
 from gridspark.sources.staging import written
 
 FOUR = ((0, 1), (1, 0), (0, -1), (-1, 0))
@@ -155,10 +156,12 @@ def nearest_to_triples(triples: DataFrame, breaks: DataFrame) -> DataFrame:
     """Of each triple point (i, j, low, high; its centre is half a cell on) the
     nearest shelf-break cell break_i, break_j and its distance in cells (ties:
     lowest j, then i)."""
-    t = triples.select("i", "j", "low", "high", F.struct("j", "i").alias("tp"), (F.col("j") + 0.5).alias("__y"), (F.col("i") + 0.5).alias("__x"))
-    b = breaks.select(F.col("j").cast("double").alias("__y"), F.col("i").cast("double").alias("__x"), F.struct(F.col("j").alias("bj"), F.col("i").alias("bi")).alias("cell"), F.col("j").alias("bj"), F.col("i").alias("bi"))
-    found = nearest_point(b, t, "tp", "__y", "__x", "cell", ["bj", "bi"], metric="line", distance="distance")
-    return t.join(found, "tp").select("i", "j", "low", "high", F.col("cell.bi").alias("break_i"), F.col("cell.bj").alias("break_j"), "distance")
+    twice = lambda c, more: (2 * F.col(c).cast("long") + more).alias(c)  # noqa: E731  centres become whole
+    found = nearest_sources(triples.select(twice("i", 1), twice("j", 1)), breaks.select(twice("i", 0), twice("j", 0)))
+    kinds = dict(breaks.dtypes)
+    half = lambda c, x: F.expr(f"{c} div 2").cast(kinds[x])
+    found = found.select(((F.col("i") - 1) / 2).cast("long").alias("i"), ((F.col("j") - 1) / 2).cast("long").alias("j"), half("source_i", "i").alias("break_i"), half("source_j", "j").alias("break_j"), (F.sqrt("d2") / 2).alias("distance"))
+    return triples.join(found, ["i", "j"]).select("i", "j", "low", "high", "break_i", "break_j", "distance")
 
 
 def best_per_pair(nearest: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon
         ask = ask.withColumns({f"__{n}": F.floor(F.col(x) / width) + F.col(f"__n.{n}") for n, x in (("a", "__lat"), ("b", "__lon"))})
         source = c.withColumns({f"__{n}": F.floor(F.col(x) / width) for n, x in (("a", lat), ("b", lon))})
         got = ask.join(source, ["__a", "__b"]).groupBy(point).agg(F.min(F.struct(d.alias("d"), *order, label)).alias("s"))
-        got = got.where(F.col("s.d") <= width).select(point, F.col(f"s.{label}").alias(label), *own)
+        got = written(got.where(F.col("s.d") <= width).select(point, F.col(f"s.{label}").alias(label), *own), "nearest-found")
         found = got if found is None else found.unionByName(got)
         if width >= across:
             return found

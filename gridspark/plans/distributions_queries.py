@@ -143,7 +143,7 @@ def i2(spark, d):
     return fill.fill_horizontal(_slabs(spark, d), ["variable", "time", "k"], ["value", "spread"], missing_above=9500.0, **ROUNDS)
 
 
-@query("i11_nearest_fill", sql("cells", ", h AS (SELECT i, j, v_holes AS x FROM cells WHERE v_holes IS NOT NULL), r AS (SELECT c.i, c.j, h.x, row_number() OVER (PARTITION BY c.i, c.j ORDER BY pow(c.i - h.i, 2) + pow(c.j - h.j, 2), h.j, h.i) AS n FROM cells c, h WHERE c.v_holes IS NULL AND c.ice_frac < 0.5 AND abs(c.i - h.i) < 12 AND abs(c.j - h.j) < 12) SELECT c.i, c.j, coalesce(c.v_holes, r.x) AS v FROM cells c LEFT JOIN r ON r.i = c.i AND r.j = c.j AND r.n = 1"))
+@query("i11_nearest_fill", sql("cells", ", h AS (SELECT i, j, v_holes AS x FROM cells WHERE v_holes IS NOT NULL), r AS (SELECT c.i, c.j, h.x, row_number() OVER (PARTITION BY c.i, c.j ORDER BY pow(c.i - h.i, 2) + pow(c.j - h.j, 2), h.j, h.i) AS n FROM cells c, h WHERE c.v_holes IS NULL AND c.ice_frac < 0.5) SELECT c.i, c.j, coalesce(c.v_holes, r.x) AS v FROM cells c LEFT JOIN r ON r.i = c.i AND r.j = c.j AND r.n = 1"))
 def i11(spark, d):
     c = cells(spark, d).select("i", "j", F.col("v_holes").alias("v"), (F.col("ice_frac") < 0.5).alias("inside"))
     return fill.fill_nearest(c, "v", "inside").select("i", "j", "v")
@@ -154,8 +154,10 @@ def i11(spark, d):
   last_value(CASE WHEN v_holes IS NOT NULL THEN {'v': v_holes, 'a': j} END IGNORE NULLS) OVER (PARTITION BY i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS u,
   last_value(CASE WHEN v_holes IS NOT NULL THEN {'v': v_holes, 'a': j} END IGNORE NULLS) OVER (PARTITION BY i ORDER BY j DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS o FROM cells),
 x AS (SELECT i, j, v_holes, ice_frac, coalesce(l.v / abs(i - l.a), 0) + coalesce(r.v / abs(i - r.a), 0) + coalesce(u.v / abs(j - u.a), 0) + coalesce(o.v / abs(j - o.a), 0) AS num,
-  coalesce(1.0::DOUBLE / abs(i - l.a), 0) + coalesce(1.0::DOUBLE / abs(i - r.a), 0) + coalesce(1.0::DOUBLE / abs(j - u.a), 0) + coalesce(1.0::DOUBLE / abs(j - o.a), 0) AS den FROM w)
-SELECT i, j, round(CASE WHEN v_holes IS NULL AND ice_frac < 0.5 AND den > 0 THEN num / den ELSE v_holes END, 4) AS v FROM x"""))
+  coalesce(1.0::DOUBLE / abs(i - l.a), 0) + coalesce(1.0::DOUBLE / abs(i - r.a), 0) + coalesce(1.0::DOUBLE / abs(j - u.a), 0) + coalesce(1.0::DOUBLE / abs(j - o.a), 0) AS den FROM w),
+f AS (SELECT i, j, ice_frac, CASE WHEN v_holes IS NULL AND ice_frac < 0.5 AND den > 0 THEN num / den ELSE v_holes END AS v FROM x),
+r AS (SELECT a.i, a.j, b.v, row_number() OVER (PARTITION BY a.i, a.j ORDER BY pow(a.i - b.i, 2) + pow(a.j - b.j, 2), b.j, b.i) AS n FROM f a, f b WHERE a.v IS NULL AND a.ice_frac < 0.5 AND b.v IS NOT NULL)
+SELECT f.i, f.j, round(coalesce(f.v, r.v), 4) AS v FROM f LEFT JOIN r ON r.i = f.i AND r.j = f.j AND r.n = 1"""))
 def i12(spark, d):
     c = cells(spark, d).select("i", "j", F.col("v_holes").alias("v"), (F.col("ice_frac") < 0.5).alias("inside"))
     return fill.fill_linear(c, "v", "inside").select("i", "j", F.round("v", 4).alias("v"))

@@ -63,7 +63,7 @@ def i4(spark, d):
     return L.make_contiguous(g, "label")
 
 
-NEAREST = ", s AS (SELECT i, j, label FROM label_grid WHERE label >= 0), q AS (SELECT a.i, a.j, s.label, row_number() OVER (PARTITION BY a.i, a.j ORDER BY pow(a.i - s.i, 2) + pow(a.j - s.j, 2), s.j, s.i) AS n FROM label_grid a, s WHERE a.label < 0 AND abs(a.i - s.i) < 10 AND abs(a.j - s.j) < 10)"
+NEAREST = ", s AS (SELECT i, j, label FROM label_grid WHERE label >= 0), q AS (SELECT a.i, a.j, s.label, row_number() OVER (PARTITION BY a.i, a.j ORDER BY pow(a.i - s.i, 2) + pow(a.j - s.j, 2), s.j, s.i) AS n FROM label_grid a, s WHERE a.label < 0)"
 
 
 @query("i5_extend_nearest", sql("label_grid", NEAREST + " SELECT a.i, a.j, CASE WHEN a.label >= 0 THEN a.label ELSE coalesce(q.label, -1) END AS label FROM label_grid a LEFT JOIN q ON q.i = a.i AND q.j = a.j AND q.n = 1"))
@@ -90,7 +90,7 @@ def i7(spark, d):
     return L.shelf_break(c.where("v <= 5000"), c.where("v > 9000"))
 
 
-@query("i8_extrude_labels", sql("cells", ", s AS (SELECT i, j, zone AS label FROM cells WHERE v > 8000), q AS (SELECT a.i, a.j, s.label, row_number() OVER (PARTITION BY a.i, a.j ORDER BY pow(a.i - s.i, 2) + pow(a.j - s.j, 2), s.j, s.i) AS n FROM cells a, s WHERE abs(a.i - s.i) < 20 AND abs(a.j - s.j) < 20) SELECT i, j, label FROM q WHERE n = 1"))
+@query("i8_extrude_labels", sql("cells", ", s AS (SELECT i, j, zone AS label FROM cells WHERE v > 8000), q AS (SELECT a.i, a.j, s.label, row_number() OVER (PARTITION BY a.i, a.j ORDER BY pow(a.i - s.i, 2) + pow(a.j - s.j, 2), s.j, s.i) AS n FROM cells a, s) SELECT i, j, label FROM q WHERE n = 1"))
 def i8(spark, d):
     c = cells(spark, d)
     return L.extrude_labels(c, c.where("v > 8000").select("i", "j", F.col("zone").alias("label")), "label")
