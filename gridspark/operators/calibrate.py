@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.operators.distributions import percentiles
+from gridspark.operators.distributions import medians, percentiles
 from gridspark.sources.bounded import join_bounded
 from gridspark.sources.staging import written
 
@@ -216,7 +216,7 @@ def incomplete_members(optima: DataFrame, keys: Sequence[str], value: str) -> Da
 def member_weights(df: DataFrame, key: str, value: str) -> DataFrame:
     """Weights by key: the median over the median of all."""
     whole = percentiles(df, value, [0.5]).select(F.get("p", F.lit(0)).alias("__m"))
-    return df.groupBy(key).agg(F.median(value).alias("median")).crossJoin(F.broadcast(whole)).select(key, (F.col("median") / F.col("__m")).alias("weight"))  # one row by construction
+    return medians(df, [key], value).crossJoin(F.broadcast(whole)).select(key, (F.col("median") / F.col("__m")).alias("weight"))  # one row by construction
 
 
 def region_weights(df: DataFrame, keys: Sequence[str], counts: Column) -> DataFrame:

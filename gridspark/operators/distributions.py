@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.ordering import global_cumsum
 from gridspark.sources.bounded import join_bounded
+from gridspark.sources.staging import written
 
 
 def cell_volume(value: Column, dz: float, dy: float, dx: float) -> Column:
@@ -16,26 +17,81 @@ def cell_volume(value: Column, dz: float, dy: float, dx: float) -> Column:
     return F.when(value.isNull(), 0.0).otherwise(dz * dy * dx)
 
 
-def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, weight: str, q: float, out: str = "p", buckets: int = 1024) -> DataFrame:
+#: Distinct values of a key that one task may put in order, and splitters a round.
+MOST_ORDERED, SPLITTERS = 100_000, 63
+
+
+def narrowed(sums: DataFrame, keys: Sequence[str], value: str, most: int = MOST_ORDERED) -> DataFrame:
+    """Distributed selection. sums has, per key, distinct values with their weight
+    __w, and __need, the cumulated weight that is looked for. Of each key at most
+    `most` values are left, among them the first at which the weight cumulated
+    in order reaches __need; __before is the weight of all values below them.
+
+    Each round asks every key that has more values for splitters at even ranks
+    (a mergeable sketch), sums the weights between them with map-side combining,
+    and keeps the stretch in which __need is reached. Splitters follow the ranks,
+    so that outliers don't matter and a round leaves about one value in 64.
+    Rounds are written; the driver sees whether a key is left.
+    """
+    keys = list(keys)
+    rows, parts = sums.withColumn("__before", F.lit(0.0)), []
+    ranks = [(k + 1) / (SPLITTERS + 1) for k in range(SPLITTERS)]
+    while True:
+        many = rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.percentile_approx(value, ranks, 10_000).alias("__s")).where(F.col("__n") > most)
+        many = written(many.select(*keys, "__s"), "percentile-splitters")
+        if many.isEmpty():
+            break
+        parts.append(rows.join(many, keys, "left_anti"))
+        j = join_bounded(rows, many, keys).withColumn("__b", F.size(F.filter("__s", lambda x: x < F.col(value)))).drop("__s")
+        h = j.groupBy(*keys, "__b").agg(F.sum("__w").alias("__h"), F.first("__need").alias("__need"), F.first("__before").alias("__low"))
+        upto = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+        h = h.withColumn("__c", F.col("__low") + F.sum("__h").over(upto)).where(F.col("__c") >= F.col("__need"))
+        at = written(h.groupBy(*keys).agg(F.min(F.struct("__b", (F.col("__c") - F.col("__h")).alias("before"))).alias("__at")), "percentile-stretch")
+        rows = join_bounded(j, at, keys).where(F.col("__b") == F.col("__at.__b"))
+        rows = written(rows.select(*keys, value, "__w", "__need", F.col("__at.before").alias("__before")), "percentile-values")
+    for part in parts:
+        rows = rows.unionByName(part)
+    return rows
+
+
+def _reached(d: DataFrame, keys: Sequence[str], value: str, needs: Callable[[Column], Column], most: int) -> DataFrame:
+    """(keys, __need, value): per key and each weight that needs() makes of its
+    total, the least value at which the weight cumulated in order reaches it."""
+    if d.limit(most + 1).count() <= most:  # no key has more: totals and order in one pass
+        total = F.sum("__w").over(Window.partitionBy(*keys))
+        k = d.withColumn("__all", needs(total)).select(*keys, value, "__w", F.explode("__all").alias("__need"), F.lit(0.0).alias("__before"))
+    else:
+        n = written(d.groupBy(*keys).agg(F.sum("__w").alias("__n")), "percentile-needs")
+        n = n.select(*keys, F.explode(needs(F.col("__n"))).alias("__need"))
+        both = join_bounded(d, n, list(keys)).withColumn("__side", F.col("__need"))
+        k = narrowed(both, [*keys, "__side"], value, most).drop("__side")
+    upto = Window.partitionBy(*keys, "__need").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    k = k.withColumn("__c", F.col("__before") + F.sum("__w").over(upto)).where(F.col("__c") >= F.col("__need"))
+    return k.groupBy(*keys, "__need").agg(F.min(value).alias(value))
+
+
+def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, weight: str, q: float, out: str = "p", most: int = MOST_ORDERED) -> DataFrame:
     """Inverted-CDF percentile: the least value whose cumulated weight reaches q
     of the total.
 
-    Exact in two passes, however large a group is: weights are summed to distinct
-    values (with map-side combining) and to `buckets` equal ranges of each key;
-    the cumulated ranges tell the one that holds the percentile, and only its
-    values are put in order.
+    Exact, however large a group is and whatever its values are: weights are
+    summed to distinct values (with map-side combining), which are narrowed() to
+    at most `most` a key before they are put in order. Rows whose key is null
+    are left out.
     """
-    d = df.where(F.col(value).isNotNull() & (F.col(weight) > 0)).groupBy(*keys, value).agg(F.sum(weight).alias("__w"))
-    lim = d.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), (F.sum("__w") * (q * (1 - 1e-12))).alias("__need"))
-    j = d.join(lim, list(keys)).withColumn("__b", equal_bin(F.col(value), F.col("__lo"), F.col("__hi"), buckets))
-    h = j.groupBy(*keys, "__b").agg(F.sum("__w").alias("__h"), F.first("__need").alias("__need"))
-    upto = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("__c", F.sum("__h").over(upto)).where(F.col("__c") >= F.col("__need"))
-    at = h.groupBy(*keys).agg(F.min(F.struct("__b", (F.col("__c") - F.col("__h")).alias("before"))).alias("__at"))
-    k = j.join(at, list(keys)).where(F.col("__b") == F.col("__at.__b"))
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    k = k.withColumn("__c", F.col("__at.before") + F.sum("__w").over(w))
-    return k.where(F.col("__c") >= F.col("__need")).groupBy(*keys).agg(F.min(value).alias(out))
+    d = df.where(F.col(value).isNotNull() & (F.col(weight) > 0)).na.drop(subset=list(keys)).groupBy(*keys, value).agg(F.sum(weight).cast("double").alias("__w"))
+    found = _reached(written(d, "percentile-values"), keys, value, lambda n: F.array(n * (q * (1 - 1e-12))), most)
+    return found.select(*keys, F.col(value).alias(out))
+
+
+def medians(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", most: int = MOST_ORDERED) -> DataFrame:
+    """Medians by key, halfway between the two values in the middle; a group's
+    values meet in no task and no aggregation buffer. Keys without values and
+    rows whose key is null are left out."""
+    d = df.where(F.col(value).isNotNull()).na.drop(subset=list(keys)).groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count("*").cast("double").alias("__w"))
+    # the two middle ranks from 1: floor and ceiling of (n + 1) / 2
+    middle = lambda n: F.array_distinct(F.array(*[f((n + 1) / 2).cast("double") for f in (F.floor, F.ceil)]))
+    return _reached(written(d, "median-values"), keys, "__v", middle, most).groupBy(*keys).agg(F.avg("__v").alias(out))
 
 
 def percentiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:

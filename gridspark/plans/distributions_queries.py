@@ -93,7 +93,8 @@ def a22(spark, d):
 @query("a23_quantile_bins", f"WITH e AS (SELECT quantile_cont(p_retailprice, [{', '.join(repr(k / 9) for k in range(1, 9))}]) AS e FROM part WHERE p_retailprice > 0), b AS (SELECT p_retailprice AS v, 1 + (SELECT count(*) FROM (SELECT unnest(e) AS x) WHERE x < p_retailprice) AS bin FROM part, e WHERE p_retailprice > 0) SELECT CAST(bin AS INT) AS bin, count(*) AS n, round(median(v), 6) AS median FROM b GROUP BY 1")
 def a23(spark, d):
     p = D.quantile_bins(table(spark, d, "part").select(F.col("p_retailprice").alias("v")), "v", 9)
-    return p.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.median("v"), 6).alias("median"))
+    n = p.groupBy("bin").agg(F.count("*").alias("n"))
+    return n.join(D.medians(p, ["bin"], "v"), "bin").select("bin", "n", F.round("median", 6).alias("median"))
 
 
 #: Rounds of means over the filled bins among the eight neighbours.
