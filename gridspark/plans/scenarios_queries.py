@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from gridspark.operators import fill, freezing, scenarios, vertical
 from gridspark.plans.registry import query
-from gridspark.plans.views import cells, profiles, sql, table
-from gridspark.sources import incremental
+from gridspark.plans.views import cells, profiles, series, sql, table
+from gridspark.sources import incremental, tables
 from gridspark.sources.staging import new_path
+from gridspark.streaming import annual
 
 
 @query("b5_uniform_offsets", sql("cells", "SELECT i, j, o AS scenario, v_holes + o AS v FROM cells, (VALUES (0.5::DOUBLE), (1), (2), (4)) t(o)"))
@@ -106,3 +109,29 @@ def s2(spark, d):
     o = table(spark, d, "orders").withColumn("yr", F.year("o_orderdate"))
     o.repartition("yr").write.partitionBy("yr").parquet(path)
     return spark.read.parquet(path).where("yr >= 1996").groupBy("yr").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("s2_combined_by_time", "SELECT o_orderkey, CAST(date_diff('day', DATE '1850-01-01', CAST(o_orderdate AS DATE)) AS INT) AS time, o_totalprice AS value FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1994-03-01' AND DATE '1996-10-31'")
+def s2_combined(spark, d):
+    """Files a year long, which must follow each other by a month at most; those
+    outside the range are not opened."""
+    path = new_path(spark, "orders-time")
+    time = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1850-01-01").cast("date"))
+    o = table(spark, d, "orders").select("o_orderkey", time.alias("time"), F.col("o_totalprice").alias("value"), F.year("o_orderdate").alias("yr"))
+    o.repartition("yr").write.partitionBy("yr").parquet(path)
+    files = [r.file for r in tables.with_lineage(spark.read.parquet(path)).select("file").distinct().collect()]  # a file a year
+    first, last = ((date(y, m, day) - date(1850, 1, 1)).days for y, m, day in ((1994, 3, 1), (1996, 10, 31)))
+    return tables.combine(spark, files, "time", 31, first, last, f"{path}-manifest").select("o_orderkey", "time", "value")
+
+
+@query("s6_years_from_a_stream", sql("series", "SELECT cell, flag, yr, round(sum(coalesce(v, 0) * dim) / sum(dim), 9) AS mean FROM series GROUP BY 1, 2, 3 HAVING count(DISTINCT mon) = 12"))
+def s6_years(spark, d):
+    """Months come in files of a month of all years, the last file twice; each
+    year is written by the batch that completes it."""
+    source, target, state = (new_path(spark, f"months-{n}") for n in ("in", "out", "state"))
+    months = series(spark, d)
+    months.repartition("mon").write.partitionBy("mon").parquet(source)
+    months.where("mon = 12").withColumn("mon", F.lit(12)).coalesce(1).write.mode("append").partitionBy("mon").parquet(source)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in months.schema)
+    annual.annual_stream(spark, source, schema, target, state, ["cell", "flag"], "v", "dim", "yr", "mon", files=5).awaitTermination()
+    return spark.read.parquet(target).select("cell", "flag", "yr", F.round("mean", 9).alias("mean"))

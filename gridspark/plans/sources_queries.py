@@ -80,3 +80,13 @@ def s9(spark, d):
     line = F.concat(F.lit(" "), F.concat_ws("   ", "c_custkey", "c_nationkey", "c_acctbal"))
     table(spark, d, "customer").select(line.alias("id   nation balance")).write.csv(path, sep="\x01", quote="", header=True)
     return tables.read_delimited(spark, path, "id long, nation int, balance double")
+
+
+@query("s7_published_by_pointer", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def s7_pointer(spark, d):
+    """Published by a pointer that one writer alone can create."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = incremental.published_path(new_path(spark, "pointed"), "price", "model", "past", "v1", 1992, 1998)
+    if not incremental.publish_version(o, path) or incremental.publish_version(o.limit(0), path):
+        raise ValueError("published twice")
+    return incremental.read_published(spark, path)

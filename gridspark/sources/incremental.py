@@ -58,6 +58,48 @@ def publish(df: DataFrame, path: str) -> bool:
     return True
 
 
+#: The file of a published table that names the folder of its data.
+POINTER = "_published"
+
+
+def publish_version(df: DataFrame, path: str) -> bool:
+    """Publish where a rename may be a copy: df is written to a folder of its own
+    under path, then a pointer to it is created, which only one of any number
+    of writers can. False, leaving nothing, if the table is there already or
+    another writer is first. Readers use read_published() and see no table or a
+    whole one; data of a writer that died is never pointed to."""
+    spark = df.sparkSession
+    if exists(spark, f"{path}/{POINTER}"):
+        return False
+    own = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{own}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    try:
+        out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, False)  # never replaces
+    except Exception:
+        forget(spark, f"{path}/{own}")
+        if not exists(spark, f"{path}/{POINTER}"):
+            raise
+        return False
+    out.write(bytearray(f"{own}\n".encode()))
+    out.close()
+    return True
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The table published at path. A pointer without its line end is one whose
+    writer is not done: as if nothing were published."""
+    if exists(spark, f"{path}/{POINTER}"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        source = fs.open(p)
+        line = bytes(source.readNBytes(256)).decode()
+        source.close()
+        if line.endswith("\n"):
+            return spark.read.parquet(f"{path}/{line.strip()}")
+    raise FileNotFoundError(f"nothing is published at {path}")
+
+
 def write_selected(df: DataFrame, path: str, variables: Sequence[str], coords: Sequence[str], compression: str = "zstd") -> None:
     """The variables as float, with their coordinates."""
     df.select(*coords, *[F.col(v).cast("float").alias(v) for v in variables]).write.option("compression", compression).parquet(path)
