@@ -77,27 +77,61 @@ def largest_component(df: DataFrame, label: str, **how) -> DataFrame:
     return c.join(best, [label, "component"], "left_semi")
 
 
+def adjacency(c: DataFrame, eight: bool = False) -> DataFrame:
+    """(a, b, w) of components of cells that touch, both ways: w is the number of
+    pairs of cells, one of each, that share an edge (0: corners only)."""
+    steps = [(FOUR, 1), (EIGHT[4:], 0)] if eight else [(FOUR, 1)]
+    own = c.where("component is not null").select("i", "j", F.col("component").alias("a"))
+    pairs = None
+    for offsets, w in steps:
+        ring = neighbours(c.where("component is not null"), offsets, ["component"])
+        met = own.join(ring, ["i", "j"]).where("a <> n_component").groupBy("a", F.col("n_component").alias("b")).agg(F.sum(F.lit(w)).alias("w"))
+        pairs = met if pairs is None else pairs.unionByName(met)
+    return pairs.groupBy("a", "b").agg(F.sum("w").alias("w")) if eight else pairs
+
+
 def make_contiguous(df: DataFrame, label: str, rounds: int = 8, **how) -> DataFrame:
     """Islands, all but each label's largest component, take the label that most
     of their neighbouring cells have (ties: the lowest); up to `rounds` times,
-    then an error if islands are left. Negative labels are unlabelled cells."""
+    then an error if islands are left. Negative labels are unlabelled cells.
+
+    Cells are labelled once. An island moves as a whole, so that the rounds run
+    on components: their labels, sizes and lengths of common borders. After a
+    round only links of islands that moved are looked at, groups that these join
+    become one, and the tables shrink; the cells get their labels at the end.
+    """
     cells = df.select("i", "j", F.when(F.col(label) >= 0, F.col(label)).alias(label))
-    for _ in range(rounds):
-        c = written(components(cells, label, **how), "contiguity")
-        best = c.where("component is not null").groupBy(label, "component").count().groupBy(label)
-        best = best.agg(F.max_by("component", F.struct("count", -F.col("component"))).alias("__main"))
-        c = c.join(best, label, "left")
-        island = F.col("component").isNotNull() & (F.col("component") != F.col("__main"))
-        if c.where(island).isEmpty():
-            return c.select("i", "j", F.coalesce(label, F.lit(-1)).alias(label))
-        ring = neighbours(c, FOUR, [label, "component"]).where("n_component is not null")
-        votes = c.where(island).select("i", "j", "component").join(ring, ["i", "j"]).where("n_component <> component")
-        votes = votes.groupBy("component", f"n_{label}").count().groupBy("component")
-        votes = votes.agg(F.max_by(f"n_{label}", F.struct("count", -F.col(f"n_{label}"))).alias("__to"))
-        cells = written(c.join(votes, "component", "left").select("i", "j", F.when(island, F.coalesce("__to", label)).otherwise(F.col(label)).alias(label)), "contiguity")
-    if not component_stats(cells, label, **how).where("n_components > 1").isEmpty():
-        raise ValueError("islands are left")
-    return cells.select("i", "j", F.coalesce(label, F.lit(-1)).alias(label))
+    c = written(components(cells, label, **how), "contiguity")
+    known = c.where("component is not null")
+    nodes = written(known.groupBy(F.col("component").alias("g")).agg(F.first(label).alias("l"), F.count("*").alias("n")), "contiguity-nodes")
+    edges = written(adjacency(c, how.get("eight", False)), "contiguity-edges")
+    names = nodes.select(F.col("g").alias("component"), "g")
+
+    def islands() -> DataFrame:
+        best = nodes.groupBy("l").agg(F.max_by("g", F.struct("n", -F.col("g"))).alias("main"))
+        return nodes.join(best, "l").where("g <> main").select("g")
+
+    for k in range(rounds + 1):
+        left = written(islands(), "contiguity-islands")
+        if left.isEmpty():
+            break
+        if k == rounds:
+            raise ValueError("islands are left")
+        ring = edges.where("w > 0").join(left.withColumnRenamed("g", "a"), "a").join(nodes.select(F.col("g").alias("b"), F.col("l").alias("to")), "b")
+        votes = ring.groupBy("a", "to").agg(F.sum("w").alias("w")).groupBy("a").agg(F.max_by("to", F.struct("w", -F.col("to"))).alias("to"))
+        moved = written(votes, "contiguity-moved")
+        now = written(nodes.join(moved.withColumnRenamed("a", "g"), "g", "left").select("g", F.coalesce("to", "l").alias("l"), "n"), "contiguity-nodes")
+        near = edges.join(moved.withColumnRenamed("to", "la"), "a").join(now.select(F.col("g").alias("b"), F.col("l").alias("lb")), "b")
+        comp = connected_components(near.where("la = lb").select("a", "b"), "contiguity-joined")
+        comp = written(comp.withColumnsRenamed({"node": "g", "component": "into"}), "contiguity-into")
+        to = F.coalesce("into", "g").alias("g")
+        nodes = written(now.join(comp, "g", "left").select(to, "l", "n").groupBy("g").agg(F.first("l").alias("l"), F.sum("n").alias("n")), "contiguity-nodes")
+        names = written(names.join(comp, "g", "left").select("component", to), "contiguity-names")
+        ends = [comp.select(F.col("g").alias(x), F.col("into").alias(f"into_{x}")) for x in "ab"]
+        both = edges.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("into_a", "a").alias("a"), F.coalesce("into_b", "b").alias("b"), "w")
+        edges = written(both.where("a <> b").groupBy("a", "b").agg(F.sum("w").alias("w")), "contiguity-edges")
+    found = names.join(nodes.select("g", F.col("l").alias("__to")), "g").select("component", "__to")
+    return c.join(found, "component", "left").select("i", "j", F.coalesce("__to", F.lit(-1)).cast(df.schema[label].dataType).alias(label))
 
 
 def extend_nearest(df: DataFrame, label: str) -> DataFrame:
