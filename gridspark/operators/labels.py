@@ -162,9 +162,11 @@ def shelf_break(shelf: DataFrame, deep: DataFrame) -> DataFrame:
 
 
 def extrude_labels(cells: DataFrame, sources: DataFrame, label: str) -> DataFrame:
-    """Cells without a label take that of the nearest source cell."""
-    both = cells.select("i", "j").join(sources.select("i", "j", label), ["i", "j"], "left").withColumn("__in", F.lit(True))
-    return fill_nearest(both, label, "__in").select("i", "j", label)
+    """Cells take the label of the nearest source cell (ties: lowest j, then i),
+    whether that is among them or not."""
+    have = written(sources.groupBy("i", "j").agg(F.min(label).alias(label)), "label-sources")
+    found = nearest_sources(cells, have).join(have.withColumnsRenamed({"i": "source_i", "j": "source_j"}), ["source_i", "source_j"])
+    return cells.select("i", "j").join(found.select("i", "j", label), ["i", "j"], "left")
 
 
 def fill_bounded(df: DataFrame, label: str, wall: str) -> DataFrame:
