@@ -74,12 +74,17 @@ def replace_region(field: DataFrame, observed: DataFrame, keys: Sequence[str], r
     return field.join(obs, [*keys, region], "left").withColumn(value, F.coalesce("__obs", value)).drop("__obs")
 
 
-def extrapolate(df: DataFrame, keys: Sequence[str], level: str, value: str, ice: str, threshold: float, rounds: tuple[int, int, int], source: Sequence[tuple[float, float]], target: Sequence[tuple[float, float]], **how) -> DataFrame:
+def extrapolate(df: DataFrame, keys: Sequence[str], level: str, value: str, ice: str, threshold: float, rounds: tuple[int, int, int], source: Sequence[tuple[float, float]], target: Sequence[tuple[float, float]], size: int | None = None, **how) -> DataFrame:
     """Gap fill end to end: ice mask, horizontal fill by slab (with how), fill
     downward, and conservative resampling from the intervals of the fine levels
-    (1, 2, ...) to those of the target levels."""
+    (1, 2, ...) to those of the target levels. A climatology without time has no
+    keys. size: slabs may be larger than a task holds and are filled by tiles of
+    so many cells."""
     masked = df.withColumn(value, masks.under_ice(F.col(value), F.col(ice), threshold))
-    flat = fill.fill_horizontal(masked, [*keys, level], [value], rounds, level=level, **how)
+    if size is None:
+        flat = fill.fill_horizontal(masked, [*keys, level], [value], rounds, level=level, **how)
+    else:
+        flat = fill.fill_tiled(masked, [*keys, level], [value], rounds, level=level, size=size, step=min(40, size // 3), **how)
     down = vertical.fill_down(flat, [*keys, "j", "i"], level, [value])
     spark = df.sparkSession
     weights = vertical.weights_table(spark, vertical.overlap_weights(source, target))

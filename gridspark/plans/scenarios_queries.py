@@ -81,16 +81,30 @@ def b10(spark, d):
     return vertical.level_bounds(quality_mask(p, "v", ["mse"], 40.0), ["cell"], "z", "k").select("cell", "k", "v", "z_lo", "z_hi")
 
 
+FILL = {"zone_rounds": (fill.FIRST_ROUNDS, fill.SECOND_ROUNDS), "level_rounds": fill.LAST_ROUNDS}
+FINE, COARSE = [(0.0, 20.0), (20.0, 40.0), (40.0, 60.0)], [(0.0, 30.0), (30.0, 60.0)]
+
+
+def _levels(spark, d):
+    """Three levels of the field with holes, the lowest one empty."""
+    c = cells(spark, d).select("i", "j", "zone", "ice_frac", "v_holes", (F.col("ice_frac") < 0.5).alias("inside"), (F.col("v") > 0).alias("open"))
+    return c.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))).withColumn("value", F.when(F.col("k") < 3, F.col("v_holes") / F.col("k")))
+
+
 @query("b11_extrapolation")
 def b11(spark, d):
-    c = cells(spark, d).select("i", "j", "zone", "ice_frac", "v_holes", (F.col("ice_frac") < 0.5).alias("inside"), (F.col("v") > 0).alias("open"))
-    rows = c.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))).withColumn("value", F.when(F.col("k") < 3, F.col("v_holes") / F.col("k")))
-    rows = rows.withColumns({"time": F.floor(F.col("j") / 40).cast("int"), "j": F.col("j") % 40})
-    fine, coarse = [(0.0, 20.0), (20.0, 40.0), (40.0, 60.0)], [(0.0, 30.0), (30.0, 60.0)]
-    out = scenarios.extrapolate(rows, ["time"], "k", "value", "ice_frac", 0.5, (20, 120, 5), fine, coarse, zone_rounds=(fill.FIRST_ROUNDS, fill.SECOND_ROUNDS), level_rounds=fill.LAST_ROUNDS)
+    rows = _levels(spark, d).withColumns({"time": F.floor(F.col("j") / 40).cast("int"), "j": F.col("j") % 40})
+    out = scenarios.extrapolate(rows, ["time"], "k", "value", "ice_frac", 0.5, (20, 120, 5), FINE, COARSE, **FILL)
     return out.select("time", "i", "j", "k", "value")
 
 
+@query("b11_climatology_fill")
+def b11_climatology(spark, d):
+    """Without time: one slab a level, as large as the table, filled by tiles."""
+    out = scenarios.extrapolate(_levels(spark, d), [], "k", "value", "ice_frac", 0.5, (20, 120, 5), FINE, COARSE, size=128, **FILL)
+    return out.select("i", "j", "k", "value")
+
+
 @query("s6_incremental_append", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def s6(spark, d):
     """Two overlapping batches of days; the second adds only what is new."""

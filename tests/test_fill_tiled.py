@@ -6,6 +6,8 @@ import random
 import pytest
 
 from gridspark.operators import fill
+from gridspark.plans import scenarios_queries
+from gridspark.plans.views import cells as cells_of
 
 #: Distances to neighbours and their weights, as fill.py gives them.
 WEIGHT = {d: w for (a, b), w in zip(fill.RINGS, fill.WEIGHTS) for d in ((a, b), (b, a))}
@@ -118,3 +120,37 @@ def test_tiles_far_and_empty(spark):
 def test_a_step_within_the_tile(spark, slabs):
     with pytest.raises(ValueError):
         fill.fill_tiled(table(spark, slabs), ["time", "k"], ["t"], size=5, step=2)
+
+
+@pytest.mark.parametrize("timed", [True, False])
+def test_extrapolation_by_hand(spark, data, timed):
+    """The registered pipelines: ice mask, horizontal fill, fill downward, and the
+    overlap of levels 20 deep with levels 30 deep."""
+    slabs = {}
+    for r in cells_of(spark, data).collect():
+        for k in (1, 2, 3):
+            v = None if k == 3 or r.v_holes is None or r.ice_frac > 0.5 else r.v_holes / k
+            place = (r.j % 40, r.i) if timed else (r.j, r.i)
+            slabs.setdefault((r.j // 40 if timed else 0, k), {})[place] = {"v": v, "zone": r.zone, "inside": r.ice_frac < 0.5, "open": r.v > 0}
+    first, second = fill.FIRST_ROUNDS, fill.SECOND_ROUNDS
+    flat = {}
+    for (t, k), cells in slabs.items():
+        own = [
+            (lambda c: c["inside"] and c["open"], True, lambda c: first.get(c["zone"], 20)),
+            (lambda c: c["inside"], True, lambda c: second.get(c["zone"], 120)),
+            (lambda c: True, False, lambda c: fill.LAST_ROUNDS.get(k, 5)),
+        ]
+        for (j, i), v in by_hand(cells, ["v"], own).items():
+            flat.setdefault((t, j, i), {})[k] = v[0]
+    want = {}
+    for cell, v in flat.items():
+        v[1] = v[1] if v[1] is not None else v[2]
+        v[2] = v[2] if v[2] is not None else v[1]
+        v[3] = v[3] if v[3] is not None else v[2]
+        for k, ((a, x), (b, y)) in {1: ((1, 20), (2, 10)), 2: ((2, 10), (3, 20))}.items():
+            some = [(v[n], w) for n, w in ((a, x), (b, y)) if v[n] is not None]
+            want[(*cell, k)] = sum(n * w for n, w in some) / sum(w for _, w in some) if some else None
+    query = scenarios_queries.b11 if timed else scenarios_queries.b11_climatology
+    got = {(r.time if timed else 0, r.j, r.i, r.k): r.value for r in query(spark, data).collect()}
+    assert same({k: (v,) for k, v in got.items()}, {k: (v,) for k, v in want.items()})
+    assert sum(v is not None for v in got.values()) > len(got) / 2
