@@ -78,13 +78,15 @@ def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon
         width *= 4
 
 
-def polygon_edges(rings: DataFrame, polygon: str, at: str, x: str, y: str) -> DataFrame:
+def polygon_edges(rings: DataFrame, polygon: str, at: str, x: str, y: str, level: bool = False) -> DataFrame:
     """(polygon, ax, ay, bx, by): the edges of closed rings given as one row per
-    vertex, in the order of `at`; level edges, which no ray crosses, are left out."""
+    vertex, in the order of `at`; level edges, which no ray crosses, are left out
+    unless asked for."""
     w = Window.partitionBy(polygon).orderBy(at)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     b = [F.coalesce(F.lead(c).over(w), F.first(c).over(whole)).alias(f"b{n}") for n, c in (("x", x), ("y", y))]
-    return rings.select(polygon, F.col(x).alias("ax"), F.col(y).alias("ay"), *b).where("ay <> by")
+    out = rings.select(polygon, F.col(x).alias("ax"), F.col(y).alias("ay"), *b)
+    return out if level else out.where("ay <> by")
 
 
 def points_in_polygons(points: DataFrame, x: str, y: str, key: Sequence[str], edges: DataFrame, polygon: str, band: float) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from gridspark.operators import regrid as R
-from gridspark.operators import scenarios, tiles
+from gridspark.operators import cover, scenarios, tiles
 from gridspark.plans.registry import query
 from gridspark.plans.views import cells, sql, table
 
@@ -102,20 +102,35 @@ def j13(spark, d):
 
 
 #: Rings of 24 vertices about points, one polygon per nation: the later one wins.
-@query("j13_polygon_table", """WITH v AS (SELECT n_nationkey AS poly, CAST(k AS INT) AS k, round((n_nationkey % 5) / 5.0 - 0.4 + (0.1 + 0.01 * n_nationkey) * cos(2 * pi() * k / 24), 9) AS x, round((n_nationkey // 5) / 5.0 - 0.4 + (0.1 + 0.01 * n_nationkey) * sin(2 * pi() * k / 24), 9) AS y FROM nation, range(0, 24) t(k)),
+RINGS = """WITH v AS (SELECT n_nationkey AS poly, CAST(k AS INT) AS k, round((n_nationkey % 5) / 5.0 - 0.4 + (0.1 + 0.01 * n_nationkey) * cos(2 * pi() * k / 24), 9) AS x, round((n_nationkey // 5) / 5.0 - 0.4 + (0.1 + 0.01 * n_nationkey) * sin(2 * pi() * k / 24), 9) AS y FROM nation, range(0, 24) t(k)),
 e AS (SELECT a.poly, a.x AS ax, a.y AS ay, b.x AS cx, b.y AS cy FROM v a JOIN v b ON b.poly = a.poly AND b.k = (a.k + 1) % 24),
 p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
 c AS (SELECT vec_id, poly FROM p, e WHERE ay <> cy AND (ay > y) <> (cy > y) AND x < ax + (y - ay) * (cx - ax) / (cy - ay) GROUP BY 1, 2 HAVING count(*) % 2 = 1)
-SELECT p.vec_id, max(poly) AS label FROM p LEFT JOIN c USING (vec_id) GROUP BY 1""")
-def j13_table(spark, d):
+SELECT p.vec_id, max(poly) AS label FROM p LEFT JOIN c USING (vec_id) GROUP BY 1"""
+
+
+def _rings(spark, d):
     n, turn = F.col("n_nationkey"), F.col("k") * (2 * math.pi / 24)
     v = table(spark, d, "nation").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(23))))
     far = 0.1 + 0.01 * n
     v = v.select(n.alias("poly"), "k", F.round(n % 5 / 5.0 - 0.4 + far * F.cos(turn), 9).alias("x"), F.round(F.floor(n / 5) / 5.0 - 0.4 + far * F.sin(turn), 9).alias("y"))
+    return v
+
+
+@query("j13_polygon_table", RINGS)
+def j13_table(spark, d):
+    v = _rings(spark, d)
     p = table(spark, d, "embeddings").select("vec_id", F.element_at("embedding", 1).cast("double").alias("x"), F.element_at("embedding", 2).cast("double").alias("y"))
     return R.points_in_polygons(p, "x", "y", ["vec_id"], R.polygon_edges(v, "poly", "k", "x", "y"), "poly", 0.05)
 
 
+@query("j13_hierarchical_cover", RINGS)
+def j13_cover(spark, d):
+    """The same by cells that hold few edges each."""
+    p = table(spark, d, "embeddings").select("vec_id", F.element_at("embedding", 1).cast("double").alias("x"), F.element_at("embedding", 2).cast("double").alias("y"))
+    return cover.points_by_cover(p, "x", "y", ["vec_id"], R.polygon_edges(_rings(spark, d), "poly", "k", "x", "y", level=True), "poly")
+
+
 @query("j17_periodic_wrap", sql("cells", "SELECT i, j, i * 9.0::DOUBLE AS lon, v FROM cells UNION ALL SELECT 40, j, 360, v FROM cells WHERE i = 0"))
 def j17(spark, d):
     c = cells(spark, d).select("i", "j", (F.col("i") * 9.0).alias("lon"), "v")
