@@ -144,7 +144,7 @@ def lookup_bin(value: Column, low: Column, high: Column, n: int) -> Column:
 
 def histogram_2d(df: DataFrame, key: str, s: str, t: str, weight: str, n: int) -> DataFrame:
     """Weighted counts in n x n equal bins between each key's extremes."""
-    j = join_bounded(df, ranges(df, [key], [s, t]), key)
+    j = join_bounded(df, written(ranges(df, [key], [s, t]), "ranges"), key)
     cols = [equal_bin(F.col(v), F.col(f"{v}_lo"), F.col(f"{v}_hi"), n).alias(f"{v}_bin") for v in (s, t)]
     return j.select(key, *cols, F.col(weight).alias("__w")).groupBy(key, f"{s}_bin", f"{t}_bin").agg(F.sum("__w").alias("weight"))
 
@@ -158,7 +158,7 @@ def histogram_edges(df: DataFrame, key: str, s: str, t: str, n: int) -> DataFram
 def state_delta(df: DataFrame, key: str, s: str, t: str, volume: str, delta: str, n: int) -> DataFrame:
     """Volume-weighted mean change of each bin of the reference state; a missing
     change makes its bin missing."""
-    j = join_bounded(df, ranges(df, [key], [s, t]), key)
+    j = join_bounded(df, written(ranges(df, [key], [s, t]), "ranges"), key)
     cols = [equal_bin(F.col(v), F.col(f"{v}_lo"), F.col(f"{v}_hi"), n).alias(f"{v}_bin") for v in (s, t)]
     g = j.select(key, *cols, F.col(volume).alias("__w"), F.col(delta).alias("__d")).groupBy(key, f"{s}_bin", f"{t}_bin")
     out = g.agg(F.sum(F.col("__w") * F.col("__d")).alias("__x"), F.sum("__w").alias("__t"), F.count_if(F.col("__d").isNull()).alias("__m"))
@@ -168,7 +168,7 @@ def state_delta(df: DataFrame, key: str, s: str, t: str, volume: str, delta: str
 def apply_delta(df: DataFrame, deltas: DataFrame, key: str, s: str, t: str, n: int, out: str = "changed", bounds: DataFrame | None = None) -> DataFrame:
     """Add to t the delta of the bin that (s, t) looks up, by key; bins lie
     between the extremes of df, or those of a table of bounds."""
-    j = join_bounded(df, ranges(df, [key], [s, t]) if bounds is None else bounds, key)
+    j = join_bounded(df, written(ranges(df, [key], [s, t]) if bounds is None else bounds, "ranges"), key)
     for v in (s, t):
         j = j.withColumn(f"{v}_bin", lookup_bin(F.col(v), F.col(f"{v}_lo"), F.col(f"{v}_hi"), n))
     j = j.join(deltas, [key, f"{s}_bin", f"{t}_bin"], "left")
