@@ -108,15 +108,16 @@ def matrices(predicted: DataFrame, keys: DataFrame, params: Sequence[str], stric
     a row of predictions in the keys' order, null where a term lacks them.
 
     predicted: (term, key, params, x), once each; keys: (term, key, mean, sigma,
-    fixed). For predictions of a checked number only.
+    fixed). For predictions of a checked number only, which bounds the keys that
+    are broadcast, too.
     """
     p = F.struct(*params)
     known = keys.select("term", "key", F.lit(True).alias("known"))
-    x = predicted.join(known, ["term", "key"]).groupBy("term", p.alias("p")).agg(
+    x = predicted.join(F.broadcast(known), ["term", "key"]).groupBy("term", p.alias("p")).agg(
         F.map_from_entries(F.collect_list(F.struct("key", "x"))).alias("x"), F.count("x").alias("n"), F.bool_or(F.col("x").isNull()).alias("missing")
     )
     own = keys.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("key", "mean", "sigma", "fixed"))).alias("keys"))
-    x = x.join(own, "term").select(
+    x = x.join(F.broadcast(own), "term").select(
         "term", "keys", "p", F.when(~(F.col("term").isin(*strict) & F.col("missing")), F.struct("n", F.transform("keys", lambda k: F.try_element_at("x", k["key"])).alias("x"))).alias("row")
     )
     ts = x.groupBy("term").agg(F.first("keys").alias("keys"), F.map_from_entries(F.collect_list(F.struct("p", "row"))).alias("rows"))

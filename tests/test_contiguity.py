@@ -55,7 +55,7 @@ def by_hand(g, rounds, eight=False):
         g = {p: to.get(root.get(p), x) for p, x in g.items()}
 
 
-@pytest.mark.parametrize("seed", [0, 2, 3])
+@pytest.mark.parametrize("seed", [2, 3])
 def test_against_cells(spark, seed):
     rng = random.Random(seed)
     n, m = ((6, 8), (9, 14), (12, 12), (7, 20), (10, 10))[seed]

@@ -31,7 +31,7 @@ def outliers(seed):
     return rows
 
 
-@pytest.mark.parametrize("q", [0.0, 0.01, 0.5, 0.99, 1.0])
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.99])
 def test_percentile_with_outliers(spark, q):
     rows = outliers(1)
     df = spark.createDataFrame(rows, "k string, v double, w double").repartition(4)
