@@ -103,8 +103,8 @@ def objective(predicted: DataFrame, drawn: DataFrame, params: Sequence[str], str
 
 
 def matrices(predicted: DataFrame, keys: DataFrame, params: Sequence[str], strict: Sequence[int] = (1, 2)) -> DataFrame:
-    """Predictions packed into one row: `ps`, all parameters in order, and `ts`,
-    per term its keys (key, mean, sigma, fixed weight or null) and per parameters
+    """Predictions packed into one row: `ps`, all parameters in order, `terms`, how
+    many terms there are, and `ts`, per term that has keys its keys (key, mean, sigma, fixed weight or null) and per parameters
     a row of predictions in the keys' order, null where a term lacks them.
 
     predicted: (term, key, params, x), once each; keys: (term, key, mean, sigma,
@@ -125,7 +125,8 @@ def matrices(predicted: DataFrame, keys: DataFrame, params: Sequence[str], stric
     ps = F.array_sort(F.array_distinct(F.flatten(F.transform("ts", lambda t: t["rows"]["key"]))))
     ts = ts.withColumn("ps", ps)
     at = lambda t: F.transform("ps", lambda p: F.try_element_at(F.map_from_entries(t["rows"]), p))
-    return ts.select("ps", F.transform("ts", lambda t: F.struct(t["term"].alias("term"), t["keys"].alias("keys"), at(t).alias("rows"))).alias("ts"))
+    ts = ts.select("ps", F.transform("ts", lambda t: F.struct(t["term"].alias("term"), t["keys"].alias("keys"), at(t).alias("rows"))).alias("ts"))
+    return ts.join(F.broadcast(predicted.agg(F.countDistinct("term").alias("terms"))))  # one row each
 
 
 def _median(values: Column) -> Column:
@@ -151,11 +152,13 @@ def objectives_in_rows(matrix: DataFrame, samples: int, seed: str = "draw") -> D
 
         return F.struct(F.transform(t["rows"], mean).alias("e"), uniform(seed, "t", t["term"].cast("string")).alias("share"))
 
-    rows = rows.select("sample", "ps", F.zip_with("ts", "draws", errors).alias("es"))
+    rows = rows.select("sample", "ps", "terms", F.zip_with("ts", "draws", errors).alias("es"))
     rows = rows.withColumn("es", F.transform("es", lambda t: F.struct(t["e"].alias("e"), t["share"].alias("share"), (_median(t["e"]) + 1e-6).alias("by"))))
-    rows = rows.select("sample", "ps", F.transform("es", lambda t: F.transform(t["e"], lambda v: t["share"] * v / t["by"])).alias("es"))
+    rows = rows.select("sample", "ps", "terms", F.transform("es", lambda t: F.transform(t["e"], lambda v: t["share"] * v / t["by"])).alias("es"))
     total = F.aggregate(F.slice("es", F.lit(2), F.size("es")), F.get("es", F.lit(0)), lambda a, e: F.zip_with(a, e, lambda x, y: x + y))
-    return rows.select("sample", "ps", total.alias("objectives"))
+    # a term without keys has no errors, so that no parameters have all terms
+    whole = F.transform(total, lambda o: F.when(F.size("es") == F.col("terms"), o))
+    return rows.select("sample", "ps", whole.alias("objectives"))
 
 
 def best_of_samples(predicted: DataFrame, keys: DataFrame, samples: int, params: Sequence[str], strict: Sequence[int] = (1, 2), seed: str = "draw", most: int = MOST_PREDICTIONS) -> DataFrame:

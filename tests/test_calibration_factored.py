@@ -69,3 +69,10 @@ def test_many_samples_shuffle_nothing(spark):
 def test_no_predictions(spark):
     predicted, keys = tables(spark, 1)
     assert C.best_of_samples(predicted.limit(0), keys, 3, ["p1", "p2"]).collect() == []
+
+
+def test_a_term_without_keys_voids_all(spark):
+    predicted, keys = tables(spark, 1)
+    more = predicted.unionByName(spark.createDataFrame([(7, "7:0", 0, 0, None)], predicted.schema))
+    assert long_form(more, keys, 2).count() == 0
+    assert C.best_of_samples(more, keys, 2, ["p1", "p2"]).count() == 0
