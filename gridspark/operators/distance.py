@@ -8,10 +8,10 @@ of the asking rows, however wide a hole is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,25 +39,50 @@ def envelope(place: Sequence[int], height: Sequence[int], rank: Sequence[int]) -
     return low, start
 
 
-def _row(columns: pd.DataFrame, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For cells at x the place and the row of the nearest source."""
-    columns = columns.sort_values("i")
-    place, row = columns.i.to_numpy(np.int64), columns.source_j.to_numpy(np.int64)
+def _row(place: np.ndarray, row: np.ndarray, height: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For cells at x the place and the row of the nearest source; places rise."""
     rank = np.empty(len(place), np.int64)
     rank[np.lexsort((place, row))] = np.arange(len(place))
-    low, start = envelope(place.tolist(), columns.height.astype(int).tolist(), rank.tolist())
+    low, start = envelope(place.tolist(), height.tolist(), rank.tolist())
     # starts that lie before the first place are of cells further left
     at = np.maximum(np.searchsorted(np.array(start[1:], np.int64), x, "right"), 0)
     best = np.array(low)[at]
     return place[best], row[best]
 
 
+def _begins(t: pa.Table, by: Sequence[str]) -> np.ndarray:
+    """Places of rows, but the first, that differ from the one before in `by`."""
+    new = np.zeros(max(t.num_rows - 1, 0), bool)
+    for c in by:
+        code = t[c].combine_chunks().dictionary_encode(null_encoding="encode").indices
+        new |= np.diff(code.to_numpy()) != 0
+    return np.flatnonzero(new) + 1
+
+
+def _whole(batches: Iterator[pa.RecordBatch], by: Sequence[str]) -> Iterator[pa.Table]:
+    """Batches sorted by `by`, dealt anew so that rows alike in it stay together."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        before = [held[-1].slice(held[-1].num_rows - 1)] if held else []
+        new = _begins(pa.Table.from_batches([*before, b]), by)
+        if len(new):
+            last = int(new[-1]) - len(before)
+            yield pa.Table.from_batches([*held, b.slice(0, last)])
+            held = [b.slice(last)]
+        else:
+            held.append(b)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def nearest_sources(asking: DataFrame, sources: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, i, j, source_i, source_j, d2) of every asking cell (keys, i, j): the
     nearest source cell of its keys in a straight line (ties: lowest j, then i)
     and the square of the distance. Cells whose keys have no source are left out.
-    Cells are whole numbers and need not fill a grid; a task holds one row of
-    the grid at a time."""
+    Cells are whole numbers and need not fill a grid; a task holds one Arrow
+    batch at a time, or one row of the grid if that is longer."""
     keys = list(keys)
     kinds = dict(asking.dtypes)
     asks = asking.select(*keys, F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j")).distinct()
@@ -76,15 +101,23 @@ def nearest_sources(asking: DataFrame, sources: DataFrame, keys: Sequence[str] =
     nothing = F.lit(None).cast("long")
     met = found.unionByName(asks.withColumns({"source_j": nothing, "height": nothing}))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        ask = pdf[pdf.source_j.isna()][[*keys, "i", "j"]]
-        own = pdf[pdf.source_j.notna()]
-        if not len(own):
-            ask = ask.iloc[:0]
-            return ask.assign(source_i=ask.i, source_j=ask.i, d2=ask.i)
-        x = ask.i.to_numpy(np.int64)
-        i, j = _row(own, x)
-        return ask.assign(source_i=i, source_j=j, d2=(x - i) ** 2 + (ask.j.to_numpy(np.int64) - j) ** 2)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole(batches, [*keys, "j"]):
+            ends = [0, *_begins(t, [*keys, "j"]).tolist(), t.num_rows]
+            i, j, row, high = (t[c].fill_null(0).to_numpy() for c in ("i", "j", "source_j", "height"))
+            own = t["source_j"].is_valid().to_numpy()
+            to_i, to_j, done = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64), np.zeros(len(i), bool)
+            for a, b in zip(ends, ends[1:]):
+                has = own[a:b]
+                if has.all() or not has.any():
+                    continue
+                ask = a + np.flatnonzero(~has)
+                to_i[ask], to_j[ask] = _row(i[a:b][has], row[a:b][has], high[a:b][has], i[ask])
+                done[ask] = True
+            i, j, to_i, to_j = i[done], j[done], to_i[done], to_j[done]
+            out = [*t.select(keys).filter(pa.array(done)).columns, *map(pa.array, (i, j, to_i, to_j, (i - to_i) ** 2 + (j - to_j) ** 2))]
+            yield from pa.table(out, names=[*keys, "i", "j", "source_i", "source_j", "d2"]).to_batches()
 
     named = "".join(f"{c} {kinds[c]}, " for c in keys)
-    return met.groupBy(*keys, "j").applyInPandas(one, f"{named}i long, j long, source_i long, source_j long, d2 long")
+    rows = met.repartition(*keys, "j").sortWithinPartitions(*keys, "j", "i")
+    return rows.mapInArrow(run, f"{named}i long, j long, source_i long, source_j long, d2 long")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,19 +46,57 @@ def neighbours(df: DataFrame, offsets: Sequence[tuple[int, int]], columns: Seque
     return moved.select((F.col(i) + F.col("__s.di")).cast("int").alias(i), (F.col(j) + F.col("__s.dj")).cast("int").alias(j), *[f"n_{c}" for c in columns])
 
 
-def components(df: DataFrame, label: str, eight: bool = False, i: str = "i", j: str = "j", width: int = 1 << 20) -> DataFrame:
+def _least(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the links (a, b) and of each the smallest one it is linked to."""
+    node, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(node))
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return node, node[root]
+
+
+def _joined_in_tiles(links: DataFrame) -> DataFrame:
+    """(node, component) of the links (a, ta, b, tb), ta and tb being the tiles of
+    their ends: links within a tile are joined in one go, so that only the parts
+    that touch a tile's border go through rounds."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, root = _least(pdf.a.to_numpy(np.int64), pdf.b.to_numpy(np.int64))
+        return pd.DataFrame({"node": node, "root": root})
+
+    links = written(links, "label-links")
+    part = written(links.where("ta = tb").select("a", "b", "ta").groupBy("ta").applyInPandas(one, "node long, root long"), "label-parts")
+    ends = [part.select(F.col("node").alias(x), F.col("root").alias(f"__{x}")) for x in "ab"]
+    across = links.where("ta <> tb").join(ends[0], "a", "left").join(ends[1], "b", "left")
+    comp = connected_components(across.select(F.coalesce("__a", "a").alias("a"), F.coalesce("__b", "b").alias("b")), "label-components")
+    # a node without links in its tile has none in part
+    known = part.join(comp.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("component", "root").alias("component"))
+    return known.unionByName(comp.join(part, "node", "left_anti").select("node", "component"))
+
+
+def components(df: DataFrame, label: str, eight: bool = False, i: str = "i", j: str = "j", width: int = 1 << 20, tile: int = 512) -> DataFrame:
     """df with component: of the cells of equal non-null label that touch, the
     smallest j * width + i. Runs of a row are one node each, so that links are
-    between runs of adjacent rows only. An i outside 0..width-1 is an error."""
+    between runs of adjacent rows only, and runs that begin in one tile of
+    `tile` by `tile` cells are joined there at once. An i outside 0..width-1 is
+    an error."""
     r = runs(df.where(F.col(label).isNotNull()), label, i, j)
     wide = F.raise_error(F.lit(f"{i} is not within 0..{width - 1}")).cast("long")
     node = F.when((F.col("i_first") < 0) | (F.col("i_last") >= width), wide).otherwise(F.col(j).cast("long") * width + F.col("i_first"))
     r = written(r.withColumn("node", node), "runs")
     below = r.select((F.col(j) + 1).alias(j), label, F.col("i_first").alias("__a"), F.col("i_last").alias("__b"), F.col("node").alias("__n"))
+    at = [F.floor(F.col(a) / tile) * (1 << 40) + F.floor(b / tile) for a, b in (("i_first", F.col(j)), ("__a", F.col(j) - 1))]
     reach = 1 if eight else 0
     touch = (F.col("__a") <= F.col("i_last") + reach) & (F.col("__b") >= F.col("i_first") - reach)
-    links = r.join(below, [j, label]).where(touch).select(F.col("node").alias("a"), F.col("__n").alias("b"))
-    comp = connected_components(links, "label-components")
+    links = r.join(below, [j, label]).where(touch).select(F.col("node").alias("a"), at[0].alias("ta"), F.col("__n").alias("b"), at[1].alias("tb"))
+    comp = _joined_in_tiles(links)
     named = r.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     cells = named.select(j, label, F.explode(F.sequence("i_first", "i_last")).alias(i), "component")
     return df.join(cells, [i, j, label], "left")
@@ -213,10 +253,11 @@ def label_cells(cells: DataFrame, polygons: Sequence, x: str, y: str, depth: str
     label of the nearest shelf-break cell, which takes that of the nearest
     labelled one; what walls (i, j) enclose takes the label on its ring; all
     others that of the nearest labelled cell; islands are moved at the end."""
-    basin = written(point_in_polygon(cells, x, y, ["i", "j"], polygons, band), "labels")
+    basin = point_in_polygon(cells, x, y, ["i", "j"], polygons, band)
     g = cells.select("i", "j", depth).join(basin, ["i", "j"])
-    shelf = select_shelf(g.withColumn("__shelf", F.col(depth) <= deepest), g.where("label is not null"), "__shelf", reach)
-    edge = shelf_break(shelf, g.where(F.col(depth) > deepest))
+    g = written(g, "labels")
+    shelf = written(select_shelf(g.withColumn("__shelf", F.col(depth) <= deepest), g.where("label is not null"), "__shelf", reach), "labels-shelf")
+    edge = written(shelf_break(shelf, g.where(F.col(depth) > deepest)), "labels-edge")
     known = g.where("label is not null").select("i", "j", "label")
     on_edge = extrude_labels(edge, known, "label") if not known.isEmpty() else known
     on_edge = written(on_edge, "labels")
@@ -224,7 +265,7 @@ def label_cells(cells: DataFrame, polygons: Sequence, x: str, y: str, depth: str
     if not on_edge.isEmpty():
         shelf = extrude_labels(shelf, on_edge, "label").withColumnRenamed("label", "__l")
         out = out.join(shelf, ["i", "j"], "left").select("i", "j", F.coalesce("label", "__l").alias("label"))
-    out = out.withColumn("label", F.coalesce("label", F.lit(-1)))
+    out = written(out.withColumn("label", F.coalesce("label", F.lit(-1))), "labels")
     if walls is not None:
         w = walls.select("i", "j", F.lit(True).alias("__wall")).distinct()
         out = fill_bounded(out.join(w, ["i", "j"], "left").withColumn("__wall", F.coalesce("__wall", F.lit(False))), "label", "__wall")

@@ -127,3 +127,23 @@ def test_label_pipeline(spark, data):
     polygons = [(k, [(10.2 * k, -0.5), (10.2 * k + 7.5, -0.5), (10.2 * k + 5.5, 9.3), (10.2 * k + 1.5, 7.3)]) for k in range(4)]
     want = label_by_hand(depth, polygons, 6000.0, 3, {p for p in depth if p[1] % 9 == 4})
     assert {(r.j, r.i): r.label for r in b12(spark, data).collect()} == want
+
+
+@pytest.mark.parametrize("eight", [False, True])
+def test_components_across_tiles(spark, eight):
+    """Runs longer than tiles, links within and across them, negative rows."""
+    rng = random.Random(5)
+    g = {(j, i): rng.choice((0, 0, 0, 1, -1)) for j in range(-9, 14) for i in range(31)}
+    df = spark.createDataFrame([(i, j, v if v >= 0 else None) for (j, i), v in g.items()], "i int, j int, label int")
+    got = {(r.j, r.i): r.component for r in labels.components(df, "label", eight, tile=4).collect()}
+    root = parts(g, eight)
+    assert got == {p: root[p][0] * (1 << 20) + root[p][1] if p in root else None for p in g}
+
+
+def test_links_within_a_tile_take_no_rounds(spark, monkeypatch):
+    """A column of 500 cells is one component before any round."""
+    asked, solve = [], labels.connected_components
+    monkeypatch.setattr(labels, "connected_components", lambda edges, *a: asked.append(edges.count()) or solve(edges, *a))
+    df = spark.range(500).selectExpr("3 i", "cast(id as int) j", "1 label")
+    assert {r.component for r in labels.components(df, "label").collect()} == {3}
+    assert asked == [0]

@@ -85,3 +85,28 @@ def test_triples_by_search(spark):
     for i, j in t:
         want = nearest(b, i + 0.5, j + 0.5)
         assert got[i, j] == (*want, round(((want[0] - i - 0.5) ** 2 + (want[1] - j - 0.5) ** 2) ** 0.5, 9))
+
+
+def test_rows_of_the_grid_share_and_span_batches(spark):
+    """Batches of 7 rows, under keys of two columns; one with NaN, which is alike
+    to itself. Python is called for batches, not for rows of the grid."""
+    rng = random.Random(8)
+    keys = [("a", 1.0), ("a", 2.0), ("b", 1.0), ("c", float("nan")), ("none", 0.0)]
+    ask = [(k, x, i, j) for k, x in keys for j in range(6) for i in range(13)]
+    have = [(k, x, rng.randrange(13), rng.randrange(6)) for k, x in keys[:-1] for _ in range(5)]
+    kind = "k string, x double, i int, j int"
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        found = distance.nearest_sources(spark.createDataFrame(ask, kind), spark.createDataFrame(have, kind), ["k", "x"])
+        plan = found._jdf.queryExecution().toString()
+        got = {(r.k, str(r.x), r.i, r.j): (r.source_j, r.source_i, r.d2) for r in found.collect()}
+    finally:
+        spark.conf.set(key, was)
+    want = {}
+    for k, x, i, j in ask:
+        if k != "none":
+            d2, y, z = min(((i - p) ** 2 + (j - q) ** 2, q, p) for a, b, p, q in have if a == k and str(b) == str(x))
+            want[k, str(x), i, j] = (y, z, d2)
+    assert got == want and "MapInArrow" in plan and "FlatMapGroups" not in plan
