@@ -67,12 +67,16 @@ def nearest_point(cells: DataFrame, points: DataFrame, point: str, lat: str, lon
         ask = left.withColumn("__n", around)
         ask = ask.withColumns({f"__{n}": F.floor(F.col(x) / width) + F.col(f"__n.{n}") for n, x in (("a", "__lat"), ("b", "__lon"))})
         source = c.withColumns({f"__{n}": F.floor(F.col(x) / width) for n, x in (("a", lat), ("b", lon))})
-        got = ask.join(source, ["__a", "__b"]).groupBy(point).agg(F.min(F.struct(d.alias("d"), *order, label)).alias("s"))
-        got = written(got.where(F.col("s.d") <= width).select(point, F.col(f"s.{label}").alias(label), *own), "nearest-found")
+        # the least distance alone is summed up without sorting all pairs; only ties are sorted
+        least = written(ask.join(source, ["__a", "__b"]).groupBy(point).agg(F.min(d).alias("__d")).where(F.col("__d") <= width), "nearest-least")
+        least = least.withColumnRenamed(point, "__p")
+        ties = ask.join(least, F.col(point).eqNullSafe(F.col("__p"))).join(source, ["__a", "__b"]).where(d == F.col("__d"))
+        got = ties.groupBy(point).agg(F.min(F.struct(d.alias("d"), *order, label)).alias("s"))
+        got = written(got.select(point, F.col(f"s.{label}").alias(label), *own), "nearest-found")
         found = got if found is None else found.unionByName(got)
         if width >= across:
             return found
-        left = written(left.join(got.select(point), point, "left_anti"), "nearest-left")
+        left = written(left.join(least, F.col(point).eqNullSafe(F.col("__p")), "left_anti"), "nearest-left")
         if left.isEmpty():
             return found
         width *= 4
